@@ -89,10 +89,11 @@ def host_verdicts(df: DataFrame, host: str = "source") -> DataFrame:
     noise = F.col("mu") * (1 - F.col("mu")) * F.col("inv")
     between = F.greatest(F.coalesce(F.col("v"), F.lit(0.0)) - noise, F.lit(0.0))
     strength = F.when(between > 0, F.least(F.greatest(F.col("mu") * (1 - F.col("mu")) / F.greatest(between, F.lit(1e-12)) - 1, F.lit(1.0)), F.lit(1000.0))).otherwise(1000.0)
-    prior = m.select("mu", strength.alias("strength"))
-    n = F.col("host_docs") + F.col("strength")
-    mean = (F.col("host_failed") + F.col("mu") * F.col("strength")) / n
-    out = per.join(F.broadcast(prior)).select(host, "host_docs", "host_failed", mean.alias("host_rate"), F.sqrt(mean * (1 - mean) / (n + 1)).alias("sd"))  # the prior is one row
+    prior = m.select("mu", strength.alias("strength")).first()  # two numbers
+    mu, strength = F.lit(prior["mu"] or 0.0), F.lit(prior["strength"] or 1000.0)
+    n = F.col("host_docs") + strength
+    mean = (F.col("host_failed") + mu * strength) / n
+    out = per.select(host, "host_docs", "host_failed", mean.alias("host_rate"), F.sqrt(mean * (1 - mean) / (n + 1)).alias("sd"))
     return out.select(host, "host_docs", "host_failed", "host_rate", (F.col("host_rate") - DEVIATIONS * F.col("sd") > MAX_RATE).alias("host_rejected"))
 
 
