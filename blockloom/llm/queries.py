@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, licenses, nearest, packing, pii, quality, sentencepieces
+from . import language, licenses, minhash, nearest, packing, pii, quality, sentencepieces
 from .spark_io import table
 
 
@@ -25,6 +25,10 @@ def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.spans(table(spark, sf_dir, "documents"))
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.nearest(table(spark, sf_dir, "embeddings"))
 
@@ -38,5 +42,5 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), path("byte_bpe_50k.json"), path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op1_language, op2_host_quality, op3_sentencepiece, op4_personal_data, op6_nearest, op8_licenses, op9_packing)}
+QUERIES = {f.__name__: f for f in (op1_language, op2_host_quality, op3_sentencepiece, op4_personal_data, op5_near_duplicates, op6_nearest, op8_licenses, op9_packing)}
 ORACLE_SQL: dict[str, str] = {"op6_nearest": nearest.ORACLE_SQL, "op8_licenses": licenses.oracle_sql()}
