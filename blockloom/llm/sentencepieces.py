@@ -19,7 +19,14 @@ from .spark_io import map_batches
 MARK = "▁"
 CUT = "\x01"
 #: Distinct words whose ids a task keeps; beyond that it starts afresh.
-MEMO_WORDS = 400_000
+MEMO_WORDS = 800_000
+#: Words up to this length keep their agenda in a list.
+SHORT = 64
+NEVER = float("inf")
+
+
+def _code(i: int) -> bytes:
+    return i.to_bytes(4, "little")
 
 
 class Agenda(dict):
@@ -28,13 +35,13 @@ class Agenda(dict):
     def __init__(self, processor):
         super().__init__()
         n = processor.get_piece_size()
-        self.ids, self.scores, self.bytes = {}, {}, {}
+        self.ids, self.costs, self.bytes = {}, {}, {}
         for i in range(n):
             piece = processor.id_to_piece(i)
             if processor.is_byte(i):
-                self.bytes[int(piece[3:5], 16)] = i
+                self.bytes[int(piece[3:5], 16)] = _code(i)
             elif not processor.is_control(i) and not processor.is_unknown(i) and not processor.is_unused(i):
-                self.ids[piece], self.scores[piece] = i, processor.get_score(i)
+                self.ids[piece], self.costs[piece] = _code(i), -processor.get_score(i)
         self.unk = processor.unk_id()
         self.split = not any(MARK in p.lstrip(MARK) for p in self.ids)
         # characters that no piece joins to another: words are cut around a line break as well
@@ -42,17 +49,27 @@ class Agenda(dict):
 
     def merge(self, word: str) -> list[str]:
         """Pieces of a word: the agenda gives the best score first, of equals the leftmost."""
-        score = self.scores
-        sym = list(word)
-        n = len(sym)
-        if n < 2:
-            return sym
+        return self._short(list(word)) if len(word) <= SHORT else self._long(list(word))
+
+    def _short(self, sym: list[str]) -> list[str]:
+        """The agenda as a list of costs by place: the first least one is next."""
+        cost = self.costs.get
+        agenda = [cost(a + b, NEVER) for a, b in zip(sym, sym[1:])]
+        while agenda and (best := min(agenda)) < NEVER:
+            i = agenda.index(best)
+            sym[i] += sym.pop(i + 1)
+            del agenda[i]
+            if i < len(agenda):
+                agenda[i] = cost(sym[i] + sym[i + 1], NEVER)
+            if i:
+                agenda[i - 1] = cost(sym[i - 1] + sym[i], NEVER)
+        return sym
+
+    def _long(self, sym: list[str | None]) -> list[str]:
+        """The agenda as a heap, for words whose length would make the list slow."""
+        cost, n = self.costs, len(sym)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        agenda = []
-        for i in range(n - 1):
-            p = sym[i] + sym[i + 1]
-            if p in score:
-                agenda.append((-score[p], i, p))
+        agenda = [(cost[p], i, p) for i in range(n - 1) if (p := sym[i] + sym[i + 1]) in cost]
         heapq.heapify(agenda)
         while agenda:
             _, i, p = heapq.heappop(agenda)
@@ -63,31 +80,23 @@ class Agenda(dict):
             k = after[i] = after[j]
             if k < n:
                 before[k] = i
-                q = p + sym[k]
-                if q in score:
-                    heapq.heappush(agenda, (-score[q], i, q))
+                if (q := p + sym[k]) in cost:
+                    heapq.heappush(agenda, (cost[q], i, q))
             h = before[i]
-            if h >= 0:
-                q = sym[h] + p
-                if q in score:
-                    heapq.heappush(agenda, (-score[q], h, q))
+            if h >= 0 and (q := sym[h] + p) in cost:
+                heapq.heappush(agenda, (cost[q], h, q))
         return [s for s in sym if s is not None]
 
     def __missing__(self, word: str) -> bytes:
-        out = []
-        for p in self.merge(word):
-            if p in self.ids:
-                out.append(self.ids[p])
-            elif self.bytes:
-                out += [self.bytes[b] for b in p.encode()]
-            else:
-                out.append(self.unk)
-        ids = np.array(out, "<u4").tobytes()
+        ids = b"".join([self.ids[p] if p in self.ids else self._unknown(p) for p in self.merge(word)])
         if len(self) >= MEMO_WORDS:
             self.clear()
         self[word] = ids
         return ids
 
+    def _unknown(self, piece: str) -> bytes:
+        return b"".join(self.bytes[b] for b in piece.encode()) if self.bytes else _code(self.unk)
+
     _runs = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
     def encode(self, text: str) -> bytes:
@@ -119,7 +128,7 @@ def load(model: str) -> tuple:
 
 def _rows(texts: list, model: str) -> list[tuple]:
     processor, agenda = load(model)
-    bos, eos = (np.array([x], "<u4").tobytes() for x in (processor.bos_id(), processor.eos_id()))
+    bos, eos = _code(processor.bos_id()), _code(processor.eos_id())
     out = []
     for t in texts:
         ids = bos + agenda.encode(t or "") + eos
