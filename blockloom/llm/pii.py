@@ -202,6 +202,13 @@ def spans(docs: DataFrame, text: str = "text") -> DataFrame:
     return map_batches(scanned, run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
 
 
+def accepted_spans(t: str | None, accepted: dict[str, float]) -> str:
+    """All spans of one text in the form of `spans`, for vote patterns that were accepted."""
+    base = base_spans(t or "")
+    more = [f"{k}:{s}:{e}" for k, s, e, v in candidates(t or "", base) if f"{k}:{v}" in accepted]
+    return ",".join([*(f"{k}:{s}:{e}" for k in KINDS for s, e in base[k]), *more])
+
+
 def mask(t: str | None, spans_text: str) -> str | None:
     """The text with each span replaced by its kind in brackets; overlapping spans become one."""
     if not t or not spans_text:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, licenses, minhash, nearest, packing, pii, quality, sentencepieces
+from . import language, licenses, minhash, nearest, packing, passages, pii, quality, sentencepieces
 from .spark_io import table
 
 
@@ -42,5 +43,13 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), path("byte_bpe_50k.json"), path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op1_language, op2_host_quality, op3_sentencepiece, op4_personal_data, op5_near_duplicates, op6_nearest, op8_licenses, op9_packing)}
+def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.passages(table(spark, sf_dir, "documents"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {f.__name__: f for f in (op1_language, op2_host_quality, op3_sentencepiece, op4_personal_data, op5_near_duplicates, op6_nearest, op8_licenses, op9_packing, op10_passages, pipeline)}
 ORACLE_SQL: dict[str, str] = {"op6_nearest": nearest.ORACLE_SQL, "op8_licenses": licenses.oracle_sql()}

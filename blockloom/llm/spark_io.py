@@ -35,7 +35,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def map_batches(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def map_batches(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | Iterator[pa.RecordBatch]], schema) -> DataFrame:
     """mapInArrow with a function of one batch that returns one batch or yields several."""
 
     def run(batches):
