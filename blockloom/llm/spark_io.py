@@ -13,7 +13,19 @@ from pyspark.sql import DataFrame, SparkSession
 BROADCAST_BYTES = 8 << 20
 
 
+#: Bytes of an Arrow batch: texts are long, so rows alone do not bound the memory of a task.
+BATCH_BYTES = "4m"
+
+
+def lean(spark: SparkSession) -> None:
+    """Bound the bytes of Arrow batches, unless the session has its own bound."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) == "67108864b":  # Spark's default
+        spark.conf.set(key, BATCH_BYTES)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    lean(spark)
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return df.select(*columns) if columns else df
 
@@ -46,6 +58,7 @@ def map_batches(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | It
             else:
                 yield from out
 
+    lean(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 
