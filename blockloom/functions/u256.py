@@ -35,19 +35,27 @@ def hex_to_binary(c: Column, size: int) -> Column:
     return F.unhex(F.when(F.length(h) >= 2 * size, h).otherwise(F.lpad(h, 2 * size, "0")))
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with the value computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def u256_dec(word: Column) -> Column:
     """64 hex digits to a decimal string."""
-    w = F.lower(word)
-    limbs = F.array_join(F.transform(F.reverse(_fold(w, 8, 8, 16, 10**9, 9)), lambda x: F.lpad(x.cast("string"), 9, "0")), "")
-    text = F.ltrim(limbs, F.lit("0"))
-    return F.when(w.startswith("0" * 48), F.conv(F.substr(w, F.lit(49)), 16, 10)).otherwise(F.when(text == "", "0").otherwise(text))
+
+    def long(w: Column) -> Column:
+        return F.ltrim(F.array_join(F.transform(F.reverse(_fold(w, 8, 8, 16, 10**9, 9)), lambda x: F.lpad(x.cast("string"), 9, "0")), ""), F.lit("0"))
+
+    return F.when(word.startswith("0" * 48), F.conv(F.substr(word, F.lit(49)), 16, 10)).otherwise(let(F.lower(word), long))
 
 
 def u256_hex(dec: Column) -> Column:
-    """A decimal string below 2**256 to 64 hex digits."""
-    limbs = _fold(F.lpad(dec, 81, "0"), 9, 9, 10, 1 << 32, 8)
-    long = F.array_join(F.transform(F.reverse(limbs), lambda x: F.lpad(F.lower(F.hex(x)), 8, "0")), "")
-    return F.when(F.length(dec) <= 18, F.lpad(F.lower(F.hex(dec.cast("long"))), 64, "0")).otherwise(long)
+    """A decimal string below 2**256 to 64 hex digits; null if it is no number."""
+
+    def long(d: Column) -> Column:
+        return F.array_join(F.transform(F.reverse(_fold(d, 9, 9, 10, 1 << 32, 8)), lambda x: F.lpad(F.lower(F.hex(x)), 8, "0")), "")
+
+    return F.when(F.length(dec) <= 18, F.lpad(F.lower(F.hex(dec.try_cast("long"))), 64, "0")).otherwise(let(F.lpad(dec, 81, "0"), long))
 
 
 def dec_to_b32(dec: Column) -> Column:
@@ -56,10 +64,12 @@ def dec_to_b32(dec: Column) -> Column:
 
 def _negated(word: Column) -> Column:
     """Two's complement of 64 hex digits: invert, then add one at the last digit that is not f."""
-    inverted = F.translate(F.lower(word), DIGITS, INVERSE)
-    head, tail = F.regexp_extract(inverted, "^(.*?)(f*)$", 1), F.regexp_extract(inverted, "^(.*?)(f*)$", 2)
-    up = F.concat(F.substr(head, F.lit(1), F.greatest(F.length(head) - 1, F.lit(0))), F.translate(F.right(head, F.lit(1)), DIGITS[:15], DIGITS[1:]))
-    return F.concat(F.when(head == "", "").otherwise(up), F.repeat(F.lit("0"), F.length(tail)))
+    def plus_one(inverted: Column) -> Column:
+        kept = F.rtrim(inverted, F.lit("f"))
+        up = F.translate(F.right(kept, F.lit(1)), DIGITS[:15], DIGITS[1:])
+        return F.rpad(F.concat(F.substr(kept, F.lit(1), F.greatest(F.length(kept) - 1, F.lit(0))), up), 64, "0")
+
+    return let(F.translate(F.lower(word), DIGITS, INVERSE), plus_one)
 
 
 def i256_dec(word: Column) -> Column:

@@ -21,11 +21,13 @@ def prepared(raw: DataFrame) -> DataFrame:
     body = F.lower(U.strip0x(F.coalesce("data", F.lit(""))))
     body = F.when(F.length(body) % 2 == 1, F.concat(F.lit("0"), body)).otherwise(body)
     contract = F.element_at(F.create_map(*[F.lit(x) for kv in BY_ADDRESS.items() for x in kv]), F.lower("address"))
-    return raw.select(
-        F.lower(F.get("topics", F.lit(0))).alias("topic0"), "topics", body.alias("body"), F.lower("address").alias("address"), contract.alias("contract"),
+    columns = (
+        F.lower(F.get("topics", F.lit(0))).alias("topic0"), F.col("topics").alias("topics"), body.alias("body"), F.lower("address").alias("address"), contract.alias("contract"),
         U.parse_hex(F.col("blockNumber")).alias("block_number"), U.parse_hex(F.col("transactionIndex")).alias("transaction_index"),
         F.col("transactionHash").alias("transaction_hash"), U.parse_hex(F.col("logIndex")).alias("log_index"),
     )
+    # a generator keeps the optimizer from writing these expressions out at each of their hundreds of uses
+    return raw.select(F.inline(F.array(F.struct(*columns))))
 
 
 def _topic(f: Field) -> Column:
@@ -75,7 +77,7 @@ def well_formed(e: Event) -> Column:
     """Whether a log of this event has its topics and all the data that its fields point at, in hex.
 
     Empty data is fine for events whose data fields are all plain numbers."""
-    rules = [F.size("topics") > len(e.topics), F.col("body").rlike(_HEX)]
+    rules = [F.size("topics") > len(e.topics), *([F.col("body").rlike(_HEX)] if e.words else [])]
     rules += [F.coalesce(_topic(f).rlike("^[0-9a-f]{64}$"), F.lit(False)) for f in e.topics]
     if e.words:
         full = F.length("body") >= WORD * len(e.words)
@@ -99,28 +101,57 @@ def decode(raw: DataFrame, key: str) -> DataFrame:
     return rows.select("contract", "block_number", "transaction_index", "transaction_hash", "log_index", *(_value(f).alias(f.name) for f in e.fields))
 
 
+_LAYOUTS = {e.topic0: [(f.name, f.kind, f.place[0] == "t", int(f.place[1])) for f in e.fields] for e in EVENTS.values()}
+
+
+def _known(raw: DataFrame) -> DataFrame:
+    """Logs of known events with the event's name, its fields' layout, and whether the payload is well formed.
+
+    The layout is data: one expression serves all events, however many there are."""
+    pairs = [x for t, fields in _LAYOUTS.items() for x in (F.lit(t), F.array(*(F.struct(F.lit(n).alias("name"), F.lit(k).alias("kind"), F.lit(top).alias("topic"), F.lit(i).alias("at")) for n, k, top, i in fields)))]
+    names = F.create_map(*[F.lit(x) for e in EVENTS.values() for x in (e.topic0, e.key)])
+    rows = prepared(raw).where(F.col("topic0").isin(list(_LAYOUTS)))
+    rows = rows.select(F.inline(F.array(F.struct("*", F.element_at(F.create_map(*pairs), F.col("topic0")).alias("layout"), F.element_at(names, F.col("topic0")).alias("event")))))
+    words = F.filter("layout", lambda f: ~f["topic"])
+    full = F.length("body") >= F.size(words) * WORD
+
+    def fits(f: Column) -> Column:
+        word = U.let(_word(f["at"]), lambda w: w)
+        dynamic = U.let(_small(word), lambda o: (o * 2 + WORD + _small(F.substr(F.col("body"), (o * 2 + 1).cast("int"), F.lit(WORD))) * F.when(f["kind"] == "bytes", 2).otherwise(WORD)) <= F.length("body"))
+        ok = F.when(f["kind"].isin(*DYNAMIC), dynamic).when(f["kind"] == "addr", word.startswith("0" * 24)).when(f["kind"] == "u32", _small(word).isNotNull()).otherwise(F.lit(True))
+        return F.coalesce(ok, F.lit(False))
+
+    numbers = ~F.exists(words, lambda f: ~f["kind"].isin("u256", "token", "u32"))
+    data = F.when(F.size(words) == 0, True).otherwise(F.col("body").rlike(_HEX) & ((full & F.forall(words, fits)) | ((F.col("body") == "") & numbers)))
+    topics = F.forall(F.filter("layout", lambda f: f["topic"]), lambda f: F.coalesce(U.strip0x(F.get("topics", f["at"])).rlike("^[0-9a-fA-F]{64}$"), F.lit(False)))
+    return rows.withColumns({"has_topics": topics, "has_data": data})
+
+
 def decode_all(raw: DataFrame) -> DataFrame:
     """All events in one pass: event, contract, common fields, and the event's columns as JSON; other logs are ignored."""
-    fields = F.lit(None).cast("string")
-    good = F.lit(False)
-    for e in EVENTS.values():
-        mine = F.col("topic0") == e.topic0
-        fields = F.when(mine, F.to_json(F.struct(*(F.when(well_formed(e), _value(f).cast("string")).alias(f.name) for f in e.fields)))).otherwise(fields)
-        good = good | (mine & well_formed(e))
-    names = F.create_map(*[F.lit(x) for e in EVENTS.values() for x in (e.topic0, e.key)])
-    rows = prepared(raw).where(F.col("topic0").isin([e.topic0 for e in EVENTS.values()]) & good)
-    return rows.select(F.element_at(names, F.col("topic0")).alias("event"), "contract", "block_number", "transaction_index", "transaction_hash", "log_index", fields.alias("fields"))
+
+    def value(f: Column) -> Column:
+        word = F.when(f["topic"], F.lower(U.strip0x(F.get("topics", f["at"])))).otherwise(_word(f["at"]))
+
+        def typed(w: Column) -> Column:
+            start, n = (_small(w) * 2 + 1 + WORD).cast("int"), _small(F.substr(F.col("body"), (_small(w) * 2 + 1).cast("int"), F.lit(WORD)))
+            items = F.transform(F.sequence(F.lit(1).cast("long"), n), lambda i: U.u256_dec(F.substr(F.col("body"), (start + (i - 1) * WORD).cast("int"), F.lit(WORD))))
+            k = f["kind"]
+            return (
+                F.when(k == "b32", F.concat(F.lit("0x"), w)).when(k == "addr", F.concat(F.lit("0x"), F.right(w, F.lit(40)))).when(k == "i256", U.i256_dec(w))
+                .when(k == "bytes", F.concat(F.lit("0x"), F.substr(F.col("body"), start, (n * 2).cast("int")))).when((k == "u256[]") & (n == 0), "[]").when(k == "u256[]", F.to_json(items)).otherwise(U.u256_dec(w))
+            )
+
+        return U.let(word, typed)
+
+    fields = F.to_json(F.map_from_arrays(F.transform("layout", lambda f: f["name"]), F.transform("layout", value)))
+    return _known(raw).where("has_topics and has_data").select("event", "contract", "block_number", "transaction_index", "transaction_hash", "log_index", fields.alias("fields"))
 
 
 def undecodable(raw: DataFrame) -> DataFrame:
-    """Logs of known events whose payload is malformed: event, common fields, topics and data, and the reason."""
-    known = prepared(raw).where(F.col("topic0").isin([e.topic0 for e in EVENTS.values()]))
-    event, bad, topics = F.lit(None).cast("string"), F.lit(False), F.lit(0)
-    for e in EVENTS.values():
-        mine = F.col("topic0") == e.topic0
-        event, bad, topics = F.when(mine, e.key).otherwise(event), F.when(mine, ~well_formed(e)).otherwise(bad), F.when(mine, len(e.topics) + 1).otherwise(topics)
-    reason = F.when(F.size("topics") < topics, "missing topic").when(~F.col("body").rlike(_HEX), "bad hex").otherwise("short or bad data")
-    return known.where(bad).select(event.alias("event"), "block_number", "transaction_index", "transaction_hash", "log_index", reason.alias("reason"))
+    """Logs of known events whose payload is malformed: event, common fields, and the reason."""
+    reason = F.when(~F.col("has_topics"), "missing topic").when(~F.col("body").rlike(_HEX), "bad hex").otherwise("short or bad data")
+    return _known(raw).where("not (has_topics and has_data)").select("event", "block_number", "transaction_index", "transaction_hash", "log_index", reason.alias("reason"))
 
 
 def _encoded(f: Field) -> Column:

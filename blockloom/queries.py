@@ -201,7 +201,7 @@ def _decoded_sql(key: str) -> str:
     e, out, where = EVENTS[key], [], ["TRUE"]
     for f in e.fields:
         c = "partition_sets" if f.name == "partition" else f.name
-        out.append(f"replace({c}, ' ', '') AS {f.name}" if f.kind == "u256[]" else f"CAST({c} AS BIGINT) AS {f.name}" if f.kind == "u32" else f"{c} AS \"{f.name}\"")
+        out.append(f"replace({c}, ' ', '') AS {f.name}" if f.kind == "u256[]" else f"CAST(TRY_CAST({c} AS HUGEINT) AS VARCHAR) AS {f.name}" if f.kind == "u256" else f"CAST({c} AS BIGINT) AS {f.name}" if f.kind == "u32" else f"{c} AS \"{f.name}\"")
         if f.name in ("amount", "payout"):
             where.append(f"regexp_full_match({c}, '[0-9]+')")
     contract = "contract" if len(e.contracts) > 1 else f"'{e.contracts[0]}' AS contract"
