@@ -6,7 +6,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, licenses, minhash, nearest, packing, passages, pii, quality, sentencepieces
+from . import language, licenses, minhash, nearest, packing, passages, pii, quality, sentencepieces, substrings
 from .spark_io import table
 
 
@@ -34,6 +34,10 @@ def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.deduplicate(table(spark, sf_dir, "documents"))
+
+
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
@@ -51,5 +55,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_language, op2_host_quality, op3_sentencepiece, op4_personal_data, op5_near_duplicates, op6_nearest, op8_licenses, op9_packing, op10_passages, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_language, op2_host_quality, op3_sentencepiece, op4_personal_data, op5_near_duplicates, op6_nearest, op7_substrings, op8_licenses, op9_packing, op10_passages, pipeline)}
 ORACLE_SQL: dict[str, str] = {"op6_nearest": nearest.ORACLE_SQL, "op8_licenses": licenses.oracle_sql()}
