@@ -336,21 +336,21 @@ _add("b2_split_by_contract", _split, "SELECT contract, transaction_hash, log_ind
 
 def _unsealed(t: Tables) -> DataFrame:
     df = t[_F].withColumn("event", F.lit(_F)).select("contract", "event", "block_number", "transaction_hash", "log_index")
-    sealed = X.partitioned(df.where("block_number % 3 = 0 and block_number < 84000000")).select("contract", "event", "10K").distinct()
+    sealed = X.partitioned(df.where("block_number % 3 = 0 and block_number < 84500000")).select("contract", "event", "10K").distinct()
     fresh, late = X.only_unsealed(df, sealed)
     return fresh.withColumn("late", F.lit(False)).unionAll(late.withColumn("late", F.lit(True)))
 
 
-_add("b3_only_unsealed", _unsealed, """WITH s AS (SELECT DISTINCT contract, block_number // 10000 AS k FROM order_filled WHERE block_number % 3 = 0 AND block_number < 84000000)
+_add("b3_only_unsealed", _unsealed, """WITH s AS (SELECT DISTINCT contract, block_number // 10000 AS k FROM order_filled WHERE block_number % 3 = 0 AND block_number < 84500000)
     SELECT o.contract, 'order_filled' AS event, block_number, transaction_hash, log_index, s.k IS NOT NULL AS late FROM order_filled o LEFT JOIN s ON s.contract = o.contract AND s.k = o.block_number // 10000""")
 
 
 def _ignore(t: Tables) -> DataFrame:
     df = t["order_filled_replay"].select("block_number", "log_index", "transaction_hash", "maker", "delivery")
-    return X.insert_or_ignore(df.where("block_number < 83500000 and delivery = 0").dropDuplicates(["block_number", "log_index"]).select("block_number", "log_index", F.lit("old").alias("transaction_hash"), F.lit("").alias("maker"), F.lit(0).alias("delivery")), df, ("delivery", "transaction_hash", "maker"))
+    return X.insert_or_ignore(df.where("block_number < 84300000 and delivery = 0").dropDuplicates(["block_number", "log_index"]).select("block_number", "log_index", F.lit("old").alias("transaction_hash"), F.lit("").alias("maker"), F.lit(0).alias("delivery")), df, ("delivery", "transaction_hash", "maker"))
 
 
-_add("b4_insert_or_ignore", _ignore, """WITH o AS (SELECT DISTINCT block_number, log_index, 'old' AS transaction_hash, '' AS maker, 0 AS delivery FROM order_filled_replay WHERE block_number < 83500000 AND delivery = 0),
+_add("b4_insert_or_ignore", _ignore, """WITH o AS (SELECT DISTINCT block_number, log_index, 'old' AS transaction_hash, '' AS maker, 0 AS delivery FROM order_filled_replay WHERE block_number < 84300000 AND delivery = 0),
     n AS (SELECT block_number, log_index, transaction_hash, maker, delivery, row_number() OVER (PARTITION BY block_number, log_index ORDER BY delivery, transaction_hash, maker) AS r FROM order_filled_replay)
     SELECT * FROM o UNION ALL SELECT block_number, log_index, transaction_hash, maker, delivery FROM n WHERE r = 1 AND NOT EXISTS (SELECT 1 FROM o WHERE o.block_number = n.block_number AND o.log_index = n.log_index)""")
 _PARTS = " UNION ALL ".join(f"SELECT contract, '{e}' AS event, block_number // 10000 * 10000 AS k, count(*) AS row_count, min(block_number) AS block_start, max(block_number) AS block_end FROM {e} GROUP BY 1, 2, 3" for e in (_F, "fee_charged"))
@@ -382,18 +382,18 @@ def _sealed(t: Tables) -> DataFrame:
     """Two runs: the second brings a longer range and rows of partitions that the first sealed."""
     root = shared_path(t.spark, "sealed")
     staged = {(c, _F): t[_F].where(F.col("contract") == c) for c in _STORED}
-    first = t.spark.createDataFrame([(83_000_000, 83_999_999)], "from_block long, to_block long")
-    more = t.spark.createDataFrame([(84_000_000, 84_499_999)], "from_block long, to_block long")
+    first = t.spark.createDataFrame([(84_000_000, 84_499_999)], "from_block long, to_block long")
+    more = t.spark.createDataFrame([(84_500_000, 84_999_999)], "from_block long, to_block long")
     X.seal_ready({k: df.where("block_number % 2 = 0") for k, df in staged.items()}, first, root)
-    done = X.seal_ready({k: df.where("block_number % 2 = 1 or block_number >= 84000000") for k, df in staged.items()}, first.unionAll(more), root)
-    late = materialize(done["late"].where("`10K` < 84000000").select("contract", U.strip0x(F.col("transaction_hash")).alias("transaction_hash"), "log_index", F.lit("late").alias("outcome")), "late")
+    done = X.seal_ready({k: df.where("block_number % 2 = 1 or block_number >= 84500000") for k, df in staged.items()}, first.unionAll(more), root)
+    late = materialize(done["late"].where("`10K` < 84500000").select("contract", U.strip0x(F.col("transaction_hash")).alias("transaction_hash"), "log_index", F.lit("late").alias("outcome")), "late")
     kept = _rows(S.scan_event(t.spark, root, _F)).select("contract", "transaction_hash", "log_index", F.lit("sealed").alias("outcome"))
     return kept.unionAll(late)
 
 
-_add("b8_seal_ready", _sealed, """WITH s AS (SELECT DISTINCT contract, block_number // 10000 AS k FROM order_filled WHERE block_number % 2 = 0 AND block_number BETWEEN 83000000 AND 83999999)
-    SELECT o.contract, transaction_hash, log_index, CASE WHEN block_number < 84000000 AND block_number % 2 = 1 AND s.k IS NOT NULL THEN 'late' ELSE 'sealed' END AS outcome
-    FROM order_filled o LEFT JOIN s ON s.contract = o.contract AND s.k = o.block_number // 10000 WHERE block_number BETWEEN 83000000 AND 84499999""")
+_add("b8_seal_ready", _sealed, """WITH s AS (SELECT DISTINCT contract, block_number // 10000 AS k FROM order_filled WHERE block_number % 2 = 0 AND block_number BETWEEN 84000000 AND 84499999)
+    SELECT o.contract, transaction_hash, log_index, CASE WHEN block_number < 84500000 AND block_number % 2 = 1 AND s.k IS NOT NULL THEN 'late' ELSE 'sealed' END AS outcome
+    FROM order_filled o LEFT JOIN s ON s.contract = o.contract AND s.k = o.block_number // 10000 WHERE block_number BETWEEN 84000000 AND 84999999""")
 
 # Feeds (2H)
 _STATE = "SELECT tx_hash, min(arrival_ms) AS first_seen_ms, min(CASE WHEN status = 'pending' THEN arrival_ms END) AS first_pending_ms, count(*) AS messages FROM {0} GROUP BY 1"
@@ -456,13 +456,13 @@ _add("h2_stream_dedup", _stream_dedup, "SELECT block_number, count(DISTINCT log_
 
 def _stream_seal(t: Tables) -> DataFrame:
     root = shared_path(t.spark, "sealed")
-    ranges = t.spark.createDataFrame([(83_000_000, 83_999_999)], "from_block long, to_block long")
+    ranges = t.spark.createDataFrame([(84_000_000, 84_499_999)], "from_block long, to_block long")
     logs = _streamed(t, D.encode(t[_F].where("contract = 'CTFExchange'"), _F))
     H.stream_seal(D.decode(logs, _F), lambda batch, i: X.seal_ready({("CTFExchange", _F): batch}, ranges, root) and None, shared_path(t.spark, "offsets")).awaitTermination()
     return _rows(S.scan_table(t.spark, root, "CTFExchange", _F))
 
 
-_add("h3_stream_seal", _stream_seal, f"SELECT {_COLS} FROM order_filled WHERE contract = 'CTFExchange' AND block_number BETWEEN 83000000 AND 83999999")
+_add("h3_stream_seal", _stream_seal, f"SELECT {_COLS} FROM order_filled WHERE contract = 'CTFExchange' AND block_number BETWEEN 84000000 AND 84499999")
 _add("h4_stream_lag", lambda t: H.stream_lag(t["ranges"], _HEAD, 1000).select("covered_blocks", "blocks_behind", "lagging"), f"{_M} SELECT CAST(sum(to_block - from_block + 1) AS BIGINT) AS covered_blocks, greatest({_HEAD} - max(to_block), 0) AS blocks_behind, greatest({_HEAD} - max(to_block), 0) > 1000 AS lagging FROM m")
 
 
