@@ -83,7 +83,7 @@ def amounts_parse(t) -> DataFrame:
             d = F.expr(f"try_cast({c} as decimal(38,0))")
             digits = F.ltrim(F.trim(c), F.lit("0"))
             wide = digits.rlike("^[0-9]{39}$") & (digits <= str(2**127 - 1))
-            bad = F.coalesce((d.isNull() & ~wide) | (d < 0), F.lit(True))
+            bad = F.coalesce(d < 0, ~F.coalesce(wide, F.lit(False)))
             out.append(df.where(bad).groupBy(F.lit(event).alias("event"), F.lit(c).alias("column_name"), F.col(c).alias("value")).agg(F.count("*").alias("n")))
     return _union(out)
 
