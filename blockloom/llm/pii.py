@@ -148,7 +148,7 @@ def reliabilities(patterns: dict[tuple[str, str], int], rounds: int = 30) -> tup
     each labeler's chance of voting for a true and for a false span."""
     keys = sorted(patterns)
     n = np.array([patterns[k] for k in keys], float)
-    v = np.array([["-0+".index(c) for c in k[1]] for k in keys]).reshape(len(keys), len(LABELERS))
+    v = np.array([["-0+".index(c) for c in k[1]] for k in keys], int).reshape(len(keys), len(LABELERS))
     kind = np.array([ADDED.index(k[0]) for k in keys], int)
     post = 1 / (1 + np.exp(-1.5 * (v - 1).sum(axis=1)))  # starts from the sum of the votes
     table = np.zeros((2, len(LABELERS), 3))
@@ -167,7 +167,7 @@ def reliabilities(patterns: dict[tuple[str, str], int], rounds: int = 30) -> tup
 def classifier(patterns: dict[tuple[str, str], int], post: dict[tuple[str, str], float], rounds: int = 400) -> dict[tuple[str, str], float]:
     """Logistic regression of the posteriors on kind and votes, weighted with the counts; its chance for each pattern."""
     keys = sorted(patterns)
-    x = np.array([[1.0, *(k[0] == a for a in ADDED), *(f(c) for c in k[1] for f in (lambda c: c == "+", lambda c: c == "-"))] for k in keys], float).reshape(len(keys), -1)
+    x = np.array([[1.0, *(k[0] == a for a in ADDED), *(f(c) for c in k[1] for f in (lambda c: c == "+", lambda c: c == "-"))] for k in keys], float).reshape(len(keys), 1 + len(ADDED) + 2 * len(LABELERS))
     y, n = np.array([post[k] for k in keys]), np.array([patterns[k] for k in keys], float)
     w = np.zeros(x.shape[1])
     for _ in range(rounds if len(keys) else 0):
