@@ -269,10 +269,10 @@ _STORED = ("CTFExchange", "NegRiskCtfExchange")
 _COLS = "block_number, transaction_index, transaction_hash, log_index, order_hash, maker, taker, maker_asset_id, taker_asset_id, maker_amount_filled, taker_amount_filled, fee"
 
 
-def _store(t: Tables) -> str:
+def _store(t: Tables, contracts: tuple[str, ...] = _STORED, events: tuple[str, ...] = (_F,)) -> str:
     root = shared_path(t.spark, "store")
-    for c in _STORED:
-        for e in (_F, "fee_charged"):
+    for c in contracts:
+        for e in events:
             X.export_event(X.typed_projection(t[e].where(F.col("contract") == c), c, e), root, c, e)
     return root
 
@@ -281,13 +281,13 @@ def _rows(df: DataFrame) -> DataFrame:
     return _hexed(df).drop("1M", "10K")
 
 
-_add("a1_scan_table", lambda t: _rows(S.scan_table(t.spark, _store(t), "CTFExchange", _F)), f"SELECT {_COLS} FROM order_filled WHERE contract = 'CTFExchange'")
+_add("a1_scan_table", lambda t: _rows(S.scan_table(t.spark, _store(t, ("CTFExchange",)), "CTFExchange", _F)), f"SELECT {_COLS} FROM order_filled WHERE contract = 'CTFExchange'")
 _add("a2_scan_event", lambda t: _rows(S.scan_event(t.spark, _store(t), _F)), f"SELECT {_COLS}, contract FROM order_filled")
 _add("a3_scan_complete", lambda t: _rows(S.scan_complete(t.spark, _store(t), _F, [84_000_000])), f"SELECT {_COLS}, contract FROM order_filled WHERE block_number // 1000000 = 84")
 _INV = "inv AS (SELECT DISTINCT contract, '{0}' AS event, block_number // 1000000 * 1000000 AS m, block_number // 10000 * 10000 AS k FROM {0})"
 _FULL = "(SELECT m FROM (SELECT contract, m FROM (SELECT DISTINCT contract, block_number // 1000000 * 1000000 AS m, block_number // 10000 AS k FROM {0}) GROUP BY 1, 2 HAVING count(*) = 100) GROUP BY 1 HAVING count(*) = 2)"
 _add("a4_complete_1m_ranges", lambda t: S.complete_1m_ranges(S.partition_inventory(t.spark, _store(t)), _F).select(F.col("1M").alias("m")), f"SELECT m FROM {_FULL.format(_F)}")
-_add("a5_common_ranges", lambda t: S.common_ranges(S.partition_inventory(t.spark, _store(t)), _F, "fee_charged").select(F.col("1M").alias("m")), f"SELECT m FROM {_FULL.format(_F)} INTERSECT SELECT m FROM {_FULL.format('fee_charged')}")
+_add("a5_common_ranges", lambda t: S.common_ranges(S.partition_inventory(t.spark, _store(t, events=(_F, "fee_charged"))), _F, "fee_charged").select(F.col("1M").alias("m")), f"SELECT m FROM {_FULL.format(_F)} INTERSECT SELECT m FROM {_FULL.format('fee_charged')}")
 
 
 def _all_or(t: Tables) -> DataFrame:
@@ -301,11 +301,11 @@ _add("a7_sample_ranges", lambda t: S.sample_ranges(t[_F].select((F.col("block_nu
 
 def _lookup(t: Tables) -> DataFrame:
     one = t[_F].where("contract = 'CTFExchange'").agg(F.min(F.struct("block_number", "transaction_hash")).alias("x")).first()["x"]
-    return _rows(S.lookup_tx(t.spark, _store(t), "CTFExchange", _F, one["block_number"], one["transaction_hash"]))
+    return _rows(S.lookup_tx(t.spark, _store(t, ("CTFExchange",)), "CTFExchange", _F, one["block_number"], one["transaction_hash"]))
 
 
 _add("a8_lookup_tx", _lookup, f"SELECT {_COLS} FROM order_filled WHERE contract = 'CTFExchange' AND transaction_hash = (SELECT transaction_hash FROM order_filled WHERE contract = 'CTFExchange' ORDER BY block_number, transaction_hash LIMIT 1)")
-_add("a9_scan_block_range", lambda t: _rows(S.scan_block_range(t.spark, _store(t), "CTFExchange", _F, 84_123_456, 84_654_321)), f"SELECT {_COLS} FROM order_filled WHERE contract = 'CTFExchange' AND block_number BETWEEN 84123456 AND 84654321")
+_add("a9_scan_block_range", lambda t: _rows(S.scan_block_range(t.spark, _store(t, ("CTFExchange",)), "CTFExchange", _F, 84_123_456, 84_654_321)), f"SELECT {_COLS} FROM order_filled WHERE contract = 'CTFExchange' AND block_number BETWEEN 84123456 AND 84654321")
 
 
 def _landed(t: Tables) -> DataFrame:
@@ -321,8 +321,8 @@ _LOGS = " UNION ALL ".join(f"SELECT transaction_hash, log_index, block_number, '
 _log_row = lambda df: df.select(U.strip0x(F.col("transactionHash")).alias("transaction_hash"), U.parse_hex(F.col("logIndex")).alias("log_index"), U.parse_hex(F.col("blockNumber")).alias("block_number"), F.get("topics", F.lit(0)).alias("topic0"))
 _add("a10_read_raw_logs", lambda t: _log_row(_landed(t)), _LOGS)
 _add("a11_filter_logs", lambda t: _log_row(S.filter_logs(_raw(t), [D.CONTRACTS["CTFExchange"], D.CONTRACTS["FeeModuleCTF"].upper()], [EVENTS[_F].topic0], 83_500_000, 84_500_000)), f"SELECT transaction_hash, log_index, block_number, '{EVENTS[_F].topic0}' AS topic0 FROM order_filled WHERE contract = 'CTFExchange' AND block_number BETWEEN 83500000 AND 84500000")
-_add("a12_partition_inventory", lambda t: S.partition_inventory(t.spark, _store(t)).select("contract", "event", F.col("1M").alias("m"), F.col("10K").alias("k"), "files"), " UNION ALL ".join(f"SELECT contract, '{e}' AS event, block_number // 1000000 * 1000000 AS m, block_number // 10000 * 10000 AS k, CAST(1 AS BIGINT) AS files FROM {e} GROUP BY 1, 2, 3, 4" for e in (_F, "fee_charged")))
-_add("b1_export_event", lambda t: _rows(S.scan_table(t.spark, _store(t), "NegRiskCtfExchange", "fee_charged")), "SELECT block_number, transaction_index, transaction_hash, log_index, receiver, token_id, amount FROM fee_charged WHERE contract = 'NegRiskCtfExchange'")
+_add("a12_partition_inventory", lambda t: S.partition_inventory(t.spark, _store(t, events=(_F, "fee_charged"))).select("contract", "event", F.col("1M").alias("m"), F.col("10K").alias("k"), "files"), " UNION ALL ".join(f"SELECT contract, '{e}' AS event, block_number // 1000000 * 1000000 AS m, block_number // 10000 * 10000 AS k, CAST(1 AS BIGINT) AS files FROM {e} GROUP BY 1, 2, 3, 4" for e in (_F, "fee_charged")))
+_add("b1_export_event", lambda t: _rows(S.scan_table(t.spark, _store(t, ("NegRiskCtfExchange",), ("fee_charged",)), "NegRiskCtfExchange", "fee_charged")), "SELECT block_number, transaction_index, transaction_hash, log_index, receiver, token_id, amount FROM fee_charged WHERE contract = 'NegRiskCtfExchange'")
 
 
 def _split(t: Tables) -> DataFrame:
@@ -354,11 +354,11 @@ _add("b4_insert_or_ignore", _ignore, """WITH o AS (SELECT DISTINCT block_number,
     n AS (SELECT block_number, log_index, transaction_hash, maker, delivery, row_number() OVER (PARTITION BY block_number, log_index ORDER BY delivery, transaction_hash, maker) AS r FROM order_filled_replay)
     SELECT * FROM o UNION ALL SELECT block_number, log_index, transaction_hash, maker, delivery FROM n WHERE r = 1 AND NOT EXISTS (SELECT 1 FROM o WHERE o.block_number = n.block_number AND o.log_index = n.log_index)""")
 _PARTS = " UNION ALL ".join(f"SELECT contract, '{e}' AS event, block_number // 10000 * 10000 AS k, count(*) AS row_count, min(block_number) AS block_start, max(block_number) AS block_end FROM {e} GROUP BY 1, 2, 3" for e in (_F, "fee_charged"))
-_add("b5_build_manifest", lambda t: X.build_manifest(t.spark, _store(t)).where("length(sha256) = 64 and bytes > 0 and status = 'complete'").select("contract", "event", F.col("10K").alias("k"), "row_count", "block_start", "block_end"), _PARTS)
+_add("b5_build_manifest", lambda t: X.build_manifest(t.spark, _store(t, events=(_F, "fee_charged"))).where("length(sha256) = 64 and bytes > 0 and status = 'complete'").select("contract", "event", F.col("10K").alias("k"), "row_count", "block_start", "block_end"), _PARTS)
 
 
 def _verified(t: Tables) -> DataFrame:
-    m = X.build_manifest(t.spark, _store(t)).select("contract", "event", "10K", "row_count")
+    m = X.build_manifest(t.spark, _store(t, events=(_F, "fee_charged"))).select("contract", "event", "10K", "row_count")
     less = m.withColumn("row_count", F.when(F.col("10K") % 70_000 == 0, F.col("row_count") - 1).otherwise(F.col("row_count"))).where("`10K` % 110000 <> 0")
     return X.verify_partitions(m, less).select("contract", "event", F.col("10K").alias("k"), "written", "reread")
 
