@@ -12,12 +12,12 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernel as K
 from .passages import _delta, grow, shrink
-from .spark_io import lean, map_batches, materialize
+from .spark_io import lean
 from .suffixes import suffix_array
 
 LENGTH, GRAM = 50, 24
@@ -56,10 +56,6 @@ def runs(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, ...]:
     return gram[q[new]], q[new], p[new], p[last], np.searchsorted(offs, p[new], "right") - 1
 
 
-def _bucket(ids: Column, n: int) -> Column:
-    return F.pmod(ids + F.shiftright(ids, 7) + F.shiftright(ids, 15), F.lit(n)).cast("int")
-
-
 def _bucket_of(ids: np.ndarray, n: int) -> np.ndarray:
     return (ids + (ids >> 7) + (ids >> 15)) % n
 
@@ -115,9 +111,15 @@ def fingerprints(docs: DataFrame, buckets: int) -> DataFrame:
 
 
 def shared(sent: DataFrame, buckets: int) -> DataFrame:
-    """Side 1 rows of the places whose fingerprint another block has as well."""
+    """All side 1 rows: those that blocks sent, and the places whose fingerprint another block has as well."""
+    schema = pa.schema([("bucket", pa.int32()), ("side", pa.int32()), *((c, pa.binary()) for c in ("doc", "place", "key", "flag"))])
 
     def meet(t: pa.Table) -> pa.Table:
+        side = t.column("side").to_numpy()
+        own = t.filter(pa.array(side == 1)).cast(schema)
+        t = t.filter(pa.array(side == 0))
+        if not t.num_rows:
+            return own
         parts = [(np.cumsum(grow(d, "i8")), grow(p, "i4"), grow(k, "u8"), np.frombuffer(f, bool)) for d, p, k, f in zip(*(t.column(c).to_pylist() for c in ("doc", "place", "key", "flag")))]
         doc, place, key, many = (np.concatenate(c) for c in zip(*parts))
         order = np.argsort(key, kind="stable")
@@ -126,10 +128,9 @@ def shared(sent: DataFrame, buckets: int) -> DataFrame:
         again = np.maximum.reduceat(many, starts) | (np.maximum.reduceat(doc, starts) > np.minimum.reduceat(doc, starts))
         keep = np.repeat(again, np.diff(np.append(starts, len(key))))
         out = list(_blobs(_bucket_of(doc[keep], buckets), doc[keep], place[keep], None, None, 1)) if keep.any() else []
-        empty = pa.schema([("bucket", pa.int32()), ("side", pa.int32()), *((c, pa.binary()) for c in ("doc", "place", "key", "flag"))])
-        return pa.Table.from_batches(out, empty)
+        return pa.concat_tables([own, pa.Table.from_batches(out, schema)])
 
-    return sent.where("side = 0").groupBy("bucket").applyInArrow(meet, _MARKS)
+    return sent.groupBy("bucket").applyInArrow(meet, _MARKS)
 
 
 def _finish(text: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[int, int, str]:
@@ -143,78 +144,128 @@ def _finish(text: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[int,
 
 
 _DONE = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-_MIXED = f"kind int, bucket int, {_DONE}, rid long, c0 binary, c1 binary, c2 binary, c3 binary, c4 binary, c5 binary"
+_MIXED = "kind int, bucket int, n_bytes long, c0 binary, c1 binary, c2 binary, c3 binary, c4 binary, c5 binary"
 _BLOBS = ("c0", "c1", "c2", "c3", "c4", "c5")
-_NAMES = ("kind", "bucket", "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "rid", *_BLOBS)
-_TYPES = dict(zip(_NAMES, [pa.int32(), pa.int32(), *[pa.int64()] * 4, pa.string(), pa.int64(), *[pa.binary()] * 6]))
+_SCHEMA = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("n_bytes", pa.int64()), *((c, pa.binary()) for c in _BLOBS)])
+
+
+def _span_rows(doc: np.ndarray, rid: np.ndarray, start: np.ndarray, end: np.ndarray, buckets: int) -> list[dict]:
+    """Kind 1: spans to remove, by bucket of their document, as compressed columns."""
+    part = _bucket_of(doc, buckets)
+    order = np.lexsort((start, doc, part))
+    cuts = np.flatnonzero(np.diff(part[order], prepend=-1))
+    rows = []
+    for s, e in zip(cuts, np.append(cuts[1:], len(order))):
+        o = order[s:e]
+        rows.append({"kind": 1, "bucket": int(part[o[0]]), "c0": shrink(_delta(doc[o])), "c1": shrink(rid[o]), "c2": shrink(start[o]), "c3": shrink(end[o] - start[o])})
+    return rows
 
 
 def _table(rows: list[dict]) -> pa.Table:
-    return pa.table({n: pa.array([r.get(n) for r in rows], _TYPES[n]) for n in _NAMES})
+    return pa.table({f.name: pa.array([r.get(f.name) for r in rows], f.type) for f in _SCHEMA}, _SCHEMA)
+
+
+def packed(docs: DataFrame, buckets: int) -> DataFrame:
+    """Documents by bucket of their id, compressed: (part, ids, whether there is one, byte lengths, bytes)."""
+
+    def run(batches):
+        held, size = [], 0
+
+        def flush():
+            ids, has, n = (np.concatenate([h[i] for h in held]) for i in range(3))
+            offs, raw = np.concatenate([[0], np.cumsum(n)]), b"".join(h[3] for h in held)
+            part = np.where(has, _bucket_of(ids, buckets), 0)
+            order = np.lexsort((ids, part))
+            cuts = np.flatnonzero(np.diff(part[order], prepend=-1))
+            for s, e in zip(cuts, np.append(cuts[1:], len(order))):
+                o = order[s:e]
+                body = b"".join(raw[offs[i] : offs[i + 1]] for i in o)
+                cols = [shrink(ids[o]), has[o].tobytes(), shrink(n[o]), _pack(body)]
+                yield pa.RecordBatch.from_arrays([pa.array([int(part[o[0]])], pa.int32()), *(pa.array([c], pa.binary()) for c in cols)], names=["part", "ids", "has", "sizes", "body"])
+
+        for b in batches:
+            col = b.column(0)
+            ids, has = col.fill_null(0).to_numpy(zero_copy_only=False), np.array(col.is_valid())
+            for lo, hi, buf, offs in K.slices(b.column(1)):
+                held.append((ids[lo:hi], has[lo:hi], np.diff(offs), buf.tobytes()))
+                size += len(buf)
+                if size >= BLOCK_BYTES:
+                    yield from flush()
+                    held, size = [], 0
+        if held:
+            yield from flush()
+
+    return docs.select("doc_id", "t").mapInArrow(run, "part int, ids binary, has binary, sizes binary, body binary")
+
+
+def _ordinals(ids: np.ndarray, has: np.ndarray, buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """0, but numbers the different texts of an id that is repeated (all its rows are in one bucket)."""
+    out = np.zeros(len(ids), np.int64)
+    values, count = np.unique(ids[has], return_counts=True)
+    for v in values[count > 1].tolist():
+        rows = np.flatnonzero((ids == v) & has)
+        texts = [buf[offs[i] : offs[i + 1]].tobytes() for i in rows]
+        order = {t: k for k, t in enumerate(sorted(set(texts)))}
+        out[rows] = [order[t] for t in texts]
+    return out
+
+
+def _opened(left: pa.Table) -> tuple[np.ndarray, ...]:
+    """(ids, whether there is one, text ordinals, bytes, offsets) of the documents of a bucket."""
+    cols = [left.column(c).to_pylist() for c in ("ids", "has", "sizes", "body")]
+    ids, has = np.concatenate([grow(x, "i8") for x in cols[0]]), np.concatenate([np.frombuffer(x, bool) for x in cols[1]])
+    sizes = [grow(x, "i8") for x in cols[2]]
+    buf = np.frombuffer(b"".join(_unpack(x, int(n.sum())) for x, n in zip(cols[3], sizes)), np.uint8)
+    offs = np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int64)
+    return ids, has, _ordinals(ids, has, buf, offs), buf, offs
 
 
 def contexts(docs: DataFrame, marks: DataFrame, buckets: int) -> DataFrame:
-    """Kind 0: rows that are done; 1: texts with marked runs and the spans settled here; 2: the runs' bytes by fingerprint."""
+    """Kind 1: spans that are settled within a bucket of documents; 2: the marked runs' bytes, by fingerprint."""
 
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
-        mark = np.zeros(0, np.uint64)
-        if right.num_rows:
+        if left.num_rows and right.num_rows:
             doc = np.concatenate([np.cumsum(grow(x, "i8")) for x in right.column("doc").to_pylist()])
             place = np.concatenate([grow(x, "i4") for x in right.column("place").to_pylist()])
             mark = np.unique(K.mix(doc.view(np.uint64)) + place.astype(np.uint64))
-        out, found, carried = [], [], []
-        for column in (left.column("t").combine_chunks(),) if left.num_rows else ():
-            names = left.column("doc_id").to_pylist()
-            for lo, hi, buf, offs in K.slices(column if isinstance(column, pa.Array) else column.chunk(0)):
-                rid = K.Hasher(buf)(offs[:-1], offs[1:]).view(np.int64)
-                has = np.array([x is not None for x in names[lo:hi]])
-                ids = np.array([x if x is not None else 0 for x in names[lo:hi]], np.int64)
-                hit = np.zeros(0, np.int64)
-                if len(mark):
-                    key, q, p0, p1, row = runs(buf, offs)
-                    code = K.mix(ids[row].view(np.uint64)) + (q - offs[row]).astype(np.uint64)
-                    i = np.minimum(np.searchsorted(mark, code), len(mark) - 1)
-                    hit = np.flatnonzero((mark[i] == code) & has[row])
-                held = np.unique(row[hit]) if len(hit) else hit
-                for r in np.setdiff1d(np.arange(hi - lo), held):
-                    text = buf[offs[r] : offs[r + 1]]
-                    out.append({"kind": 0, "doc_id": names[lo + r], "n_bytes": len(text), "n_removed": 0, "n_spans": 0, "kept_sha256": hashlib.sha256(text.tobytes()).hexdigest()})
-                if not len(hit):
-                    continue
-                for r in held:
-                    text = buf[offs[r] : offs[r + 1]].tobytes()
-                    carried.append({"kind": 1, "doc_id": names[lo + r], "rid": int(rid[r]), "n_bytes": len(text), "c0": _pack(text)})
-                whole = buf.tobytes()
-                a, b, r = p0[hit], p1[hit] + LENGTH, row[hit]
-                found.append((key[hit], ids[r], rid[r], a - offs[r], b - a, [whole[x:y] for x, y in zip(a.tolist(), b.tolist())]))
-        if found:
-            key, doc, rid, start, size = (np.concatenate([f[i] for f in found]) for i in range(5))
-            text = [x for f in found for x in f[5]]
-            least: dict[bytes, int] = {}
-            for x, d in zip(text, doc.tolist()):
-                if least.get(x, d) >= d:
-                    least[x] = d
-            lost = np.array([least[x] < d for x, d in zip(text, doc.tolist())], bool)
-            spans: dict[tuple[int, int], list[int]] = {}
-            for i in np.flatnonzero(lost).tolist():
-                spans.setdefault((int(doc[i]), int(rid[i])), []).append(i)
-            for c in carried:
-                at = np.array(spans.get((c["doc_id"], c["rid"]), []), int)
-                c |= {"c1": shrink(start[at].astype(np.int64)), "c2": shrink((start[at] + size[at]).astype(np.int64))}
-            bucket = (key >> np.uint64(40)) % np.uint64(buckets)
-            order = np.flatnonzero(~lost)
-            order = order[np.argsort(bucket[order], kind="stable")]
-            cuts = np.flatnonzero(np.diff(bucket[order].astype(np.int64), prepend=-1))
-            for s, e in zip(cuts, np.append(cuts[1:], len(order))):
-                o = order[s:e]
-                cols = [key[o].tobytes(), shrink(doc[o]), shrink(rid[o]), shrink(start[o].astype(np.int64)), shrink(size[o].astype(np.int64))]
-                body = b"".join(text[i] for i in o)
-                out.append({"kind": 2, "bucket": int(bucket[o[0]]), **dict(zip(_BLOBS, [*cols, _pack(body)])), "n_bytes": len(body)})
-        return _table(out + carried)
+        else:
+            return _table([])
+        ids, has, rid, buf, offs = _opened(left)
+        found, lo = [], 0
+        while lo < len(ids):
+            hi = min(max(int(np.searchsorted(offs, offs[lo] + K.SLICE, "right")) - 1, lo + 1), len(ids))
+            key, q, p0, p1, row = runs(buf[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo])
+            row = row + lo
+            code = K.mix(ids[row].view(np.uint64)) + (q + offs[lo] - offs[row]).astype(np.uint64)
+            i = np.minimum(np.searchsorted(mark, code), len(mark) - 1)
+            hit = np.flatnonzero((mark[i] == code) & has[row])
+            found.append((key[hit], row[hit], p0[hit] + offs[lo], p1[hit] + offs[lo] + LENGTH))
+            lo = hi
+        key, row, start, end = (np.concatenate(c) for c in zip(*found))
+        if not len(row):
+            return _table([])
+        doc, whole = ids[row], buf.tobytes()
+        text = [whole[x:y] for x, y in zip(start.tolist(), end.tolist())]
+        least: dict[bytes, int] = {}
+        for x, d in zip(text, doc.tolist()):
+            if least.get(x, d) >= d:
+                least[x] = d
+        lost = np.array([least[x] < d for x, d in zip(text, doc.tolist())], bool)
+        at = np.flatnonzero(lost)
+        out = _span_rows(doc[at], rid[row[at]], start[at] - offs[row[at]], end[at] - offs[row[at]], buckets)
+        bucket = (key >> np.uint64(40)) % np.uint64(buckets)
+        order = np.flatnonzero(~lost)
+        order = order[np.lexsort((start[order], doc[order], bucket[order]))]
+        cuts = np.flatnonzero(np.diff(bucket[order].astype(np.int64), prepend=-1))
+        for s, e in zip(cuts, np.append(cuts[1:], len(order))):
+            o = order[s:e]
+            cols = [shrink(key[o] & _LOW48), shrink(_delta(doc[o])), shrink(rid[row[o]]), shrink(start[o] - offs[row[o]]), shrink(end[o] - start[o])]
+            body = b"".join(text[i] for i in o)
+            out.append({"kind": 2, "bucket": int(bucket[o[0]]), **dict(zip(_BLOBS, [*cols, _pack(body)])), "n_bytes": len(body)})
+        return _table(out)
 
-    left = docs.withColumn("part", F.coalesce(_bucket(F.col("doc_id"), buckets), F.lit(0)))
     right = marks.select(F.col("bucket").alias("at"), F.col("doc"), F.col("place"))
-    return left.groupBy("part").cogroup(right.groupBy("at")).applyInArrow(work, _MIXED)
+    return packed(docs, buckets).groupBy("part").cogroup(right.groupBy("at")).applyInArrow(work, _MIXED)
 
 
 def repeated_windows(texts: list[bytes], docs: list[int]) -> list[list[int]]:
@@ -255,43 +306,130 @@ def repeated_windows(texts: list[bytes], docs: list[int]) -> list[list[int]]:
     return out
 
 
-def settle(found: DataFrame) -> DataFrame:
-    """(doc_id, rid, start, end) as compressed columns: spans to remove, of the contexts that met at their fingerprint."""
+def _trimmed(texts: list[bytes], least: np.ndarray) -> list[tuple[int, int]]:
+    """For each text its first and last window that a text with another smallest document may have too (by hashes; a
+    window without such a partner repeats nothing). (0, -1) if there is none."""
+    buf = np.frombuffer(b"".join(texts), np.uint8)
+    offs = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+    count = np.diff(offs) - LENGTH + 1
+    of = np.repeat(np.arange(len(texts)), count)
+    place = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
+    at = offs[of] + place
+    _, key = np.unique(K.Hasher(buf)(at, at + LENGTH), return_inverse=True)
+    low, high = np.full(key.max() + 1, np.iinfo(np.int64).max), np.full(key.max() + 1, np.iinfo(np.int64).min)
+    np.minimum.at(low, key, least[of])
+    np.maximum.at(high, key, least[of])
+    hit = np.flatnonzero(low[key] < high[key])
+    first, last = np.zeros(len(texts), np.int64), np.full(len(texts), -1, np.int64)
+    if len(hit):
+        starts = np.flatnonzero(np.concatenate([[True], of[hit][1:] != of[hit][:-1]]))
+        first[of[hit[starts]]] = place[hit[starts]]
+        last[of[hit[starts]]] = place[hit[np.append(starts[1:], len(hit)) - 1]]
+    return list(zip(first.tolist(), last.tolist()))
+
+
+def _repeats(groups: list[list[int]], texts: list[bytes], least: list[int]) -> dict[int, list[tuple[int, int]]]:
+    """Spans to remove (start, end) in the smallest document of each text; groups list the texts of one fingerprint.
+
+    Texts are first cut to the part that may repeat; most then are equal. Different ones go through the suffix array."""
+    out: dict[int, list[tuple[int, int]]] = {}
+    chosen = [i for g in groups for i in g]
+    if not chosen:
+        return out
+    part = dict(zip(chosen, _trimmed([texts[i] for i in chosen], np.array([least[i] for i in chosen], np.int64))))
+    for g in groups:
+        of: dict[bytes, list[int]] = {}
+        for i in g:
+            a, b = part[i]
+            if b >= a:
+                of.setdefault(texts[i][a : b + LENGTH], []).append(i)
+        lows = [min(least[i] for i in m) for m in of.values()]
+        places = repeated_windows(list(of), lows) if len(of) > 1 and len(set(lows)) > 1 else [[] for _ in of]
+        for (t, members), low, found in zip(of.items(), lows, places):
+            for i in members:
+                a = part[i][0]
+                if least[i] > low:
+                    out[i] = [(a, a + len(t))]
+                elif found:
+                    out[i] = [(a + j, a + j + LENGTH) for j in found]
+    return out
+
+
+def settle(mixed: DataFrame, buckets: int) -> DataFrame:
+    """Kind 1 as it comes, and kind 1 of the contexts that meet at their fingerprint."""
 
     def meet(t: pa.Table) -> pa.Table:
+        kind = t.column("kind").to_numpy()
+        rest = t.filter(pa.array(kind == 1)).cast(_SCHEMA)
+        t = t.filter(pa.array(kind == 2))
+        if not t.num_rows:
+            return rest
         keys, docs, rids, starts, texts = [], [], [], [], []
         for key, doc, rid, start, size, body, n in zip(*(t.column(c).to_pylist() for c in (*_BLOBS, "n_bytes"))):
             raw = _unpack(body, n)
             ends = np.cumsum(grow(size, "i8")).tolist()
             texts += [raw[a:b] for a, b in zip([0, *ends], ends)]
-            keys.append(np.frombuffer(key, np.uint64)), docs.append(grow(doc, "i8")), rids.append(grow(rid, "i8")), starts.append(grow(start, "i8"))
+            keys.append(grow(key, "u8")), docs.append(np.cumsum(grow(doc, "i8"))), rids.append(grow(rid, "i8")), starts.append(grow(start, "i8"))
         key, doc, rid, start = (np.concatenate(x) for x in (keys, docs, rids, starts))
         order = np.argsort(key, kind="stable")
         cuts = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]]))
-        spans: dict[tuple[int, int], list[tuple[int, int]]] = {}
         d, r, p = doc.tolist(), rid.tolist(), start.tolist()
-        for s, e in zip(cuts, np.append(cuts[1:], len(order))):
+        different: list[bytes] = []
+        least: list[int] = []
+        rows_of: list[list[int]] = []
+        groups: list[list[int]] = []
+        for s, e in zip(cuts.tolist(), np.append(cuts[1:], len(order)).tolist()):
             if e - s < 2:
                 continue
             of: dict[bytes, list[int]] = {}
             for i in order[s:e].tolist():
                 of.setdefault(texts[i], []).append(i)
-            least = [min(d[i] for i in rows) for rows in of.values()]
-            if len(of) > 1 and len(set(least)) > 1:
-                again = repeated_windows(list(of), least)
-            else:
-                again = [[] for _ in of]
-            for (text, rows), m, places in zip(of.items(), least, again):
-                for i in rows:
-                    if d[i] > m:
-                        spans.setdefault((d[i], r[i]), []).append((p[i], p[i] + len(text)))
-                    elif places:
-                        spans.setdefault((d[i], r[i]), []).extend((p[i] + j, p[i] + j + LENGTH) for j in places)
-        rows = [(k[0], k[1], shrink(np.array([x for x, _ in v], np.int64)), shrink(np.array([y for _, y in v], np.int64))) for k, v in spans.items()]
-        c = list(zip(*rows)) or [(), (), (), ()]
-        return pa.table({"doc_id": pa.array(c[0], pa.int64()), "rid": pa.array(c[1], pa.int64()), "s": pa.array(c[2], pa.binary()), "e": pa.array(c[3], pa.binary())})
-
-    return found.groupBy("bucket").applyInArrow(meet, "doc_id long, rid long, s binary, e binary")
+            n = len(different)
+            different += of
+            rows_of += of.values()
+            least += [min(d[i] for i in rows) for rows in of.values()]
+            if len(of) > 1 and len(set(least[n:])) > 1:
+                groups.append(list(range(n, len(different))))
+        again = _repeats(groups, different, least)
+        spans: list[tuple[int, int, int, int]] = []
+        for x, (text, rows) in enumerate(zip(different, rows_of)):
+            places = again.get(x, [])
+            for i in rows:
+                if d[i] > least[x]:
+                    spans.append((d[i], r[i], p[i], p[i] + len(text)))
+                else:
+                    spans += [(d[i], r[i], p[i] + a, p[i] + b) for a, b in places]
+        out = _span_rows(*np.array(spans, np.int64).T, buckets) if spans else []
+        return pa.concat_tables([rest, _table(out)])
+
+    return mixed.groupBy("bucket").applyInArrow(meet, _MIXED)
+
+
+def finish(docs: DataFrame, spans: DataFrame, buckets: int) -> DataFrame:
+    """The result rows: spans meet their documents once more."""
+
+    def work(left: pa.Table, right: pa.Table) -> pa.Table:
+        rows = []
+        if left.num_rows:
+            ids, has, rid, buf, offs = _opened(left)
+            cols = [right.column(c).to_pylist() for c in ("c0", "c1", "c2", "c3")] if right.num_rows else [[]] * 4
+            doc = np.concatenate([np.zeros(0, np.int64), *(np.cumsum(grow(x, "i8")) for x in cols[0])])
+            which, start, size = (np.concatenate([np.zeros(0, np.int64), *(grow(x, "i8") for x in c)]) for c in cols[1:])
+            order = np.lexsort((which, doc))
+            doc, which, start, size = doc[order], which[order], start[order], size[order]
+            for i in range(len(ids)):
+                s, e = np.searchsorted(doc, [ids[i], ids[i] + 1]) if has[i] else (0, 0)
+                if e > s:
+                    s, e = s + np.searchsorted(which[s:e], [rid[i], rid[i] + 1])
+                text = buf[offs[i] : offs[i + 1]]
+                done = _finish(text, start[s:e], start[s:e] + size[s:e]) if e > s else (0, 0, hashlib.sha256(text.tobytes()).hexdigest())
+                rows.append((int(ids[i]) if has[i] else None, len(text), *done))
+        c = list(zip(*rows)) or [()] * 5
+        kinds = [pa.int64()] * 4 + [pa.string()]
+        return pa.table({n: pa.array(v, k) for n, v, k in zip(("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"), c, kinds)})
+
+    right = spans.select(F.col("bucket").alias("at"), "c0", "c1", "c2", "c3")
+    return packed(docs, buckets).groupBy("part").cogroup(right.groupBy("at")).applyInArrow(work, _DONE)
 
 
 def deduplicate(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -302,24 +440,5 @@ def deduplicate(docs: DataFrame, text: str = "text") -> DataFrame:
     lean(docs.sparkSession)
     buckets = max(16, 4 * docs.rdd.getNumPartitions())
     rows = docs.select("doc_id", F.coalesce(F.col(text), F.lit("")).alias("t"))
-    sent = materialize(fingerprints(rows, buckets), "fingerprints")
-    marks = sent.where("side = 1").unionAll(shared(sent, buckets))
-    mixed = materialize(contexts(rows, marks, buckets), "contexts")
-    spans = settle(mixed.where("kind = 2").select("bucket", *_BLOBS, "n_bytes")).groupBy("doc_id", "rid").agg(F.collect_list(F.struct("s", "e")).alias("spans"))  # of one document
-    carried = mixed.where("kind = 1").select("doc_id", "rid", "n_bytes", "c0", "c1", "c2")
-    # rows that repeat both id and text have the same spans
-    joined = carried.join(spans, ["doc_id", "rid"], "left").select("doc_id", "n_bytes", "c0", "c1", "c2", "spans")
-
-    def finish(b: pa.RecordBatch) -> pa.RecordBatch:
-        out = []
-        for doc, n, body, s, e, more in zip(*(c.to_pylist() for c in b.columns)):
-            raw = np.frombuffer(_unpack(body, n), np.uint8)
-            start = np.concatenate([grow(s, "i8"), *(grow(x["s"], "i8") for x in more or [])])
-            end = np.concatenate([grow(e, "i8"), *(grow(x["e"], "i8") for x in more or [])])
-            out.append((doc, n, *_finish(raw, start, end)))
-        c = list(zip(*out)) or [()] * 5
-        kinds = [pa.int64()] * 4 + [pa.string()]
-        return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(c, kinds)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
-
-    done = mixed.where("kind = 0").select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
-    return done.unionAll(map_batches(joined, finish, _DONE))
+    marks = shared(fingerprints(rows, buckets), buckets)
+    return finish(rows, settle(contexts(rows, marks, buckets), buckets), buckets)
