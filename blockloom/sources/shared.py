@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path below spark.checkpoint.dir, or below a temporary folder where that is unset (as in tests)."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
+    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not at:
-        at = tempfile.mkdtemp(prefix="spark-shared-")
-        spark.conf.set("spark.checkpoint.dir", at)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-shared-"))
+        at = spark.sparkContext.getCheckpointDir()
     return f"{at}/{name}-{uuid.uuid4().hex}"
 
 
