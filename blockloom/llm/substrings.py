@@ -17,11 +17,12 @@ from pyspark.sql import functions as F
 
 from . import kernel as K
 from .passages import _delta, grow, shrink
-from .spark_io import lean
+from .spark_io import lean, materialize
 from .suffixes import suffix_array
 
 LENGTH, GRAM = 50, 24
 BLOCK_BYTES = 8 << 20
+HOT_ROWS, HOT_SHARE = 20_000, 10_000
 _LOW32, _LOW48 = np.uint64(0xFFFFFFFF), np.uint64((1 << 48) - 1)
 
 
@@ -66,7 +67,7 @@ def _blobs(bucket: np.ndarray, doc: np.ndarray, place: np.ndarray, key: np.ndarr
     cuts = np.flatnonzero(np.diff(bucket[order].astype(np.int64), prepend=-1))
     for s, e in zip(cuts, np.append(cuts[1:], len(order))):
         o = order[s:e]
-        cols = [shrink(_delta(doc[o])), shrink(place[o].astype(np.int32)), shrink(key[o] & _LOW48) if key is not None else b"", flag[o].tobytes() if flag is not None else b""]
+        cols = [shrink(_delta(doc[o])), shrink(place[o].astype(np.int32)), shrink(key[o] & _LOW48) if key is not None else b"", shrink(flag[o].astype(np.int32)) if flag is not None else b""]
         yield pa.RecordBatch.from_arrays([pa.array([int(bucket[o[0]])], pa.int32()), pa.array([side], pa.int32()), *(pa.array([c], pa.binary()) for c in cols)], names=["bucket", "side", "doc", "place", "key", "flag"])
 
 
@@ -74,8 +75,8 @@ _MARKS = "bucket int, side int, doc binary, place binary, key binary, flag binar
 
 
 def fingerprints(docs: DataFrame, buckets: int) -> DataFrame:
-    """Side 0, by fingerprint: (document, place, fingerprint, whether the block has it in several documents); side 1, by
-    document: places of fingerprints that the block itself has in several documents."""
+    """Side 0, by fingerprint: (document, place, fingerprint, its places in the block if several documents have it, else 0);
+    side 1, by document: places of fingerprints that the block itself has in several documents."""
 
     def run(batches):
         held, size = [], 0
@@ -89,7 +90,7 @@ def fingerprints(docs: DataFrame, buckets: int) -> DataFrame:
             count = np.diff(np.append(starts, len(key)))
             many = np.repeat(np.maximum.reduceat(doc, starts) > np.minimum.reduceat(doc, starts), count)
             send = ~many | new
-            yield from _blobs((key[send] >> np.uint64(48)) % np.uint64(buckets), doc[send], place[send], key[send], many[send], 0)
+            yield from _blobs((key[send] >> np.uint64(48)) % np.uint64(buckets), doc[send], place[send], key[send], (many * np.repeat(count, count))[send], 0)
             if many.any():
                 yield from _blobs(_bucket_of(doc[many], buckets), doc[many], place[many], None, None, 1)
 
@@ -111,7 +112,9 @@ def fingerprints(docs: DataFrame, buckets: int) -> DataFrame:
 
 
 def shared(sent: DataFrame, buckets: int) -> DataFrame:
-    """All side 1 rows: those that blocks sent, and the places whose fingerprint another block has as well."""
+    """All side 1 rows: those that blocks sent, and the places whose fingerprint another block has as well; side 2:
+    fingerprints with more than HOT_ROWS places and how many (a bucket's number above its 48 bits); side 3: all places."""
+    hot_rows = HOT_ROWS
     schema = pa.schema([("bucket", pa.int32()), ("side", pa.int32()), *((c, pa.binary()) for c in ("doc", "place", "key", "flag"))])
 
     def meet(t: pa.Table) -> pa.Table:
@@ -120,19 +123,39 @@ def shared(sent: DataFrame, buckets: int) -> DataFrame:
         t = t.filter(pa.array(side == 0))
         if not t.num_rows:
             return own
-        parts = [(np.cumsum(grow(d, "i8")), grow(p, "i4"), grow(k, "u8"), np.frombuffer(f, bool)) for d, p, k, f in zip(*(t.column(c).to_pylist() for c in ("doc", "place", "key", "flag")))]
+        parts = [(np.cumsum(grow(d, "i8")), grow(p, "i4"), grow(k, "u8"), grow(f, "i4")) for d, p, k, f in zip(*(t.column(c).to_pylist() for c in ("doc", "place", "key", "flag")))]
+        bucket = t.column("bucket")[0].as_py()
         doc, place, key, many = (np.concatenate(c) for c in zip(*parts))
         order = np.argsort(key, kind="stable")
         doc, place, key, many = doc[order], place[order], key[order], many[order]
         starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        again = np.maximum.reduceat(many, starts) | (np.maximum.reduceat(doc, starts) > np.minimum.reduceat(doc, starts))
+        again = (np.maximum.reduceat(many, starts) > 0) | (np.maximum.reduceat(doc, starts) > np.minimum.reduceat(doc, starts))
         keep = np.repeat(again, np.diff(np.append(starts, len(key))))
         out = list(_blobs(_bucket_of(doc[keep], buckets), doc[keep], place[keep], None, None, 1)) if keep.any() else []
-        return pa.concat_tables([own, pa.Table.from_batches(out, schema)])
+        places = np.add.reduceat(np.maximum(many, 1).astype(np.int64), starts)
+        code = key[starts] | np.uint64(bucket << 48)
+        hot = places > hot_rows
+        extra = [{"bucket": bucket, "side": 2, "key": shrink(code[hot]), "flag": shrink(places[hot])}] if hot.any() else []
+        extra.append({"bucket": bucket, "side": 3, "flag": shrink(np.array([places.sum()]))})
+        return pa.concat_tables([own, pa.Table.from_batches(out, schema), pa.Table.from_pylist(extra, schema)])
 
     return sent.groupBy("bucket").applyInArrow(meet, _MARKS)
 
 
+def hot_fingerprints(marks: DataFrame) -> np.ndarray:
+    """The at most HOT_SHARE fingerprints that hold more than one in HOT_SHARE of all places (and HOT_ROWS)."""
+    total = sum(int(grow(r["flag"], "i8")[0]) for r in marks.where("side = 3").select("flag").collect())  # a number per bucket
+    least = max(HOT_ROWS, total // HOT_SHARE)
+
+    def run(batches):
+        for b in batches:
+            out = [k[n > least] for k, n in ((grow(k, "u8"), grow(f, "i8")) for k, f in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.uint64), *out]).view(np.int64))], names=["code"])
+
+    rows = marks.where("side = 2").select("key", "flag").mapInArrow(run, "code long").collect()
+    return np.sort(np.array([r["code"] for r in rows], np.int64).view(np.uint64))
+
+
 def _finish(text: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[int, int, str]:
     """Removed bytes, maximal removed runs, and the digest of the rest."""
     change = np.zeros(len(text) + 1, np.int32)
@@ -165,6 +188,25 @@ def _table(rows: list[dict]) -> pa.Table:
     return pa.table({f.name: pa.array([r.get(f.name) for r in rows], f.type) for f in _SCHEMA}, _SCHEMA)
 
 
+def _window_rows(h: np.ndarray, doc: np.ndarray, rid: np.ndarray, place: np.ndarray, buckets: int) -> list[dict]:
+    """Kind 3: of each window its smallest document's places, by hash; kind 1: the other documents' places."""
+    if not len(h):
+        return []
+    order = np.lexsort((doc, h))
+    h, doc, rid, place = h[order], doc[order], rid[order], place[order]
+    starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+    first = doc == np.repeat(doc[starts], np.diff(np.append(starts, len(h))))
+    rows = _span_rows(doc[~first], rid[~first], place[~first], place[~first] + LENGTH, buckets) if not first.all() else []
+    h, doc, rid, place = h[first], doc[first], rid[first], place[first]
+    bucket = ((h >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+    for s, e in zip(cuts, np.append(cuts[1:], len(order))):
+        o = order[s:e]
+        rows.append({"kind": 3, "bucket": int(bucket[o[0]]), "c0": shrink(h[o]), "c1": shrink(doc[o]), "c2": shrink(rid[o]), "c3": shrink(place[o])})
+    return rows
+
+
 def packed(docs: DataFrame, buckets: int) -> DataFrame:
     """Documents by bucket of their id, compressed: (part, ids, whether there is one, byte lengths, bytes)."""
 
@@ -220,8 +262,9 @@ def _opened(left: pa.Table) -> tuple[np.ndarray, ...]:
     return ids, has, _ordinals(ids, has, buf, offs), buf, offs
 
 
-def contexts(docs: DataFrame, marks: DataFrame, buckets: int) -> DataFrame:
-    """Kind 1: spans that are settled within a bucket of documents; 2: the marked runs' bytes, by fingerprint."""
+def contexts(docs: DataFrame, marks: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
+    """Kind 1: spans that are settled within a bucket of documents; 2: the marked runs' bytes, by fingerprint; 3: windows of
+    the runs of hot fingerprints, by hash."""
 
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
         if left.num_rows and right.num_rows:
@@ -253,8 +296,18 @@ def contexts(docs: DataFrame, marks: DataFrame, buckets: int) -> DataFrame:
         lost = np.array([least[x] < d for x, d in zip(text, doc.tolist())], bool)
         at = np.flatnonzero(lost)
         out = _span_rows(doc[at], rid[row[at]], start[at] - offs[row[at]], end[at] - offs[row[at]], buckets)
+        warm = ~lost
+        if len(hot):
+            code = (key & _LOW48) | (((key >> np.uint64(48)) % np.uint64(buckets)) << np.uint64(48))
+            i = np.minimum(np.searchsorted(hot, code), len(hot) - 1)
+            mine = np.flatnonzero(warm & (hot[i] == code))
+            warm[mine] = False
+            n = end[mine] - start[mine] - LENGTH + 1
+            of = np.repeat(mine, n)
+            at = start[of] + np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+            out += _window_rows(K.Hasher(buf)(at, at + LENGTH) if len(at) else np.zeros(0, np.uint64), doc[of], rid[row[of]], at - offs[row[of]], buckets)
         bucket = (key >> np.uint64(40)) % np.uint64(buckets)
-        order = np.flatnonzero(~lost)
+        order = np.flatnonzero(warm)
         order = order[np.lexsort((start[order], doc[order], bucket[order]))]
         cuts = np.flatnonzero(np.diff(bucket[order].astype(np.int64), prepend=-1))
         for s, e in zip(cuts, np.append(cuts[1:], len(order))):
@@ -361,6 +414,10 @@ def settle(mixed: DataFrame, buckets: int) -> DataFrame:
     def meet(t: pa.Table) -> pa.Table:
         kind = t.column("kind").to_numpy()
         rest = t.filter(pa.array(kind == 1)).cast(_SCHEMA)
+        if (kind == 3).any():
+            w = t.filter(pa.array(kind == 3))
+            h, doc, rid, place = (np.concatenate([grow(x, k) for x in w.column(c).to_pylist()]) for c, k in zip(_BLOBS, ("u8", "i8", "i8", "i8")))
+            rest = pa.concat_tables([rest, _table([r for r in _window_rows(h, doc, rid, place, buckets) if r["kind"] == 1])])
         t = t.filter(pa.array(kind == 2))
         if not t.num_rows:
             return rest
@@ -440,5 +497,6 @@ def deduplicate(docs: DataFrame, text: str = "text") -> DataFrame:
     lean(docs.sparkSession)
     buckets = max(16, 4 * docs.rdd.getNumPartitions())
     rows = docs.select("doc_id", F.coalesce(F.col(text), F.lit("")).alias("t"))
-    marks = shared(fingerprints(rows, buckets), buckets)
-    return finish(rows, settle(contexts(rows, marks, buckets), buckets), buckets)
+    marks = materialize(shared(fingerprints(rows, buckets), buckets), "marks")
+    found = contexts(rows, marks.where("side = 1"), hot_fingerprints(marks), buckets)
+    return finish(rows, settle(found, buckets), buckets)

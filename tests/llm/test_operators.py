@@ -234,6 +234,12 @@ def test_substrings(docs, texts, odd, none):
     assert substrings.deduplicate(none).count() == 0
 
 
+def test_substrings_of_hot_fingerprints(monkeypatch, docs, texts):
+    monkeypatch.setattr(substrings, "HOT_ROWS", 2)
+    monkeypatch.setattr(substrings, "HOT_SHARE", 1 << 30)
+    assert {r[0]: tuple(r)[1:] for r in substrings.deduplicate(docs).collect()} == _removed(texts)
+
+
 def test_licenses(spark, docs, odd, none):
     mit = licenses.KNOWN[0][1]
     rows = [(1, "Copyright (c) 2020 Jane\n" + mit.upper().replace("license", "licence")), (2, mit + " and more"), (3, "text\nReleased under the MIT Licence\nend"), (4, None)]
