@@ -1,28 +1,38 @@
 """Exact 256-bit conversions as column expressions: no Python runs per row.
 
-Values below 2**64 take a short path; others are folded through limbs of nine decimal or eight hexadecimal digits in
-64-bit arithmetic (10**9 * 2**32 fits)."""
+Values below 2**64 take a short path. Others are cut into chunks; the limbs of the result are sums of chunks times the limbs
+of their weights (ten products of at most 2**28 * 10**9, or 10**8 * 2**32, fit 64 bits), and one pass carries over."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 DIGITS, INVERSE = "0123456789abcdef", "fedcba9876543210"
 
 
-def _fold(digits: Column, chunk: int, n: int, base: int, limb: int, limbs: int) -> Column:
+def let(value: Column, body) -> Column:
+    """body(value) with the value computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _limbs(digits: Column, chunk: int, n: int, base: int, limb: int, limbs: int) -> Column:
     """Limbs (least first) to the base `limb` of a number given as n chunks of `chunk` digits to the base `base`."""
-    parts = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.conv(F.substr(digits, i * chunk + 1, F.lit(chunk)), base, 10).cast("long"))
+    texts = [F.substr(digits, F.lit(i * chunk + 1), F.lit(chunk)) for i in range(n)]
+    parts = F.array(*(t.try_cast("long") if base == 10 else F.conv(t, base, 10).cast("long") for t in texts))
+    weights = [[base ** (chunk * (n - 1 - i)) // limb**j % limb for i in range(n)] for j in range(limbs)]
 
-    def step(acc: Column, part: Column) -> Column:
-        def one(s: Column, x: Column) -> Column:
-            v = x * F.lit(base**chunk) + s["carry"]
-            return F.struct(F.concat(s["out"], F.array(v % F.lit(limb))).alias("out"), F.call_function("div", v, F.lit(limb)).alias("carry"))
+    def sums(p: Column) -> Column:
+        return F.array(*(reduce(lambda a, b: a + b, (p[i] * F.lit(w) for i, w in enumerate(row) if w)) for row in weights))
 
-        return F.aggregate(acc, F.struct(F.array().cast("array<bigint>").alias("out"), part.alias("carry")), one, lambda s: s["out"])
+    def carry(s: Column, x: Column) -> Column:
+        v = x + s["carry"]
+        return F.struct(F.concat(s["out"], F.array(v % F.lit(limb))).alias("out"), F.call_function("div", v, F.lit(limb)).alias("carry"))
 
-    return F.aggregate(parts, F.array_repeat(F.lit(0).cast("long"), limbs), step)
+    start = F.struct(F.array().cast("array<bigint>").alias("out"), F.lit(0).cast("long").alias("carry"))
+    return F.aggregate(let(parts, sums), start, carry, lambda s: s["out"])
 
 
 def strip0x(c: Column) -> Column:
@@ -35,16 +45,11 @@ def hex_to_binary(c: Column, size: int) -> Column:
     return F.unhex(F.when(F.length(h) >= 2 * size, h).otherwise(F.lpad(h, 2 * size, "0")))
 
 
-def let(value: Column, body) -> Column:
-    """body(value) with the value computed once."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def u256_dec(word: Column) -> Column:
     """64 hex digits to a decimal string."""
 
     def long(w: Column) -> Column:
-        return F.ltrim(F.array_join(F.transform(F.reverse(_fold(w, 8, 8, 16, 10**9, 9)), lambda x: F.lpad(x.cast("string"), 9, "0")), ""), F.lit("0"))
+        return F.ltrim(F.array_join(F.transform(F.reverse(_limbs(F.lpad(w, 70, "0"), 7, 10, 16, 10**9, 9)), lambda x: F.lpad(x.cast("string"), 9, "0")), ""), F.lit("0"))
 
     return F.when(word.startswith("0" * 48), F.conv(F.substr(word, F.lit(49)), 16, 10)).otherwise(let(F.lower(word), long))
 
@@ -53,9 +58,9 @@ def u256_hex(dec: Column) -> Column:
     """A decimal string below 2**256 to 64 hex digits; null if it is no number."""
 
     def long(d: Column) -> Column:
-        return F.array_join(F.transform(F.reverse(_fold(d, 9, 9, 10, 1 << 32, 8)), lambda x: F.lpad(F.lower(F.hex(x)), 8, "0")), "")
+        return F.array_join(F.transform(F.reverse(_limbs(d, 8, 10, 10, 1 << 32, 8)), lambda x: F.lpad(F.lower(F.hex(x)), 8, "0")), "")
 
-    return F.when(F.length(dec) <= 18, F.lpad(F.lower(F.hex(dec.try_cast("long"))), 64, "0")).otherwise(let(F.lpad(dec, 81, "0"), long))
+    return F.when(F.length(dec) <= 18, F.lpad(F.lower(F.hex(dec.try_cast("long"))), 64, "0")).otherwise(let(F.lpad(dec, 80, "0"), long))
 
 
 def dec_to_b32(dec: Column) -> Column:
