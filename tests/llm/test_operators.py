@@ -332,3 +332,29 @@ def test_pipeline(spark, docs, texts, odd, none):
     for df in (odd, none):
         for _, stage in corpus_pipeline.STAGES:
             stage(spark, df, SMALL).count()
+
+
+def test_stretches_against_brute_force():
+    rng = random.Random(11)
+    for n, wrong in [(51, 1), (51, 3), (51, 5), (60, 5), (60, 8), (60, 12), (80, 16), (50, 10), (50, 11)] * 20:
+        bad = set(rng.sample(range(n), wrong))
+        flags = np.array([i not in bad for i in range(n)])
+        any_of = any(5 * int(flags[s:e].sum()) >= 4 * (e - s) for s in range(n) for e in range(s + 50, n + 1))
+        got = passages.stretches(flags)
+        assert bool(got) == any_of and all(e - s >= 50 and m == flags[s:e].sum() and 5 * m >= 4 * (e - s) for s, e, m in got)
+
+
+def test_short_fuzzy_passages(spark):
+    rng = random.Random(12)
+    word = lambda: f"w{rng.randint(0, 10**6)}"
+    rows, want = [], set()
+    for i in range(0, 400, 2):
+        n = rng.randint(51, 80)
+        shared = [word() for _ in range(n)]
+        bad = set(rng.sample(range(n), int(n * rng.choice([0.05, 0.1, 0.15, 0.2]))))
+        fuzzy = [word() if k in bad else w for k, w in enumerate(shared)]
+        rows += [(i + k, " ".join([*(word() for _ in range(60)), *x, *(word() for _ in range(60))])) for k, x in ((0, shared), (1, fuzzy))]
+        if any(not bad & set(range(k, k + 5)) for k in range(n - 4)):  # some five words in a row agree
+            want.add((i + 1, i))
+    got = passages.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r["doc_id"], r["source_id"]) for r in got} == want and all(5 * r["n_matched"] >= 4 * r["n_words"] for r in got)
