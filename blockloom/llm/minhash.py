@@ -2,7 +2,7 @@
 
 Two collections of HALVES half-keys (BAND minhashes each) give HALVES**2 table keys by combining every half-key of one
 with every half-key of the other, so 2 * HALVES * BAND minhashes do the work of HALVES**2 * 2 * BAND. A pair of
-similarity s shares a key with chance (1 - (1 - s**BAND)**HALVES)**2: over 0.99999 at 0.85.
+similarity s shares a key with chance (1 - (1 - s**BAND)**HALVES)**2: over 0.99999 at 0.85, over 0.9999 at 0.8.
 
 Sets that share a key are compared by their minhashes; pairs that could reach the threshold join families, and within a
 family all pairs are decided exactly. Every shuffle moves few bytes per set: of a key's members in one block only the
@@ -23,8 +23,15 @@ SHINGLE = 5
 PERCENT = 85
 HALVES, BAND = 10, 2
 MINHASHES = 64  # the first 2 * HALVES * BAND make keys; all of them estimate
-#: Pairs agreeing in fewer minhashes cannot be links: 0.85 of 64 less four and a half standard errors.
-AGREE = 41
+
+
+def agreeing(percent: int) -> int:
+    """Pairs agreeing in fewer minhashes cannot be links: the threshold's share of 64 less four and a half standard errors."""
+    p = percent / 100
+    return max(0, int(MINHASHES * p - 4.5 * (MINHASHES * p * (1 - p)) ** 0.5))
+
+
+AGREE = agreeing(PERCENT)
 #: Sets of a block, members of a key that a block sends on, sets of a tile, and ids that may be broadcast.
 BLOCK, SENT, TILE, BROADCAST_IDS = 2048, 64, 768, 500_000
 _SEEDS = K.constants(41, 2 * MINHASHES)
@@ -159,8 +166,8 @@ def active(sets: DataFrame, buckets: int) -> DataFrame:
     return sets.select("rep", "sig").mapInArrow(send, "bucket int, c0 binary, c1 binary").groupBy("bucket").applyInArrow(meet, "rep long").distinct()
 
 
-def _close(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    return (x == y).sum(axis=-1) >= AGREE
+def _close(x: np.ndarray, y: np.ndarray, agree: int) -> np.ndarray:
+    return (x == y).sum(axis=-1) >= agree
 
 
 def _labels(link: np.ndarray) -> np.ndarray:
@@ -174,17 +181,17 @@ def _labels(link: np.ndarray) -> np.ndarray:
         label = new
 
 
-def _large(sig: np.ndarray) -> np.ndarray:
+def _large(sig: np.ndarray, agree: int = AGREE) -> np.ndarray:
     """Components of a large group: everyone against spread-out hubs and neighbours in several sketch orders."""
     n, pairs = len(sig), []
     for hub in range(0, n, max(1, n // 64)):
-        at = np.flatnonzero(_close(sig, sig[hub]))
+        at = np.flatnonzero(_close(sig, sig[hub], agree))
         pairs.append(np.stack([np.full(len(at), hub), at], 1))
     for turn in range(0, MINHASHES, 8):
         order = np.lexsort(np.roll(sig, turn, axis=1)[:, :6].T)
         for d in range(1, 33):
             a, b = order[:-d], order[d:]
-            ok = _close(sig[a], sig[b])
+            ok = _close(sig[a], sig[b], agree)
             pairs.append(np.stack([a[ok], b[ok]], 1))
     p, label = np.concatenate(pairs), np.arange(n)
     while True:
@@ -198,7 +205,7 @@ def _large(sig: np.ndarray) -> np.ndarray:
         label = new
 
 
-def _plausible(key: np.ndarray, rep: np.ndarray, sig: np.ndarray, row: np.ndarray) -> np.ndarray:
+def _plausible(key: np.ndarray, rep: np.ndarray, sig: np.ndarray, row: np.ndarray, agree: int) -> np.ndarray:
     """Edges between the sets of a key that could be links or hang together by such pairs; row points into sig and rep."""
     order, starts = _grouped(key)
     ends = np.append(starts[1:], len(order))
@@ -211,7 +218,7 @@ def _plausible(key: np.ndarray, rep: np.ndarray, sig: np.ndarray, row: np.ndarra
         near.append(np.stack([r[at], r[at + d]], 1))
     p = np.unique(np.sort(np.concatenate(near), axis=1), axis=0)
     p = p[rep[p[:, 0]] != rep[p[:, 1]]]
-    out = [p[_close(sig[p[:, 0]], sig[p[:, 1]])]] if len(p) else []
+    out = [p[_close(sig[p[:, 0]], sig[p[:, 1]], agree)]] if len(p) else []
     seen = set()
     for s, e in zip(starts[size > 8], ends[size > 8]):
         g = np.unique(r[s:e])
@@ -219,22 +226,22 @@ def _plausible(key: np.ndarray, rep: np.ndarray, sig: np.ndarray, row: np.ndarra
             continue
         seen.add(mark)
         if len(g) <= 1024:
-            link = np.concatenate([_close(sig[g[i : i + 64], None], sig[None, g]) for i in range(0, len(g), 64)])
+            link = np.concatenate([_close(sig[g[i : i + 64], None], sig[None, g], agree) for i in range(0, len(g), 64)])
             label = _labels(link)
         else:
-            label = _large(sig[g])
+            label = _large(sig[g], agree)
         out.append(np.stack([g[label], g], 1)[label != np.arange(len(g))])
     return np.unique(rep[np.concatenate(out)], axis=0) if out else np.zeros((0, 2), np.int64)
 
 
-def families(sets: DataFrame, buckets: int) -> DataFrame:
+def families(sets: DataFrame, buckets: int, agree: int = AGREE) -> DataFrame:
     """Edges (a, b) between sets that share a key, such that possible links lie within the components of the edges."""
 
     def send(batches):
         for t in _blocks(batches):
             rep, full = t.column("rep").to_numpy(), _sigs(t.column("sig"))
             key, row, sig = _keys(full).ravel(), np.repeat(np.arange(len(rep)), HALVES * HALVES), (full & 0xFF).astype(np.uint8)
-            edge = _plausible(key, rep, sig, row)
+            edge = _plausible(key, rep, sig, row, agree)
             order, starts = _grouped(key)
             place = np.arange(len(order)) - np.repeat(starts, np.diff(np.append(starts, len(order))))
             go = order[place < SENT]
@@ -246,7 +253,7 @@ def families(sets: DataFrame, buckets: int) -> DataFrame:
         key, rep, sig = (np.frombuffer(b"".join(t.column(c).to_pylist()), k) for c, k in (("c0", np.uint64), ("c1", np.int64), ("c2", np.uint8)))
         edge = np.frombuffer(b"".join(x for x in t.column("edges").to_pylist() if x), np.int64).reshape(-1, 2)
         who, at = np.unique(rep, return_index=True)
-        edge = np.unique(np.concatenate([edge, _plausible(key, who, sig.reshape(-1, MINHASHES)[at], np.searchsorted(who, rep))]), axis=0)
+        edge = np.unique(np.concatenate([edge, _plausible(key, who, sig.reshape(-1, MINHASHES)[at], np.searchsorted(who, rep), agree)]), axis=0)
         return pa.table({"a": edge[:, 0], "b": edge[:, 1]})
 
     return sets.select("rep", "sig").mapInArrow(send, "bucket int, c0 binary, c1 binary, c2 binary, edges binary").groupBy("bucket").applyInArrow(meet, "a long, b long").distinct()
@@ -331,7 +338,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", percent: int = PERCENT)
     sets = sketched.where("sig is not null and doc_id is not null").groupBy("h1", "h2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.any_value("sig").alias("sig"))
     sets = materialize(sets, "sets")
     busy = active(sets, buckets)
-    near = materialize(families(sets.join(busy, "rep", "left_semi"), buckets), "near")
+    near = materialize(families(sets.join(busy, "rep", "left_semi"), buckets, agreeing(percent)), "near")
     family = components(near).select(F.col("node").alias("rep"), F.col("component").alias("family"))
     members = materialize(sets.select("rep", "h1").join(family, "rep"), "members")
     of_row = sketched.select("doc_id", "n_shingles", "h1", "h2").join(sets.select("h1", "h2", "n_shingles", "rep"), ["h1", "h2", "n_shingles"], "left")

@@ -358,3 +358,19 @@ def test_short_fuzzy_passages(spark):
             want.add((i + 1, i))
     got = passages.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {(r["doc_id"], r["source_id"]) for r in got} == want and all(5 * r["n_matched"] >= 4 * r["n_words"] for r in got)
+
+
+def test_pipeline_drops_copies_from_80_percent_on(spark):
+    rng = random.Random(13)
+    rows = []
+    for i in range(0, 80, 2):
+        a = [f"w{rng.randint(0, 10**6)}" for _ in range(300)]
+        b = list(a)
+        for k in rng.sample(range(10, 290), rng.randint(5, 8)):
+            b[k] = f"x{rng.random()}"
+        rows += [(i, " ".join(a)), (i + 1, " ".join(b))]
+    sets = _sets(dict(rows))
+    share = {i: 100 * len(sets[i] & sets[i + 1]) / len(sets[i] | sets[i + 1]) for i in range(0, 80, 2)}
+    assert sum(80 <= x < 85 for x in share.values()) > 5 and min(share.values()) < 80
+    got = corpus_pipeline.keep_one_of_each(spark, spark.createDataFrame(rows, "doc_id long, text string"), SMALL)
+    assert {r["doc_id"] for r in got.collect()} == {i for i, _ in rows if i % 2 == 0 or share[i - 1] < 80}
