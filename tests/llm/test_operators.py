@@ -374,3 +374,11 @@ def test_pipeline_drops_copies_from_80_percent_on(spark):
     assert sum(80 <= x < 85 for x in share.values()) > 5 and min(share.values()) < 80
     got = corpus_pipeline.keep_one_of_each(spark, spark.createDataFrame(rows, "doc_id long, text string"), SMALL)
     assert {r["doc_id"] for r in got.collect()} == {i for i, _ in rows if i % 2 == 0 or share[i - 1] < 80}
+
+
+def test_pipeline_judges_rows_without_id(spark):
+    good = [" ".join(f"w{i}_{k}" for i in range(80)) for k in range(3)]
+    rows = [(None, good[0]), (None, "too short"), (1, good[1]), (2, "short"), (2, good[2]), (2, None)]
+    df = spark.createDataFrame([(i, t, "x", "a", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.keep_quality(spark, df, SMALL)
+    assert got.columns == df.columns and sorted((r["text"], r["doc_id"]) for r in got.collect()) == sorted([(good[0], None), (good[1], 1), (good[2], 2)])
