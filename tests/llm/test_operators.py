@@ -382,3 +382,16 @@ def test_pipeline_judges_rows_without_id(spark):
     df = spark.createDataFrame([(i, t, "x", "a", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     got = corpus_pipeline.keep_quality(spark, df, SMALL)
     assert got.columns == df.columns and sorted((r["text"], r["doc_id"]) for r in got.collect()) == sorted([(good[0], None), (good[1], 1), (good[2], 2)])
+
+
+def test_pipeline_decides_by_row(spark):
+    rng = random.Random(14)
+    text = [[f"w{rng.randint(0, 10**6)}" for _ in range(120)] for _ in range(4)]
+    t = [" ".join(x) for x in text]
+    rows = [(5, t[0]), (5, t[0]), (5, t[1]), (7, t[1]), (None, t[1]), (None, t[2]), (None, t[2])]
+    got = corpus_pipeline.keep_one_of_each(spark, spark.createDataFrame(rows, "doc_id long, text string"), SMALL).collect()
+    assert sorted(r["text"] for r in got) == sorted(t[:3]) and {r["doc_id"] for r in got if r["text"] == t[0]} == {5} and {r["doc_id"] for r in got if r["text"] == t[2]} == {None}
+    mixed = " ".join([*text[3][:20], *text[0][:60], *text[3][20:]])
+    df = spark.createDataFrame([(1, t[0]), (9, mixed), (9, t[1]), (9, t[2])], "doc_id long, text string")
+    got = sorted(r["text"] for r in corpus_pipeline.cut_passages(spark, df, SMALL).collect())
+    assert got == sorted([t[0], t[1], t[2], " ".join(text[3])])
