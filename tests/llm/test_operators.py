@@ -395,3 +395,15 @@ def test_pipeline_decides_by_row(spark):
     df = spark.createDataFrame([(1, t[0]), (9, mixed), (9, t[1]), (9, t[2])], "doc_id long, text string")
     got = sorted(r["text"] for r in corpus_pipeline.cut_passages(spark, df, SMALL).collect())
     assert got == sorted([t[0], t[1], t[2], " ".join(text[3])])
+
+
+def test_passage_whose_parts_stand_in_smaller_documents(spark):
+    rng = random.Random(15)
+    word = lambda: f"w{rng.randint(0, 10**6)}"
+    rows = []
+    for i in range(0, 400, 10):
+        shared = [word() for _ in range(80)]
+        for k, x in enumerate((shared[:36], shared[28:64], shared[56:], shared, shared)):
+            rows.append((i + k, " ".join([*(word() for _ in range(60)), *x, *(word() for _ in range(60))])))
+    got = passages.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {tuple(r)[:4] for r in got} == {(i + 4, i + 3, 60, 140) for i in range(0, 400, 10)}
