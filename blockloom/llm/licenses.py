@@ -41,6 +41,43 @@ KNOWN = (
 )
 
 
+# Digests of the normal form of full licence texts, with and without what follows the terms.
+DIGESTS = (
+    ("Apache-2.0", "75ea8aff520512d1fb5378a602323a8fed58bd7181e7e40a1531e13da4c4ee6d"),
+    ("Apache-2.0", "68a53e9e2d1d447f1f4faf747242165bfb194374546e01a6845ad3901c516c21"),
+    ("Apache-2.0", "d4be8c31b2d1f7b2f9ed1800c40c0ba1a126fd6c63e8ae1ad2c5603e56e79073"),
+    ("Artistic-1.0", "d2d4fc0a4708d351932b90d7fe5010a13b1320be1e034119d07e0245f9c029c7"),
+    ("CC0-1.0", "efa01e1f98bc5d90ca373f597e31e8f26b9c2e392a701828ae8cab513d864640"),
+    ("GFDL-1.2", "2a61eb8b2c96499f11bcf970b3c56c33e214435e19ff46ce73eedeb97b3c3a84"),
+    ("GFDL-1.3", "2f4b9a0754ec8dc3da98f560a73eaa129d7b783cc38c6196d7262815c051ff18"),
+    ("GPL-1.0", "d3898f3346d360cd2f8b9debfb24b56ff2edbd352d8be0e73485e4205fca1304"),
+    ("GPL-1.0", "1a5f7e87f5bb2ba27190ed3dd8f8a3718f7284f84a6215f0f3ca9e415bb0d2f7"),
+    ("GPL-1.0", "2386b21eb79232d8baa87404d128eab400a221acbdefc6c11d9ca4dcb80fbf7c"),
+    ("GPL-2.0", "91dcdef628444b564101e8bcab5869eafc235902c0d3aefdd462aba07b776fa2"),
+    ("GPL-2.0", "6e302423166642bfebb173ce6bff0145b745c30e3f9be3508bc2dd5548021918"),
+    ("GPL-2.0", "8b00c29e937ad7e4baa02885e9503c247aacd94d0b7c6b40e471f9cdb0fe2c18"),
+    ("GPL-3.0", "987344417597b417dc5caae0fcdec5deb6fd0cc91b66ac53aa45882e52bfc725"),
+    ("GPL-3.0", "0e2f2d4c86c201d99b6e274671f291bf6a71d1b1219c32fa6006c0254fe91a00"),
+    ("GPL-3.0", "e13f4b5d12ad076ca8aa9add466c225cb15feb885f5260d5e46c8ac985d8f3b0"),
+    ("LGPL-2.0", "66a05dab8339b65fe8cd2c6dd7bafd1a1b2545790e88a4914ab9f503bec69a82"),
+    ("LGPL-2.0", "e23bd286b2c390f3e718efc86ed7176a948e3e00e8fc7f3f851625ac7cf1ea64"),
+    ("LGPL-2.0", "9a9473586577388f96f023d7764c72ab3487c70415364efcfe0853bbbc63a06e"),
+    ("LGPL-2.1", "1e7b43f9ec81ef7e227ab68fe299c415499d644b96d26717500a13175c6839b9"),
+    ("LGPL-2.1", "18a45a7fad57dfb8fb52cd4bce391d527e0ace94ba96cdf9d7aa46b03308ea06"),
+    ("LGPL-2.1", "fb52e43eebefe8bdf36f8d8c13b69b7ae870b6ec6de047366ca26b39867aa876"),
+    ("LGPL-3.0", "5c596d73ce671bf605bbdee26813192c5526af7efd4a060975bec2c6970dcf0f"),
+    ("MPL-1.1", "dba8660a00c4b43f720ee45d135abe3997e68e088761ed84f00984e03508dd04"),
+    ("MPL-2.0", "02e9a78b0c022a87a400210ba11882edab92be0b82d5b283da9fa7c542dcc6b9"),
+)
+# Identifiers that SPDX lines name, by identifier without -only and -or-later.
+SPDX = (
+    "0BSD", "AGPL-3.0", "Apache-2.0", "Artistic-1.0", "Artistic-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSD-4-Clause", "BSL-1.0", "CC-BY-3.0", "CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-NC-SA-4.0",
+    "CC-BY-SA-3.0", "CC-BY-SA-4.0", "CC0-1.0", "EPL-1.0", "EPL-2.0", "EUPL-1.2", "GFDL-1.2", "GFDL-1.3", "GPL-1.0", "GPL-2.0", "GPL-3.0", "ISC", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0", "MIT", "MIT-0",
+    "MPL-1.1", "MPL-2.0", "MS-PL", "OFL-1.1", "PostgreSQL", "PSF-2.0", "Unlicense", "WTFPL", "Zlib",
+)
+SPDX_LINES = tuple((x, f"SPDX-License-Identifier: {x}{end}") for x in SPDX for end in ("", "-only", "-or-later")[: 3 if "GPL" in x or "GFDL" in x else 1])
+
+
 def normal_form(text: Column) -> Column:
     """Lower case, without copyright lines, one spelling, and single spaces for everything that is no letter or digit."""
     c = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, "\n")
@@ -54,8 +91,9 @@ def digest(text: Column) -> Column:
 
 
 def known_digests(spark: SparkSession, known=KNOWN) -> DataFrame:
-    """Distinct (digest, license) of known texts; a fixed table."""
-    return spark.createDataFrame(list(known), "license string, body string").select("license", digest(F.col("body")).alias("digest")).distinct()
+    """Distinct (digest, license) of known texts, SPDX lines and full texts known by digest; a fixed table."""
+    texts = spark.createDataFrame([*known, *SPDX_LINES], "license string, body string").select("license", digest(F.col("body")).alias("digest"))
+    return texts.unionAll(spark.createDataFrame(list(DIGESTS), "license string, digest string")).distinct()
 
 
 def scan(docs: DataFrame, text: str = "text", known=KNOWN) -> DataFrame:

@@ -407,3 +407,13 @@ def test_passage_whose_parts_stand_in_smaller_documents(spark):
             rows.append((i + k, " ".join([*(word() for _ in range(60)), *x, *(word() for _ in range(60))])))
     got = passages.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {tuple(r)[:4] for r in got} == {(i + 4, i + 3, 60, 140) for i in range(0, 400, 10)}
+
+
+def test_full_licenses_and_spdx_lines(spark):
+    folder = "/usr/share/common-licenses/"
+    names = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+    rows = [(i, open(folder + f, encoding="utf-8").read()) for i, f in enumerate(names)]
+    rows += [(100, "x\n# SPDX-License-Identifier: LGPL-2.1-or-later\ny"), (101, "SPDX-License-Identifier: BSD-3-Clause\nz"), (102, rows[0][1] + " and more")]
+    got = {(r["doc_id"], r["unit"], r["license"]) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got >= {(i, "text", n) for i, n in enumerate(names.values())} | {(100, "line", "LGPL-2.1"), (101, "line", "BSD-3-Clause")}
+    assert not any(d == 102 and unit == "text" for d, unit, _ in got)
