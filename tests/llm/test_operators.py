@@ -187,23 +187,56 @@ def test_components(spark):
     assert got == {x: m for x, m in low.items() if any(a != b and x in (a, b) for a, b in edges)}
 
 
+def _brute_nearest(rows, k=10):
+    """{query: [(distance, id)]} of usable rows; of repeated ids the smallest vector asks."""
+    ask = {}
+    for i, v in rows:
+        if i % 100 == 0:
+            ask[i] = min(ask.get(i, v), v)
+    x = np.array([v for _, v in rows], np.float64)
+    out = {}
+    for q, v in ask.items():
+        d = np.zeros(len(x))
+        for j in range(x.shape[1]):
+            d += (x[:, j] - np.float64(v[j])) ** 2
+        out[q] = sorted((float(s), i) for s, (i, _) in zip(np.sqrt(d), rows) if i != q)[:k]
+    return out
+
+
+def _found(df):
+    out = {}
+    for r in df.orderBy("query_id", "rank").collect():
+        out.setdefault(r["query_id"], []).append((r["score"], r["vec_id"]))
+        assert r["rank"] == len(out[r["query_id"]])
+    return out
+
+
 def test_nearest(spark):
-    v = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    v = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     odd = [(10_000, None), (10_001, [0.0] * 64), (10_002, [None] + [1.0] * 63), (10_003, [float("nan")] * 64), (10_004, [float("inf")] * 64), (None, [1.0] * 64), (10_100, [1.0] * 3)]
     both = v.select("vec_id", "embedding").unionByName(spark.createDataFrame(odd, "vec_id long, embedding array<float>"))
-    x = {r["vec_id"]: np.array(r["embedding"], np.float64) for r in v.collect()}
-    want = {}
-    for q in (i for i in x if i % 100 == 0):
-        d = sorted((float(np.sqrt(((x[q] - x[i]) ** 2).sum())), i) for i in x if i != q)[:10]
-        want[q] = [i for _, i in d]
-    got = {}
-    for r in nearest.nearest(both).orderBy("query_id", "rank").collect():
-        got.setdefault(r["query_id"], []).append(r["vec_id"])
-    hits = sum(len(set(got[q]) & set(want[q])) for q in want)
-    assert hits >= 0.9 * sum(map(len, want.values())) and set(got) == set(want)
+    want = _brute_nearest([(r["vec_id"], r["embedding"]) for r in v.collect()])
+    got = _found(nearest.nearest(both))
+    hits = sum(len({i for _, i in got[q]} & {i for _, i in want[q]}) for q in want)
+    assert hits >= 0.99 * sum(map(len, want.values())) and set(got) == set(want)
     assert nearest.nearest(v.limit(0)).count() == 0
 
 
+def test_nearest_of_clusters_ties_repeats_and_doubles(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "BLOCK_BYTES", 1)  # many chunks and blocks
+    rng = np.random.default_rng(8)
+    centre = rng.standard_normal((5, 70)) * 3
+    x = (centre[rng.integers(0, 5, 1500)] + rng.standard_normal((1500, 70)) * 0.3).round(1)
+    x[700:760] = x[3]  # ties, and an id of its own for each
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(100, x[5].tolist()), (100, x[100].tolist()), (7, x[7].tolist())]
+    for kind in ("float", "double"):
+        df = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>").withColumns({c: F.lit(1) for c in ("cell", "n", "ids", "block", "score", "rank")})
+        exact = [(r["vec_id"], r["embedding"]) for r in df.collect()]
+        assert _found(nearest.nearest(df)) == _brute_nearest(exact)
+    few = spark.createDataFrame([(0, [1e150, 0.0]), (100, [-1e150, 1.0]), (3, [5.0, 5.0])], "vec_id long, embedding array<double>")
+    assert {q: [i for _, i in f] for q, f in _found(nearest.nearest(few)).items()} == {0: [3, 100], 100: [3, 0]}
+
+
 def test_suffix_array():
     rng = random.Random(5)
     for _ in range(2000):
