@@ -11,6 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 SLICE = 1 << 20
 U64 = np.uint64
@@ -33,34 +34,63 @@ SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
-_BYTE = constants(77, 256)
-_P = 0x9E3779B97F4A7C15 | 1
-_INV = pow(_P, -1, 1 << 64)
-_powers = {"n": 0, "p": np.ones(0, U64), "i": np.ones(0, U64)}
-
-
-def _upto(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if _powers["n"] < n:
-        m = max(n, SLICE + 4096)
-        for k, base in (("p", _P), ("i", _INV)):
-            a = np.full(m, base, U64)
-            a[:1] = 1
-            _powers[k] = np.multiply.accumulate(a)
-        _powers["n"] = m
-    return _powers["p"], _powers["i"]
+_LANES = constants(77, 16)
+_MASK = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [(1 << 64) - 1], U64)
+#: Ranges longer than this are hashed one by one with xxh3, shorter ones eight bytes at a time for all ranges together.
+LONG = 512
 
 
 class Hasher:
-    """64-bit hashes of any byte ranges of one buffer, from prefix sums of a polynomial."""
+    """64-bit hashes of any byte ranges of one buffer: eight bytes are mixed in at a time, after the length."""
 
     def __init__(self, buf: np.ndarray):
-        p, self.inv = _upto(len(buf) + 1)
-        self.sums = np.zeros(len(buf) + 1, U64)
-        np.cumsum(_BYTE[buf] * p[: len(buf)], out=self.sums[1:])
+        self.buf = buf
+        padded = np.zeros(len(buf) + 16, np.uint8)
+        padded[: len(buf)] = buf
+        self.load = np.ndarray((len(buf) + 9,), np.dtype("<u8"), padded, strides=(1,))  # eight bytes from every place on
 
     def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        raw = (self.sums[end] - self.sums[start]) * self.inv[start]
-        return mix(raw + (np.asarray(end, np.int64) - start).astype(U64) * U64(0xD6E8FEB86659FD93))
+        start = np.asarray(start, np.int64)
+        size = np.asarray(end, np.int64) - start
+        h = mix(self.load[start] & _MASK[np.minimum(size, 8)]) + size.astype(U64) * _LANES[0]
+        at = np.flatnonzero((size > 8) & (size <= LONG))
+        done = 8
+        while len(at):
+            h[at] = mix(h[at] ^ mix(self.load[start[at] + done] & _MASK[np.minimum(size[at] - done, 8)])) + _LANES[1]
+            done += 8
+            at = at[size[at] > done]
+        for i in np.flatnonzero(size > LONG):
+            h[i] = xxhash.xxh3_64_intdigest(self.buf[start[i] : start[i] + size[i]].data)
+        return mix(h)
+
+    def every(self, size: int) -> np.ndarray:
+        """Hashes of the ranges of `size` bytes (8 at least) from every place on. Weaker than those of single ranges:
+        they choose and find candidates, which are compared by bytes."""
+        n = len(self.buf) - size + 1
+        if n <= 0:
+            return np.zeros(0, U64)
+        v = np.ascontiguousarray(self.load)
+        v ^= v >> U64(29)
+        total = v[:n] * _LANES[2]
+        for k, at in enumerate([*range(8, size - 8, 8), size - 8]):
+            total += v[at : at + n] * _LANES[3 + k % 13]
+        return mix(total)
+
+
+def same(buf: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the ranges of a buffer from a and from b on hold the same bytes, compared eight at a time."""
+    load = Hasher(buf).load
+    out, at, done = np.ones(len(a), bool), np.flatnonzero(size > 0), 0
+    while len(at):
+        if len(at) < 4 and done >= LONG:  # the last few long ones
+            for i in at:
+                out[i] = buf[a[i] : a[i] + size[i]].tobytes() == buf[b[i] : b[i] + size[i]].tobytes()
+            break
+        mask = _MASK[np.minimum(size[at] - done, 8)]
+        out[at] = equal = (load[a[at] + done] & mask) == (load[b[at] + done] & mask)
+        done += 8
+        at = at[equal & (size[at] > done)]
+    return out
 
 
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -16,6 +16,30 @@ _SYMBOL[list(b"#*$%&|<>")] = True
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
+def _equal_words(buf: np.ndarray, s: np.ndarray, e: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    size = e[x] - s[x]
+    return (size == e[y] - s[y]) & K.same(buf, s[x], s[y], np.minimum(size, e[y] - s[y]))
+
+
+def _slow(buf: np.ndarray, offs: np.ndarray, s: np.ndarray, e: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Repeated lines of each row and words in repeated windows, by the bytes themselves."""
+    lines, covered = np.zeros(len(offs) - 1, np.int64), np.zeros(len(s) + 2, bool)
+    for r in range(len(offs) - 1):
+        seen: set[bytes] = set()
+        for line in buf[offs[r] : offs[r + 1]].tobytes().split(b"\n"):
+            if line.strip(b" \t\n\x0b\x0c\r"):
+                lines[r] += line in seen
+                seen.add(line)
+        words = [buf[a:b].tobytes() for a, b in zip(s[first[r] : first[r + 1]], e[first[r] : first[r + 1]])]
+        places: dict[tuple, list[int]] = {}
+        for i, w in enumerate(zip(words, words[1:], words[2:])):
+            places.setdefault(w, []).append(first[r] + i)
+        for at in (at for at in places.values() if len(at) > 1):
+            for i in at:
+                covered[i : i + 3] = True
+    return lines, covered
+
+
 def _features(buf: np.ndarray, offs: np.ndarray) -> dict[str, np.ndarray]:
     n = len(offs) - 1
     s, e, first = K.words(buf, offs)
@@ -32,19 +56,28 @@ def _features(buf: np.ndarray, offs: np.ndarray) -> dict[str, np.ndarray]:
     a, b = np.searchsorted(s, edges), np.searchsorted(s, ends)
     edges, ends = edges[b > a], ends[b > a]
     row = np.searchsorted(offs, edges, "right") - 1
-    _, at = np.unique(h(edges, ends) ^ K.mix(row.astype(np.uint64)), return_index=True)
-    out["n_dup_lines"] = np.bincount(row, minlength=n) - np.bincount(row[at], minlength=n)
+    key = h(edges, ends) ^ K.mix(row.astype(np.uint64))
+    order = np.argsort(key, kind="stable")
+    again = np.flatnonzero(key[order[1:]] == key[order[:-1]])
+    x, y = order[again], order[again + 1]
+    fine = K.same(buf, edges[x], edges[y], np.minimum(ends[x] - edges[x], ends[y] - edges[y])) & (ends[x] - edges[x] == ends[y] - edges[y]) & (row[x] == row[y])
+    out["n_dup_lines"] = np.bincount(row[y], minlength=n)
     # three-word windows found twice or more in their row
-    row = np.repeat(np.arange(n, dtype=np.uint64), np.diff(first))
+    of = np.repeat(np.arange(n, dtype=np.uint64), np.diff(first))
     covered = np.zeros(len(s) + 2, bool)
     if len(s) >= 3:
-        w = K.windows(h(s, e), 3) ^ K.mix(row[2:])
-        inside = np.flatnonzero(row[:-2] == row[2:])
+        w = K.windows(h(s, e), 3) ^ K.mix(of[2:])
+        inside = np.flatnonzero(of[:-2] == of[2:])
         order = inside[np.argsort(w[inside])]
-        same = w[order[1:]] == w[order[:-1]]
-        hit = np.unique(np.concatenate([order[1:][same], order[:-1][same]]))
+        same = np.flatnonzero(w[order[1:]] == w[order[:-1]])
+        x, y = order[same], order[same + 1]
+        for j in range(3):
+            fine = np.append(fine, _equal_words(buf, s, e, x + j, y + j) & (of[x] == of[y]))
+        hit = np.unique(np.concatenate([x, y]))
         for j in range(3):
             covered[hit + j] = True
+    if not fine.all():  # two different lines or windows share a hash: count with other means
+        out["n_dup_lines"], covered = _slow(buf, offs, s, e, first)
     out["n_repeat_words"] = K.per_row(covered[: len(s)], first)
     return out
 
@@ -64,12 +97,14 @@ def features(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_
 
 #: Rules of a document: fewer words than this fail, and more than half of the words in repeated windows fail.
 MIN_WORDS = 50
-#: A host is rejected when the lower bound of its shrunken failure rate (mean less so many deviations) passes MAX_RATE.
-MAX_RATE = 0.8
+#: A host is rejected when most of its documents fail for certain: the mean of its rate's posterior, which the prior fitted
+#: to all hosts draws towards the others, less so many deviations passes MAX_RATE.
+MAX_RATE = 0.5
 DEVIATIONS = 3.0
-#: More hosts than this are joined by a salted shuffle; fewer (a bound on the size) are broadcast.
+#: More hosts than this are joined by a shuffle; fewer (a bound on the size) are broadcast.
 MAX_BROADCAST_HOSTS = 50_000
-SALTS = 16
+#: Hosts with more than one document in HOT_SHARE are at most so many, and broadcast even then.
+HOT_SHARE = 1000
 
 
 def failures(df: DataFrame) -> DataFrame:
@@ -101,16 +136,23 @@ def judge(df: DataFrame, host: str = "source") -> DataFrame:
     """Add base_failed, host_rate, host_rejected and kept to rows with the counts.
 
     Null hosts have no verdict: their documents are kept unless they fail themselves. An empty table gives
-    an empty result. Hosts that hold a large share of the rows are salted if the hosts are too many to broadcast."""
+    an empty result. If the hosts are too many to broadcast, those with a large share of the rows still are, and only the
+    others' rows are shuffled by host."""
     df = failures(df)
     hosts = materialize(host_verdicts(df, host), "hosts")
-    hosts = hosts.select(F.col(host).alias("__host"), "host_rate", "host_rejected")
+    hosts = hosts.select(F.col(host).alias("__host"), "host_docs", "host_rate", "host_rejected")
     if small(hosts, MAX_BROADCAST_HOSTS):
         out = df.join(F.broadcast(hosts), df[host] == hosts["__host"], "left")
     else:
-        salted = hosts.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        left = df.withColumn("__salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
-        out = left.join(salted, (left[host] == salted["__host"]) & (left["__salt"] == salted["__salt"]), "left").drop("__salt")
+        total = hosts.agg(F.sum("host_docs")).first()[0]  # one number
+        hot = hosts.where(F.col("host_docs") * HOT_SHARE > F.lit(total)).select(F.col("__host").alias("__hot"), F.col("host_rate").alias("__rate"), F.col("host_rejected").alias("__out"))
+        left = df.join(F.broadcast(hot), df[host] == hot["__hot"], "left")
+        spread = F.concat(F.lit("\0"), F.xxhash64("doc_id", *COUNTS).cast("string"))  # rows that need no further host
+        left = left.withColumn("__key", F.when(F.col("__hot").isNotNull() | F.col(host).isNull(), spread).otherwise(F.col(host)))
+        out = left.join(hosts, left["__key"] == hosts["__host"], "left")
+        out = out.withColumn("host_rate", F.coalesce("__rate", "host_rate")).withColumn("host_rejected", F.coalesce("__out", "host_rejected"))
+        out = out.drop("__hot", "__rate", "__out", "__key")
+    out = out.drop("host_docs")
     return out.drop("__host").withColumn("kept", ~F.col("base_failed") & ~F.coalesce(F.col("host_rejected"), F.lit(False)))
 
 

@@ -46,7 +46,7 @@ def runs(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, ...]:
     if not len(p):
         return none.astype(np.uint64), none, none, none, none
     at = np.arange(n - GRAM + 1)
-    gram = K.Hasher(buf)(at, at + GRAM)
+    gram = K.Hasher(buf).every(GRAM)
     low = (gram & ~_LOW32) | at.astype(np.uint64)
     for step in (1, 2, 4, 8):
         low[:-step] = np.minimum(low[:-step], low[step:])

@@ -61,6 +61,71 @@ def test_quality(docs, texts, odd, none):
     assert quality.quality(odd).count() == odd.count() and quality.quality(none).count() == 0
 
 
+def _thue_morse(n):
+    x = "a"
+    while len(x) < n:
+        x += x.translate(str.maketrans("ab", "ba"))
+    return x[:n], x[:n].translate(str.maketrans("ab", "ba"))
+
+
+def test_long_words_and_lines_that_polynomials_confuse(spark):
+    rows = []
+    for n in (1024, 2048, 4096, 8192):
+        a, b = _thue_morse(n)
+        rows += [(n, f"{a}\n{b}\n{a} {b}"), (n + 1, a), (n + 2, b), (n + 3, f"{a} {a} {a} {b} {b} {b} {a} {b}"), (n + 4, f"{a}\n{b}\n{a}\n")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("source", F.lit("s"))
+    got = {r["doc_id"]: (r["n_dup_lines"], r["n_repeat_words"]) for r in quality.quality(df).collect()}
+    assert got == {n + k: v for n in (1024, 2048, 4096, 8192) for k, v in enumerate([(0, 0), (0, 0), (0, 0), (0, 0), (1, 0)])}
+    alone = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(df.where("doc_id % 1024 in (1, 2)")).collect()}
+    assert all(i == c for i, c in alone.items()) and len(alone) == 8
+
+
+def test_counts_when_hashes_collide(docs, texts, monkeypatch):
+    want = {r["doc_id"]: tuple(r[c] for c in quality.COUNTS) for r in quality.quality(docs).collect()}
+    column = pa.array([texts[i] for i in sorted(texts)][:60])
+    call = kernel.Hasher.__call__
+    monkeypatch.setattr(kernel.Hasher, "__call__", lambda self, s, e: call(self, s, e) & np.uint64(255))
+    for lo, _, buf, offs in kernel.slices(column):
+        f = quality._features(buf, offs)
+        for k in range(len(offs) - 1):
+            assert tuple(f[c][k] for c in quality.COUNTS) == want[sorted(texts)[lo + k]]
+
+
+def _host_verdict(docs):
+    """{host: (rate, rejected)} by plain Python."""
+    n, bad = Counter(h for h, _ in docs if h), Counter(h for h, f in docs if h and f)
+    mu = sum(bad.values()) / sum(n.values())
+    rates = [bad[h] / n[h] for h in n]
+    mean = sum(rates) / len(rates)
+    between = sum((r - mean) ** 2 for r in rates) / (len(rates) - 1) - mu * (1 - mu) * sum(1 / c for c in n.values()) / len(n)
+    strength = min(max(mu * (1 - mu) / max(between, 1e-12) - 1, 1), 1000) if between > 0 else 1000
+    out = {}
+    for h in n:
+        rate = (bad[h] + mu * strength) / (n[h] + strength)
+        out[h] = rate, rate - 3 * (rate * (1 - rate) / (n[h] + strength + 1)) ** 0.5 > 0.5
+    return out
+
+
+def test_host_verdicts_against_brute_force(spark, monkeypatch):
+    rng = random.Random(21)
+    good, rows = " ".join(f"w{i}" for i in range(80)), []
+    for h in range(60):
+        rate = rng.choice([0.02, 0.1, 0.4, 0.55, 0.7, 0.9, 1.0])
+        rows += [(f"h{h}", rng.random() < rate) for _ in range(rng.choice([1, 3, 20, 200]))]
+    rows += [(None, True), (None, False)] + [("big", rng.random() < 0.95) for _ in range(3000)]
+    df = spark.createDataFrame([(i, "bad" if f else good, h) for i, (h, f) in enumerate(rows)], "doc_id long, text string, source string")
+    want = _host_verdict(rows)
+    assert {True, False} == {r for _, r in want.values()} and want["big"][1]
+    for most in (50_000, 5):  # broadcast, and by a shuffle
+        monkeypatch.setattr(quality, "MAX_BROADCAST_HOSTS", most)
+        got = {r["doc_id"]: r for r in quality.quality(df).collect()}
+        assert len(got) == len(rows)
+        for i, (h, failed) in enumerate(rows):
+            rate, rejected = want.get(h, (None, False))
+            assert got[i]["base_failed"] == failed and got[i]["kept"] == (not failed and not rejected)
+            assert got[i]["host_rate"] == (rate if rate is None else pytest.approx(rate))
+
+
 def test_bad_host_is_rejected(spark):
     good = " ".join(f"w{i}" for i in range(80))
     rows = [(i, "x", "bad") for i in range(400)] + [(400, good, "bad")] + [(500 + i, good, f"ok{i % 5}") for i in range(400)] + [(1000, good, None)]
