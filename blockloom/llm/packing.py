@@ -22,8 +22,9 @@ CAPACITY = 1024
 END = 2
 SPECIAL = "<|endoftext|>"
 _loaded: dict[str, tuple] = {}
-#: Texts of these characters alone give the same ids by the rank file (tested); others go to the tokenizers library.
-_OTHER = re.compile("[^\t\n\r\x20-\x7e\xa1-ɏ]")
+#: Texts of other characters, or with long runs of white space (on which the pattern would need too much stack), go to the
+#: tokenizers library; all others give the same ids by the rank file (tested on whole tables).
+_OTHER = re.compile("[^\t\n\r\x20-\x7e\xa1-ɏ]|[\t\n\r ]{1000}")
 
 
 def load(json_path: str, ranks_path: str, pattern: str) -> tuple:
@@ -66,7 +67,8 @@ def pieces(docs: DataFrame, json_path: str, ranks_path: str, pattern: str, text:
                         start, k = start + n, k + 1
                 cols = list(zip(*rows)) or [()] * 7
                 kinds = [part.schema.field(0).type, pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["doc_id", "piece", "start", "length", "ids_crc32", "task", "local"])
+                names = ["doc_id", "piece", "start", "length", "ids_crc32", "task", "local"]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
 
     return docs.select("doc_id", F.col(text).alias("t")).mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long, task int, local long")
 
@@ -152,14 +154,20 @@ def slots(patterns: list[tuple[list[int], int]], capacity: int) -> tuple[np.ndar
 
 
 def pack(docs: DataFrame, json_path: str, ranks_path: str, pattern: str, text: str = "text", capacity: int = CAPACITY) -> DataFrame:
-    """One row per piece with its sequence and offset. Null text is empty (one token); repeated rows are packed one by one."""
+    """One row per piece with its sequence and offset.
+
+    Null and empty texts are one token; texts of any length are cut whole into pieces; repeated rows, rows that share an id and
+    rows without id are packed one by one; pieces of one length are alike, so any order among them is as good; an empty table
+    gives an empty result; further columns are not looked at."""
     p = materialize(pieces(docs, json_path, ranks_path, pattern, text, capacity), "pieces")
     by_task = materialize(p.groupBy("task", "length").agg(F.count("*").alias("n")), "counts")
     counts = {r["length"]: r["n"] for r in by_task.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # capacity rows at most
     keys, sequences, offsets = slots(plan(counts, capacity), capacity)
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     base = by_task.select("task", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    ranked = p.join(base, ["task", "length"]).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("base") + F.col("local")).alias("rank"))
+    # the table of bases grows with the tasks: it is shuffled, not broadcast
+    ranked = p.join(base.hint("shuffle_merge"), ["task", "length"])
+    ranked = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("base") + F.col("local")).alias("rank"))
 
     def place(batches):
         for b in batches:

@@ -346,20 +346,31 @@ def test_licenses(spark, docs, odd, none):
     assert licenses.scan(odd).count() == 0 and licenses.scan(none).count() == 0
 
 
-def test_packing(docs, texts, odd, none):
+def test_packing(spark, docs, odd, none):
+    import zlib
+
     from tokenizers import Tokenizer
 
     args = (P.path("byte_bpe_50k.json"), P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
     library = Tokenizer.from_file(args[0])
     slow, fast = packing.load(*args)
-    for t in [*list(texts.values())[:60], "ünïcödé 漢字 🎉", "a <|endoftext|> b", "  \n\n x's\t", " x\u0085y"]:
+    for t in ["ünïcödé 漢字 🎉", "a <|endoftext|> b", "  \n\n x's\t", " x\u0085y", " " * 1_200_000 + "a", "\n" * 1_200_000 + "a", "\t " * 600_000, "b" * 1_200_000, (" " * 999 + "x") * 300]:
         assert packing.token_ids(t, slow, fast).tolist() == library.encode(t, add_special_tokens=False).ids
-    for df in (docs, odd):
+    blank = spark.createDataFrame([(70, " " * 1_200_000 + "a"), (71, "\r\n" * 600_000), (72, "c" * 300_000)], "doc_id long, text string")
+    whole = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    for df in (docs, odd, whole, blank):
         rows = packing.pack(df, *args).toPandas().sort_values(["sequence_id", "offset"])
         end = rows.groupby("sequence_id")["length"].cumsum()
         assert (end - rows["length"] == rows["offset"]).all() and end.max() <= 1024
         assert rows["sequence_id"].nunique() <= -(-rows["length"].sum() // 1024) * 1.05 + 2
-        assert ((rows["length"] == 1024) | (rows["piece"] == 0)).all()
+        want = []
+        for r in df.select("doc_id", "text").collect():  # every piece, by the library alone
+            ids = [*library.encode(r["text"] or "", add_special_tokens=False).ids, 2]
+            cut = [0, *range(len(ids) % 1024 or 1024, len(ids) + 1, 1024)]
+            for k, (a, b) in enumerate(zip(cut, cut[1:])):
+                want.append((-1 if r["doc_id"] is None else r["doc_id"], k, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes())))
+        got = rows.fillna({"doc_id": -1})[["doc_id", "piece", "start", "length", "ids_crc32"]].astype("int64")
+        assert sorted(map(tuple, got.values.tolist())) == sorted(want)
     assert packing.pack(none, *args).count() == 0
 
 
