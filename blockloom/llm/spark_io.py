@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from weakref import WeakKeyDictionary
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -31,20 +33,38 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a temporary one where that is unset."""
-    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """The folder all executors share: spark.checkpoint.dir. Where that is unset, one of its own in local mode, which has a
+    single machine; on a cluster that is an error, as executors would not see each other's files."""
+    context = spark.sparkContext
+    at = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not at:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-shared-"))
-        at = spark.sparkContext.getCheckpointDir()
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise ValueError("Set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-shared-"))
+        at = context.getCheckpointDir()
     return at
 
 
+#: Where the tables of `materialize` stand, by the data frames that read them.
+_written: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _written[out] = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of `materialize` that nothing reads any more."""
+    for df in tables:
+        context = df.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(_written.pop(df))
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def map_batches(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | Iterator[pa.RecordBatch]], schema) -> DataFrame:

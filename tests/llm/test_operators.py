@@ -402,6 +402,43 @@ def test_chain_is_the_best_one():
     assert best.tolist() == [0, 1, 3]
 
 
+def test_chains_against_all_pairs():
+    rng = random.Random(16)
+    for _ in range(1000):
+        n = rng.randint(1, 40)
+        m = sorted({(rng.randint(0, 300), rng.randint(0, 300)) for _ in range(n)})
+        if rng.random() < 0.5:  # runs along a diagonal, with noise
+            m = sorted({*m, *((k * 5, k * 5 + rng.choice([0, 0, 3])) for k in range(rng.randint(0, 40)))})
+        pos, apos = np.array(m).T
+        best = []
+        for j, (p, a) in enumerate(m):
+            before = [best[i] - 0.04 * (p - m[i][0] + a - m[i][1]) for i in range(j) if m[i][0] < p and m[i][1] < a]
+            best.append(5 + max([0.0, *before]))
+        assert passages.chain_scores(pos, apos)[0] == pytest.approx(best)
+        found = passages.chain(pos, apos)
+        assert sorted(np.concatenate(found).tolist()) == list(range(len(m)))
+        for c in found:
+            assert (np.diff(pos[c]) > 0).all() and (np.diff(apos[c]) > 0).all() and (np.diff(pos[c]) <= 64).all() and (np.diff(apos[c]) <= 64).all()
+
+
+def test_a_long_passage_before_does_not_hide_one_with_insertions(spark):
+    rng = random.Random(17)
+    word = lambda: f"w{rng.randint(0, 10**6)}"
+    pos = np.array([*range(0, 100, 5), *range(300, 500, 5)])
+    assert sorted(map(len, passages.chain(pos, pos))) == [20, 40]
+    rows, want = [], {}
+    for i in range(0, 120, 2):
+        one, two = [word() for _ in range(300)], [word() for _ in range(90)]
+        more = [x for k, w in enumerate(two) for x in ([w, word()] if k % 15 == 7 else [w])]
+        rows += [(i, " ".join([*one, *(word() for _ in range(200)), *two])), (i + 1, " ".join([*one, *(word() for _ in range(180)), *more]))]
+        want[i + 1] = (0, 300), (480, 480 + len(more))
+    covered = {i: np.zeros(800, bool) for i in want}
+    for r in passages.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        covered[r["doc_id"]][r["start_word"] : r["end_word"]] = True
+    for i, spans in want.items():
+        assert all(e - s - covered[i][s:e].sum() <= 2 for s, e in spans) and covered[i].sum() <= 300 + 100 + 4
+
+
 def test_kernel_words():
     t = ["", "a b", " ", None, "ç d\x0be"]
     buf, offs = kernel.text_buffers(pa.array(t))
