@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from . import kernel as K
 from .graph import components
-from .spark_io import map_batches, materialize, small
+from .spark_io import discard, map_batches, materialize, small
 
 SHINGLE = 5
 PERCENT = 85
@@ -32,8 +32,8 @@ def agreeing(percent: int) -> int:
 
 
 AGREE = agreeing(PERCENT)
-#: Sets of a block, members of a key that a block sends on, sets of a tile, and ids that may be broadcast.
-BLOCK, SENT, TILE, BROADCAST_IDS = 2048, 64, 768, 500_000
+#: Sets of a block, members of a key that a block sends on, sets and bytes of a tile (expected), and ids that may be broadcast.
+BLOCK, SENT, TILE, TILE_BYTES, BROADCAST_IDS = 2048, 64, 768, 16 << 20, 500_000
 _SEEDS = K.constants(41, 2 * MINHASHES)
 _TABLES = K.constants(43, HALVES * HALVES + 1)
 
@@ -262,15 +262,6 @@ def families(sets: DataFrame, buckets: int, agree: int = AGREE) -> DataFrame:
 def _exact_links(ids: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """Links that connect the components of sets under 100 * intersection >= percent * union, by exact counts."""
     n, size = len(sets), np.array([len(s) for s in sets])
-    if n <= 12:
-        out = []
-        for i in range(n):
-            for j in range(i + 1, n):
-                if 100 * min(size[i], size[j]) >= percent * max(size[i], size[j]):
-                    both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                    if 100 * both >= percent * (size[i] + size[j] - both):
-                        out.append((int(ids[i]), int(ids[j])))
-        return out
     values, col = np.unique(np.concatenate(sets), return_inverse=True)
     row = np.repeat(np.arange(n), size)
     shared = np.bincount(col) > 1
@@ -278,22 +269,22 @@ def _exact_links(ids: np.ndarray, sets: list[np.ndarray], percent: int) -> list[
     col, row = (np.cumsum(shared) - 1)[col[keep]], row[keep]
     order = np.argsort(col, kind="stable")
     col, row = col[order], row[order]
-    both = np.zeros((n, n), np.float32)
+    both = np.zeros((n, n), np.int64)
     for lo in range(0, int(shared.sum()), 4096):
         s, e = np.searchsorted(col, [lo, lo + 4096])
         m = np.zeros((n, 4096), np.float32)
         m[row[s:e], col[s:e] - lo] = 1
-        both += m @ m.T
+        both += (m @ m.T).astype(np.int64)  # of 4096 columns: exact in 32 bits
     link = 100 * both >= percent * (size[:, None] + size[None, :] - both)
     label = _labels(link)
     return [(int(ids[label[i]]), int(ids[i])) for i in range(n) if label[i] != i]
 
 
 def links(docs: DataFrame, members: DataFrame, text: str, percent: int, buckets: int) -> DataFrame:
-    """Exact links (a, b) that connect each family's components; members: rep, h1, family. Families above TILE sets are
+    """Exact links (a, b) that connect each family's components; members: rep, h1, n_shingles, family. Families above a tile are
     dealt out in pairs of tiles, so each task holds two tiles of sets at most."""
-    sizes = members.groupBy("family").agg(F.count("*").alias("n"))
-    tiles = members.join(sizes, "family").withColumn("tiles", F.ceil(F.col("n") / TILE).cast("int"))
+    sizes = members.groupBy("family").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("total"))
+    tiles = members.join(sizes, "family").withColumn("tiles", F.ceil(F.greatest(F.col("n") / TILE, F.col("total") * 8 / TILE_BYTES)).cast("int"))
     wanted = tiles.select("rep", "h1")
     ids = wanted.select(F.col("rep").alias("doc_id")).distinct()
     rows = docs.select("doc_id", F.col(text).alias("t")).join(F.broadcast(ids) if small(ids, BROADCAST_IDS) else ids, "doc_id", "left_semi")
@@ -312,7 +303,8 @@ def links(docs: DataFrame, members: DataFrame, text: str, percent: int, buckets:
     other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
     placed = tiles.withColumn("i", mine).withColumn("j", other).select(
         "rep", "h1", "family",
-        F.when(F.col("tiles") == 1, F.pmod(F.xxhash64("family"), F.lit(buckets))).otherwise(-1 - F.col("family")).alias("deal"), F.least("i", "j").alias("ti"), F.greatest("i", "j").alias("tj"),
+        F.when(F.col("tiles") == 1, F.pmod(F.xxhash64("family"), F.lit(buckets))).otherwise(-1 - F.col("family")).alias("deal"),
+        F.least("i", "j").alias("ti"), F.greatest("i", "j").alias("tj"),
     )
 
     def confirm(t: pa.Table) -> pa.Table:
@@ -340,12 +332,15 @@ def near_duplicates(docs: DataFrame, text: str = "text", percent: int = PERCENT)
     busy = active(sets, buckets)
     near = materialize(families(sets.join(busy, "rep", "left_semi"), buckets, agreeing(percent)), "near")
     family = components(near).select(F.col("node").alias("rep"), F.col("component").alias("family"))
-    members = materialize(sets.select("rep", "h1").join(family, "rep"), "members")
+    members = materialize(sets.select("rep", "h1", "n_shingles").join(family, "rep"), "members")
     of_row = sketched.select("doc_id", "n_shingles", "h1", "h2").join(sets.select("h1", "h2", "n_shingles", "rep"), ["h1", "h2", "n_shingles"], "left")
     of_row = materialize(of_row.select("doc_id", "n_shingles", "rep"), "rows")
-    several = of_row.where("rep is not null and doc_id is not null").groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b"), F.collect_set("rep").alias("reps")).where("a < b")
-    same_id = several.select("a", F.explode("reps").alias("b"))  # sets of rows that repeat an id
+    reps = of_row.where("rep is not null and doc_id is not null").select("doc_id", "rep").distinct()
+    several = materialize(reps.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b").select("doc_id", "a"), "repeated")
+    same_id = reps.join(F.broadcast(several) if small(several, BROADCAST_IDS) else several, "doc_id")
+    same_id = same_id.select("a", F.col("rep").alias("b"))  # sets of rows that repeat an id
     linked = components(links(docs, members, text, percent, buckets).unionAll(same_id)).select(F.col("node").alias("rep"), F.col("component").alias("component_id"))
     out = of_row.join(linked, "rep", "left").withColumn("component_id", F.coalesce("component_id", "rep"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
+    discard(sketched, sets, near, members, several)
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
