@@ -49,6 +49,9 @@ def _traded(table: str, where: str = "TRUE") -> str:
     return f"(SELECT maker_asset_id AS token_id FROM {table} WHERE {where} AND maker_asset_id <> {Z} UNION SELECT taker_asset_id FROM {table} WHERE {where} AND taker_asset_id <> {Z})"
 
 
+_ON_CTF, _ON_NEG_RISK = "contract = 'CTFExchange'", "contract = 'NegRiskCtfExchange'"
+
+
 def _anti(column: str, table: str, other: str, key: str) -> str:
     return f"SELECT DISTINCT {column} FROM {table} a WHERE NOT EXISTS (SELECT 1 FROM {other} b WHERE b.{key} = a.{column})"
 
@@ -71,7 +74,7 @@ _SQL = {
     "f6a_converted_has_questions": _anti("market_id", "positions_converted", "question_prepared", "market_id"),
     "f6b_reachable_has_condition": """SELECT DISTINCT market_id, question_id FROM question_prepared q WHERE EXISTS (SELECT 1 FROM positions_converted p WHERE p.market_id = q.market_id)
         AND NOT EXISTS (SELECT 1 FROM condition_preparation c WHERE c.question_id = q.question_id)""",
-    "f7_exchanges_disjoint": f"SELECT token_id FROM {_traded('order_filled', chr(99) + 'ontract = ' + repr('CTFExchange'))} INTERSECT SELECT token_id FROM {_traded('order_filled', 'contract = ' + repr('NegRiskCtfExchange'))}",
+    "f7_exchanges_disjoint": f"SELECT token_id FROM {_traded('order_filled', _ON_CTF)} INTERSECT SELECT token_id FROM {_traded('order_filled', _ON_NEG_RISK)}",
     "f8_fee_tokens_registered": f"SELECT DISTINCT token_id FROM fee_charged WHERE token_id <> {Z} AND token_id NOT IN (SELECT token_id FROM {_REGISTERED})",
     "f9_fee_reconciliation": """WITH p AS (SELECT transaction_hash, sum(CAST(fee AS HUGEINT)) AS s FROM order_filled GROUP BY 1), c AS (SELECT transaction_hash, sum(CAST(amount AS HUGEINT)) AS s FROM fee_charged GROUP BY 1)
         SELECT p.transaction_hash, CAST(p.s AS VARCHAR) AS fill_fee, CAST(coalesce(c.s, 0) AS VARCHAR) AS charged_fee FROM p LEFT JOIN c USING (transaction_hash) WHERE p.s <> coalesce(c.s, 0)""",
@@ -105,22 +108,23 @@ _SQL = {
     "f27_registered_prepared": _anti("condition_id", "token_registered", "condition_preparation", "condition_id"),
     "f28_registration_valid": f"SELECT transaction_hash, log_index, condition_id FROM token_registered WHERE condition_id IS NULL OR length(condition_id) <> 64 OR condition_id = {Z}",
     "f29_unique_log_keys": "SELECT contract, event, count(*) AS duplicates FROM (" + " UNION ALL ".join(
-        f"SELECT {'contract' if e in ('order_filled', 'orders_matched', 'fee_charged', 'fee_refunded', 'order_cancelled', 'token_registered') else repr('')} AS contract, '{e}' AS event FROM {'order_filled_replay' if e == 'order_filled' else e} GROUP BY ALL, block_number // 1000000, transaction_hash, log_index HAVING count(*) > 1".replace("GROUP BY ALL", "GROUP BY 1, 2")
-        for e in C.KEYED
+        f"""SELECT {"contract" if len(e.contracts) > 1 else "''"} AS contract, '{k}' AS event FROM {"order_filled_replay" if k == "order_filled" else k}
+        GROUP BY 1, 2, block_number // 1000000, transaction_hash, log_index HAVING count(*) > 1""" for k, e in EVENTS.items()
     ) + ") GROUP BY 1, 2",
 }
+_ON_REPLAY = ("f1_blob_lengths", "f29_unique_log_keys")
 for _name, (_check, _, _) in C.CHECKS.items():
-    _add(_name, (lambda c, n: lambda t: c(_Replay(t) if n in ("f1_blob_lengths", "f29_unique_log_keys") else t))(_check, _name), _SQL[_name])
-_REPORTED = tuple(n for n in C.CHECKS if n not in ("f1_blob_lengths", "f29_unique_log_keys"))
+    _add(_name, (lambda c, n: lambda t: c(_Replay(t) if n in _ON_REPLAY else t))(_check, _name), _SQL[_name])
 
 
 def _status(n: str) -> str:
     _, expectation, tolerance = C.CHECKS[n]
-    bad = "expected failure" if expectation == "expected" else "fail"
-    return f"SELECT '{n}' AS check_name, count(*) AS violations, '{expectation}' AS expectation, {tolerance} AS tolerance, CASE WHEN count(*) <= {tolerance} THEN 'pass' ELSE '{bad}' END AS status FROM ({_SQL[n]})"
+    fine, bad = ("unexpected pass", "expected failure") if expectation == "expected" else ("pass", "fail")
+    return f"""SELECT '{n}' AS check_name, count(*) AS violations, '{expectation}' AS expectation, {tolerance} AS tolerance,
+        CASE WHEN count(*) <= {tolerance} THEN '{fine}' ELSE '{bad}' END AS status FROM ({_SQL[n]})"""
 
 
-_add("f0_report", lambda t: C.report(t, _REPORTED), " UNION ALL ".join(map(_status, _REPORTED)))
+_add("f0_report", lambda t: C.report(t, instead=dict.fromkeys(_ON_REPLAY, _Replay(t))), " UNION ALL ".join(map(_status, C.CHECKS)))
 
 
 def _known(t: Tables) -> DataFrame:
@@ -212,13 +216,12 @@ def _decoded_sql(key: str) -> str:
 for _i, _key in enumerate(EVENTS, 1):
     _add(f"c{_i:02d}_decode_{_key}", (lambda k: lambda t: _decoded(t, k))(_key), _decoded_sql(_key))
 
-_ALL = ("order_filled", "token_registered", "condition_resolution", "question_prepared", "question_resolved", "fee_refunded")
 
 
 def _raw(t: Tables) -> DataFrame:
-    """Logs of several events."""
+    """Logs of all events."""
     out = None
-    for k in _ALL:
+    for k in EVENTS:
         r = D.encode(_source(t, k), k)
         out = r if out is None else out.unionAll(r)
     return out
@@ -232,24 +235,49 @@ def _broken(t: Tables) -> DataFrame:
     return raw.withColumns({"topics": topics, "data": data})
 
 
-def _count_sql(spoilt: bool) -> str:
+_TOKENS = sorted({f.name for e in EVENTS.values() for f in e.fields if f.kind == "token"})
+
+
+def _values(decoded: DataFrame) -> DataFrame:
+    """Decoded logs with their values in the order of the fields; token ids in hex, as the tables have them."""
+    fields = F.transform_values(F.from_json("fields", "map<string,string>"), lambda k, v: F.when(k.isin(_TOKENS), U.u256_hex(v)).otherwise(v))
+    keys = "event", "contract", "block_number", "log_index", U.strip0x(F.col("transaction_hash")).alias("transaction_hash")
+    return decoded.select(*keys, F.array_join(F.map_values(fields), "|").alias("field_values"))
+
+
+def _spoilt(key: str) -> str:
+    return "3, 4, 5" if EVENTS[key].words else "3"  # without data words there is nothing to spoil but topics
+
+
+def _values_sql() -> str:
     each = []
-    for k in _ALL:
-        bad = {"token_registered": "3"}.get(k, "3, 4, 5")
-        where = f"block_number % 97 IN ({bad})" if spoilt else f"block_number % 97 NOT IN (1, 2, {bad})"
-        each.append(f"SELECT '{k}' AS event, block_number, log_index, transaction_hash FROM {k} WHERE {where}")
+    for k, e in EVENTS.items():
+        vals = ", ".join(f"""'0x' || "{f.name}\"""" if f.kind in ("b32", "addr") else f'CAST("{f.name}" AS VARCHAR)' for f in e.fields)
+        each.append(f"""SELECT '{k}' AS event, contract, block_number, log_index, transaction_hash, concat_ws('|', {vals}) AS field_values
+        FROM ({_decoded_sql(k)}) WHERE block_number % 97 NOT IN (1, 2, {_spoilt(k)})""")
     return " UNION ALL ".join(each)
 
 
-_add("c24_decode_all", lambda t: D.decode_all(_broken(t)).select("event", "block_number", "log_index", U.strip0x(F.col("transaction_hash")).alias("transaction_hash")), _count_sql(False))
-_add("c25_undecodable", lambda t: D.undecodable(_broken(t)).select("event", "block_number", "log_index", U.strip0x(F.col("transaction_hash")).alias("transaction_hash")), _count_sql(True))
+def _undecodable_sql() -> str:
+    reason = "CASE block_number % 97 WHEN 3 THEN 'missing topic' WHEN 4 THEN 'short or bad data' ELSE 'bad hex' END AS reason"
+    return " UNION ALL ".join(
+        f"SELECT '{k}' AS event, block_number, log_index, transaction_hash, {reason} FROM ({_decoded_sql(k)}) WHERE block_number % 97 IN ({_spoilt(k)})" for k in EVENTS
+    )
+
+
+_add("c24_decode_all", lambda t: _values(D.decode_all(_broken(t))), _values_sql())
+_add(
+    "c25_undecodable",
+    lambda t: D.undecodable(_broken(t)).select("event", "block_number", "log_index", U.strip0x(F.col("transaction_hash")).alias("transaction_hash"), "reason"),
+    _undecodable_sql(),
+)
 
 # Conversions (2D) over whole tables
 _F = "order_filled"
 _add("d1_hex_to_b32", lambda t: t[_F].select("transaction_hash", "log_index", F.hex(U.hex_to_binary(F.concat(F.lit("0x"), F.substr("order_hash", F.lit(1), F.lit(60))), 32)).alias("v")), "SELECT transaction_hash, log_index, upper(lpad(substr(order_hash, 1, 60), 64, '0')) AS v FROM order_filled")
 _add("d2_hex_to_b20", lambda t: t[_F].select("transaction_hash", "log_index", F.hex(U.hex_to_binary(F.concat(F.lit("0x"), F.substr("maker", F.lit(1), F.lit(38))), 20)).alias("v")), "SELECT transaction_hash, log_index, upper(lpad(substr(maker, 1, 38), 40, '0')) AS v FROM order_filled")
 _WIDE = "repeat('7', 3) || maker_amount_filled || lpad(taker_amount_filled, 15, '0')"
-_add("d3_dec_to_b32", lambda t: t[_F].select("transaction_hash", "log_index", F.lower(F.hex(U.dec_to_b32(F.expr(_WIDE)))).alias("v")), f"SELECT transaction_hash, log_index, lpad(lower(printf('%x', 0)), 0, '0') || lpad(lower(hex(CAST({_WIDE} AS HUGEINT))), 64, '0') AS v FROM order_filled")
+_add("d3_dec_to_b32", lambda t: t[_F].select("transaction_hash", "log_index", F.lower(F.hex(U.dec_to_b32(F.expr(_WIDE)))).alias("v")), f"SELECT transaction_hash, log_index, lpad(lower(hex(CAST({_WIDE} AS HUGEINT))), 64, '0') AS v FROM order_filled")
 _add("d4_to_u32", lambda t: t[_F].select("transaction_hash", "log_index", U.to_u32(F.col("taker_amount_filled").cast("long") * 1000).alias("v")), "SELECT transaction_hash, log_index, (CAST(taker_amount_filled AS BIGINT) * 1000) & 4294967295 AS v FROM order_filled")
 _add("d5_parse_hex", lambda t: t[_F].select("transaction_hash", "log_index", U.parse_hex(F.concat(F.lit("0x"), F.lower(F.hex(F.col("block_number"))))).alias("v")), "SELECT transaction_hash, log_index, CAST(block_number AS BIGINT) AS v FROM order_filled")
 _add("d6_topic_address", lambda t: t[_F].select("transaction_hash", "log_index", U.topic_address(F.concat(F.lit("0x"), F.repeat(F.lit("0"), F.lit(24)), F.upper("maker"))).alias("v")), "SELECT transaction_hash, log_index, '0x' || maker AS v FROM order_filled")
@@ -317,7 +345,7 @@ def _landed(t: Tables) -> DataFrame:
     return S.read_raw_logs(t.spark, path)
 
 
-_LOGS = " UNION ALL ".join(f"SELECT transaction_hash, log_index, block_number, '{EVENTS[k].topic0}' AS topic0 FROM {k}" for k in _ALL)
+_LOGS = " UNION ALL ".join(f"SELECT transaction_hash, log_index, block_number, '{EVENTS[k].topic0}' AS topic0 FROM ({_decoded_sql(k)})" for k in EVENTS)
 _log_row = lambda df: df.select(U.strip0x(F.col("transactionHash")).alias("transaction_hash"), U.parse_hex(F.col("logIndex")).alias("log_index"), U.parse_hex(F.col("blockNumber")).alias("block_number"), F.get("topics", F.lit(0)).alias("topic0"))
 _add("a10_read_raw_logs", lambda t: _log_row(_landed(t)), _LOGS)
 _add("a11_filter_logs", lambda t: _log_row(S.filter_logs(_raw(t), [D.CONTRACTS["CTFExchange"], D.CONTRACTS["FeeModuleCTF"].upper()], [EVENTS[_F].topic0], 83_500_000, 84_500_000)), f"SELECT transaction_hash, log_index, block_number, '{EVENTS[_F].topic0}' AS topic0 FROM order_filled WHERE contract = 'CTFExchange' AND block_number BETWEEN 83500000 AND 84500000")
@@ -439,11 +467,10 @@ def _streamed(t: Tables, df: DataFrame) -> DataFrame:
 def _stream_decode(t: Tables) -> DataFrame:
     path = shared_path(t.spark, "logs")
     _broken(t).write.json(path)
-    d = _drained(H.stream_decode(H.read_logs(t.spark, path)), t)
-    return d.select("event", "block_number", "log_index", U.strip0x(F.col("transaction_hash")).alias("transaction_hash"))
+    return _values(_drained(H.stream_decode(H.read_logs(t.spark, path)), t))
 
 
-_add("h1_stream_decode", _stream_decode, _count_sql(False))
+_add("h1_stream_decode", _stream_decode, _values_sql())
 
 
 def _stream_dedup(t: Tables) -> DataFrame:
@@ -454,16 +481,53 @@ def _stream_dedup(t: Tables) -> DataFrame:
 _add("h2_stream_dedup", _stream_dedup, "SELECT block_number, count(DISTINCT log_index) AS n FROM order_filled_replay GROUP BY 1")
 
 
+def _in_turns(t: Tables, parts: list[DataFrame], start) -> None:
+    """Run start(stream) to its end after each part has come to the stream's folder: one micro-batch a part at least."""
+    path = shared_path(t.spark, "feed")
+    for df in parts:
+        df.write.mode("append").parquet(path)
+        start(t.spark.readStream.schema(parts[0].schema).parquet(path)).awaitTermination()
+
+
 def _stream_seal(t: Tables) -> DataFrame:
-    root = shared_path(t.spark, "sealed")
-    ranges = t.spark.createDataFrame([(84_000_000, 84_499_999)], "from_block long, to_block long")
-    logs = _streamed(t, D.encode(t[_F].where("contract = 'CTFExchange'"), _F))
-    H.stream_seal(D.decode(logs, _F), lambda batch, i: X.seal_ready({("CTFExchange", _F): batch}, ranges, root) and None, shared_path(t.spark, "offsets")).awaitTermination()
-    return _rows(S.scan_table(t.spark, root, "CTFExchange", _F))
+    """Logs come in three turns: even blocks, odd ones before 84.25 million, and the other odd ones. The first two complete
+    the ranges before 84.25 million, the third those before 84.5 million; later blocks stay staged."""
+    root, state, offsets = (shared_path(t.spark, n) for n in ("sealed", "state", "offsets"))
+    logs = D.encode(t[_F].where("contract = 'CTFExchange'"), _F).withColumn("b", U.parse_hex(F.col("blockNumber")))
+    parts = [logs.where(w).drop("b") for w in ("b % 2 = 0", "b % 2 = 1 and b < 84250000", "b % 2 = 1 and b >= 84250000")]
+    reach = lambda i: t.spark.createDataFrame([(84_000_000, 84_249_999 if i < 2 else 84_499_999)], "from_block long, to_block long")
+    _in_turns(t, parts, lambda s: H.stream_seal(D.decode(s, _F), "CTFExchange", _F, reach, root, state, offsets))
+    keys = U.strip0x(F.col("transaction_hash")).alias("transaction_hash"), "log_index"
+    late = [t.spark.read.parquet(f"{state}/{i}/late").select(*keys, F.lit("late").alias("outcome")) for i in range(3)]
+    staged = t.spark.read.parquet(f"{state}/2/staged").select(*keys, F.lit("staged").alias("outcome"))
+    out = _rows(S.scan_table(t.spark, root, "CTFExchange", _F)).select("transaction_hash", "log_index", F.lit("sealed").alias("outcome"))
+    for df in [*late, staged]:
+        out = out.unionAll(df)
+    return out
+
+
+_add("h3_stream_seal", _stream_seal, """WITH o AS (SELECT * FROM order_filled WHERE contract = 'CTFExchange'),
+    s AS (SELECT DISTINCT block_number // 10000 AS k FROM o WHERE block_number % 2 = 0 AND block_number BETWEEN 84000000 AND 84249999)
+    SELECT transaction_hash, log_index, CASE WHEN block_number NOT BETWEEN 84000000 AND 84499999 THEN 'staged'
+    WHEN block_number < 84250000 AND block_number % 2 = 1 AND s.k IS NOT NULL THEN 'late' ELSE 'sealed' END AS outcome FROM o LEFT JOIN s ON s.k = o.block_number // 10000""")
+
+
+def _stream_lag(t: Tables) -> DataFrame:
+    """Finished ranges come in four turns; one row a turn."""
+    state, offsets = shared_path(t.spark, "state"), shared_path(t.spark, "offsets")
+    turn = F.expr("from_block div 395950 % 4")
+    ranges = t["ranges"].select(F.col("from_block").cast("long").alias("from_block"), F.col("to_block").cast("long").alias("to_block"))
+    _in_turns(t, [ranges.where(turn == k) for k in range(4)], lambda s: H.stream_lag(s, _HEAD, 1000, state, offsets))
+    return t.spark.read.parquet(f"{state}/lag").select(F.col("step").cast("int").alias("step"), "covered_blocks", "blocks_behind", "lagging")
 
 
-_add("h3_stream_seal", _stream_seal, f"SELECT {_COLS} FROM order_filled WHERE contract = 'CTFExchange' AND block_number BETWEEN 84000000 AND 84499999")
-_add("h4_stream_lag", lambda t: H.stream_lag(t["ranges"], _HEAD, 1000).select("covered_blocks", "blocks_behind", "lagging"), f"{_M} SELECT CAST(sum(to_block - from_block + 1) AS BIGINT) AS covered_blocks, greatest({_HEAD} - max(to_block), 0) AS blocks_behind, greatest({_HEAD} - max(to_block), 0) > 1000 AS lagging FROM m")
+def _lag_sql(k: int) -> str:
+    m = _MERGED.format(f"(SELECT * FROM ranges WHERE from_block // 395950 % 4 <= {k})")
+    return f"""SELECT * FROM (WITH {m} SELECT {k} AS step, CAST(sum(to_block - from_block + 1) AS BIGINT) AS covered_blocks,
+    greatest({_HEAD} - max(to_block), 0) AS blocks_behind, greatest({_HEAD} - max(to_block), 0) > 1000 AS lagging FROM m)"""
+
+
+_add("h4_stream_lag", _stream_lag, " UNION ALL ".join(map(_lag_sql, range(4))))
 
 
 def _stream_inclusion(t: Tables) -> DataFrame:
@@ -478,4 +542,13 @@ def _stream_inclusion(t: Tables) -> DataFrame:
 
 _add("h8_stream_inclusion", _stream_inclusion, """SELECT block_number, count(DISTINCT tx_hash) AS trades, count(DISTINCT CASE WHEN a THEN tx_hash END) AS announced FROM
     (SELECT c.block_number, c.tx_hash, EXISTS (SELECT 1 FROM settlements s WHERE s.tx_hash = c.tx_hash AND s.arrival_ms <= c.arrival_ms AND s.arrival_ms >= c.arrival_ms - 30000) AS a FROM confirmed c) GROUP BY 1""")
-_add("h10_stream_regressions", lambda t: _drained(H.stream_regressions(_streamed(t, t["confirmed"].select(F.lit("main").alias("feed"), F.col("arrival_seq").cast("long").alias("arrival_seq"), F.col("block_number").cast("long").alias("block_number"), "tx_hash"))), t), _REGRESS)
+
+
+def _stream_regressions(t: Tables) -> DataFrame:
+    """Four feeds, each an order of its own."""
+    columns = F.col("arrival_seq").cast("long").alias("arrival_seq"), F.col("block_number").cast("long").alias("block_number"), "tx_hash"
+    rows = t["confirmed"].select(F.concat(F.lit("feed"), F.col("arrival_seq") % 4).alias("feed"), *columns)
+    return _drained(H.stream_regressions(_streamed(t, rows)), t)
+
+
+_add("h10_stream_regressions", _stream_regressions, _REGRESS.replace("OVER (ORDER BY", "OVER (PARTITION BY arrival_seq % 4 ORDER BY"))

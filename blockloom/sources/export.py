@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 from ..functions import u256 as U
 from ..operators.ranges import complete_10k
 from ..plans.catalog import COMMON, CONTRACTS, TABLES
-from .shared import materialize
+from .shared import materialize, shared_path
 from .scan import exists, partition_inventory, scan_table, table_path
 
 ORDER = ("block_number", "transaction_index", "log_index")
@@ -90,22 +90,35 @@ def empty_partitions(ready: DataFrame, targets: DataFrame, counts: DataFrame) ->
     return j.select("contract", "event", "10K", F.coalesce("row_count", F.lit(0)).alias("row_count"), F.when(F.coalesce("row_count", F.lit(0)) == 0, "empty").otherwise("complete").alias("status"))
 
 
-def seal_ready(staged: dict[tuple[str, str], DataFrame], ranges: DataFrame, root: str) -> dict[str, DataFrame]:
-    """Write the rows of complete, unsealed partitions, verify them, and say what stays staged and what came late."""
+def _per_partition(df: DataFrame, contract: str, event: str) -> DataFrame:
+    rows = df.groupBy("10K").agg(F.count("*").alias("row_count"))
+    return rows.select(F.lit(contract).alias("contract"), F.lit(event).alias("event"), "10K", "row_count")
+
+
+def seal_ready(staged: dict[tuple[str, str], DataFrame], ranges: DataFrame, root: str, read_back=scan_table) -> dict[str, DataFrame]:
+    """Release the rows of complete, unsealed partitions, and say what stays staged and what came late.
+
+    Rows are written beside the root first and read back; only partitions whose count is what was written move to the root.
+    The others are returned as mismatches, and their rows stay staged with those of partitions that are not complete."""
     spark = ranges.sparkSession
-    ready = complete_10k(ranges).select(F.col("partition_start").alias("10K"))
-    inventory = partition_inventory(spark, root) if exists(spark, root) else spark.createDataFrame([], "contract string, event string, `1M` long, `10K` long, files long, bytes long")
-    inventory = materialize(inventory.select("contract", "event", "10K"), "inventory")  # as it was before this run
-    kept, late, written = {}, [], []
+    key = ["contract", "event", "10K"]
+    ready = materialize(complete_10k(ranges).select(F.col("partition_start").alias("10K")), "ready")
+    none = spark.createDataFrame([], "contract string, event string, `1M` long, `10K` long, files long, bytes long")
+    inventory = materialize((partition_inventory(spark, root) if exists(spark, root) else none).select(*key), "inventory")  # as it was before this run
+    area, kept, late, wrote, mismatches = shared_path(spark, "unverified"), {}, [], [], []
     for (contract, event), df in staged.items():
         tagged = df.withColumns({"contract": F.lit(contract), "event": F.lit(event)})
         fresh, old = only_unsealed(tagged, inventory)
-        go = partitioned(fresh).join(ready, "10K", "left_semi").select(*df.columns)
-        export_event(typed_projection(go, contract, event), root, contract, event)
-        written.append(partitioned(go).groupBy("10K").agg(F.count("*").alias("row_count")).select(F.lit(contract).alias("contract"), F.lit(event).alias("event"), "10K", "row_count"))
-        late.append(partitioned(old).select("contract", "event", "10K", "block_number", "transaction_hash", "log_index"))
-        kept[contract, event] = partitioned(fresh).join(ready, "10K", "left_anti").select(*df.columns)
-    wrote = reduce(DataFrame.unionAll, written)
-    now = reduce(DataFrame.unionAll, (scan_table(spark, root, c, e).groupBy("10K").agg(F.count("*").alias("row_count")).select(F.lit(c).alias("contract"), F.lit(e).alias("event"), "10K", "row_count") for c, e in staged))
-    fresh_now = now.join(inventory, ["contract", "event", "10K"], "left_anti")
-    return {"written": wrote, "mismatches": verify_partitions(wrote, fresh_now), "late": reduce(DataFrame.unionAll, late), "staged": kept}
+        go = partitioned(fresh).join(ready, "10K", "left_semi")
+        export_event(typed_projection(go.select(*df.columns), contract, event), area, contract, event)
+        written = materialize(_per_partition(go, contract, event), "written")
+        again = read_back(spark, area, contract, event)
+        differs = materialize(verify_partitions(written, _per_partition(again, contract, event)), "mismatches")
+        export_event(again.join(differs.select("10K"), "10K", "left_anti").drop("1M", "10K"), root, contract, event)
+        held = ready.join(differs.select("10K"), "10K", "left_anti")
+        kept[contract, event] = partitioned(fresh).join(held, "10K", "left_anti").select(*df.columns)
+        late.append(partitioned(old).select(*key, "block_number", "transaction_hash", "log_index"))
+        wrote.append(written.join(differs.select("10K"), "10K", "left_anti"))
+        mismatches.append(differs)
+    union = lambda parts: reduce(DataFrame.unionByName, parts)
+    return {"written": union(wrote), "mismatches": union(mismatches), "late": union(late), "staged": kept}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,11 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path below spark.checkpoint.dir, or below a temporary folder where that is unset (as in tests)."""
-    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """A new path below spark.checkpoint.dir. Where that is unset, below a folder of its own in local mode, which has a
+    single machine; on a cluster that is an error, as executors would not see each other's files."""
+    context = spark.sparkContext
+    at = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not at:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-shared-"))
-        at = spark.sparkContext.getCheckpointDir()
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise ValueError("Set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-shared-"))
+        at = context.getCheckpointDir()
     return f"{at}/{name}-{uuid.uuid4().hex}"
 
 

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,9 @@ from pyspark.sql import types as T
 from ..operators import decode as D
 from ..operators.ranges import _max_before, coverage, merge_ranges
 from ..plans.catalog import RAW
+from ..sources.export import seal_ready
+from ..sources.scan import exists
+from ..sources.shared import materialize
 
 ALARM_MS = 10_000
 _ITEM = "struct<tx_hash:string,status:string>"
@@ -101,16 +105,47 @@ def stream_dedup(events: DataFrame, time: str, delay: str = "10 minutes") -> Dat
     return events.withWatermark(time, delay).dropDuplicatesWithinWatermark(["block_number", "log_index"])
 
 
-def stream_seal(events: DataFrame, seal, checkpoint: str):
-    """H3: call seal(batch, id) on each micro-batch, exactly once per batch by the checkpoint."""
+def _kept(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    return spark.read.schema(like.schema).parquet(path) if exists(spark, path) else like.limit(0)
+
+
+def stream_seal(events: DataFrame, contract: str, event: str, ranges_of, root: str, state: str, checkpoint: str):
+    """H3: continuous sealing. Each micro-batch is joined by what stayed staged, and what ranges_of(batch id) completes is
+    released; the rest stays staged for the batches to come. Below `state` each batch leaves its late and staged rows.
+
+    A batch that is run again after it was finished is left alone; one that broke off after its release finds its
+    partitions sealed and reports their rows as late, so nothing is written twice."""
+
+    def seal(batch: DataFrame, i: int) -> None:
+        spark = batch.sparkSession
+        if exists(spark, f"{state}/{i}/staged/_SUCCESS"):
+            return
+        pending = materialize(batch.unionByName(_kept(spark, f"{state}/{i - 1}/staged", batch)), "pending")
+        done = seal_ready({(contract, event): pending}, ranges_of(i), root)
+        done["late"].write.mode("overwrite").parquet(f"{state}/{i}/late")
+        done["staged"][contract, event].write.mode("overwrite").parquet(f"{state}/{i}/staged")
+
     return events.writeStream.foreachBatch(seal).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def stream_lag(ranges: DataFrame, head: int, tolerance: int) -> DataFrame:
-    """H4: coverage after a batch, and whether it lags by more than the tolerance."""
+def lag(ranges: DataFrame, head: int, tolerance: int) -> DataFrame:
+    """Coverage of ranges, and whether it lags behind the head by more than the tolerance."""
     return coverage(merge_ranges(ranges), head).withColumn("lagging", F.col("blocks_behind") > tolerance)
 
 
+def stream_lag(ranges: DataFrame, head: int, tolerance: int, state: str, checkpoint: str):
+    """H4: the lag after each micro-batch of finished ranges, below `state` by batch, until it is within the tolerance."""
+
+    def step(batch: DataFrame, i: int) -> None:
+        spark = batch.sparkSession
+        merged = merge_ranges(batch.unionByName(_kept(spark, f"{state}/ranges/{i - 1}", batch)))
+        merged.write.mode("overwrite").parquet(f"{state}/ranges/{i}")
+        now = lag(spark.read.schema(merged.schema).parquet(f"{state}/ranges/{i}"), head, tolerance)
+        now.write.mode("overwrite").parquet(f"{state}/lag/step={i}")
+
+    return ranges.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def stream_inclusion(confirmed: DataFrame, settlements: DataFrame, wait: str = "30 seconds") -> DataFrame:
     """H8/H9 as a stream-stream left outer join: confirmed trades with the settlement that announced them up to `wait`
     before, or null once the watermark has passed. Both sides have a timestamp `ts`."""
@@ -125,16 +160,14 @@ REGRESSION = T.StructType([T.StructField(n, T.StringType() if n == "tx_hash" els
 
 def _regressed(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
     """State: the highest block so far of one feed."""
-    rows = pd.concat(list(frames)).sort_values("arrival_seq")
-    top = state.get[0] if state.exists else None
-    before = rows["block_number"].cummax().shift(1)
-    if top is not None:
-        before = before.fillna(top).clip(lower=top)
-    found = rows[before.notna() & (rows["block_number"] < before)].assign(highest=before)
-    state.update((int(max(rows["block_number"].max(), top if top is not None else rows["block_number"].max())),))
-    yield found[["arrival_seq", "block_number", "tx_hash", "highest"]].astype({"highest": "int64"})
+    rows = pd.concat(list(frames)).sort_values("arrival_seq", ignore_index=True)
+    blocks = rows["block_number"].to_numpy("int64")
+    top = np.maximum.accumulate(np.concatenate([[state.get[0] if state.exists else np.iinfo(np.int64).min], blocks]))
+    state.update((int(top[-1]),))
+    found = rows[["arrival_seq", "block_number", "tx_hash"]].assign(highest=top[:-1])
+    yield found[blocks < top[:-1]]
 
 
 def stream_regressions(confirmed: DataFrame, feed: str = "feed") -> DataFrame:
-    """H10 as keyed state: one state per feed, each batch sorted by arrival."""
+    """H10 as keyed state: one state per feed, each batch sorted by arrival; a feed is one order, so one task at a time."""
     return confirmed.groupBy(feed).applyInPandasWithState(_regressed, REGRESSION, T.StructType([T.StructField("top", T.LongType())]), "append", "NoTimeout")

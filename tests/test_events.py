@@ -102,6 +102,7 @@ def test_amounts_at_the_int128_boundary(spark):
 
 
 def test_known_refunds(spark):
+    # Refunds and fees of known transactions.
     want = spark.createDataFrame([("3478260", "0"), ("39458310", "541690")], "refund string, fee string")
     assert checks.expected_rows(want, want).count() == 0
     assert {r["problem"] for r in checks.expected_rows(want.limit(1), want.unionAll(want.limit(1))).collect()} <= {"missing"}
@@ -126,6 +127,38 @@ def test_export_scan_seal(spark, tmp_path):
     assert len(TABLES) == 29 and len(EVENTS) == 23
 
 
+def test_a_partition_whose_rows_change_stays_staged(spark, tmp_path):
+    root, t = str(tmp_path / "cold"), Tables(spark, SF)
+    df = t["order_filled"].where("contract = 'CTFExchange'")
+    lo = df.agg(F.min("block_number")).first()[0] // 10000 * 10000
+    r = spark.createDataFrame([(lo, lo + 999_999)], "from_block long, to_block long")
+    short = lambda *a: scan.scan_table(*a).where(f"not (`10K` = {lo} and log_index = 0)")
+    done = export.seal_ready({("CTFExchange", "order_filled"): df}, r, root, read_back=short)
+    assert [x["10K"] for x in done["mismatches"].collect()] == [lo]
+    stored = scan.scan_table(spark, root, "CTFExchange", "order_filled")
+    assert stored.where(F.col("10K") == lo).count() == 0 < stored.count()
+    kept = done["staged"]["CTFExchange", "order_filled"]
+    inside = F.col("block_number").between(lo, lo + 9_999)
+    assert kept.where(inside).count() == df.where(inside).count() > 0 and kept.count() + stored.count() == df.count()
+    again = export.seal_ready({("CTFExchange", "order_filled"): kept}, r, root)
+    assert again["mismatches"].count() == 0 and stored.count() == df.where(F.col("block_number").between(lo, lo + 999_999)).count()
+
+
+def test_report_skips_and_unexpected_passes(spark):
+    class Some:
+        def __init__(self):
+            self.t, self.spark = Tables(spark, SF), spark
+
+        def __getitem__(self, name):
+            if name == "fee_charged":
+                raise KeyError(name)
+            return self.t[name].limit(0) if name == "condition_resolution" else self.t[name]
+
+    names = ("f8_fee_tokens_registered", "f4_resolution_prepared", "f3_symmetric_pairs")
+    got = {r["check_name"]: (r["violations"] is None, r["status"]) for r in checks.report(Some(), names, limit=1).collect()}
+    assert got == {names[0]: (True, "skip"), names[1]: (False, "unexpected pass"), names[2]: (False, "fail")}
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "from_block long, to_block long")
     assert ranges.merge_ranges(none).count() == 0 and ranges.complete_10k(none).count() == 0
