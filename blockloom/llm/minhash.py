@@ -5,8 +5,9 @@ with every half-key of the other, so 2 * HALVES * BAND minhashes do the work of
 similarity s shares a key with chance (1 - (1 - s**BAND)**HALVES)**2: over 0.99999 at 0.85, over 0.9999 at 0.8.
 
 Sets that share a key are compared by their minhashes; pairs that could reach the threshold join families, and within a
-family all pairs are decided exactly. Every shuffle moves few bytes per set: of a key's members in one block only the
-smallest travels, families are dealt out in tiles, and no task or driver holds a group of unbounded size."""
+family all pairs are decided exactly. Every shuffle moves few bytes per set. Keys of many sets are met twice: first by a
+part of their members, which brings most into one family, then by all pairs that are still in different families
+(`unsettled`). Keys and families are dealt out in tiles, so no task or driver holds a group of unbounded size."""
 
 from __future__ import annotations
 
@@ -32,8 +33,10 @@ def agreeing(percent: int) -> int:
 
 
 AGREE = agreeing(PERCENT)
-#: Sets of a block, members of a key that a block sends on, sets and bytes of a tile (expected), and ids that may be broadcast.
-BLOCK, SENT, TILE, TILE_BYTES, BROADCAST_IDS = 2048, 64, 768, 16 << 20, 500_000
+#: Sets of a block, sets and bytes of a tile (expected), and ids or keys that may be broadcast.
+BLOCK, TILE, TILE_BYTES, BROADCAST_IDS = 2048, 768, 16 << 20, 500_000
+#: Members of a key that a block sends on at first, sets of a key that are all compared at once, and sets of a tile of a larger one.
+SENT, MET, SKETCHES = 64, 1024, 2048
 _SEEDS = K.constants(41, 2 * MINHASHES)
 _TABLES = K.constants(43, HALVES * HALVES + 1)
 
@@ -181,8 +184,23 @@ def _labels(link: np.ndarray) -> np.ndarray:
         label = new
 
 
+def _joined(n: int, p: np.ndarray) -> np.ndarray:
+    """Components of n nodes under pairs of indices: the smallest index reached."""
+    label = np.arange(n)
+    while True:
+        low = np.minimum(label[p[:, 0]], label[p[:, 1]])
+        new = label.copy()
+        np.minimum.at(new, p[:, 0], low)
+        np.minimum.at(new, p[:, 1], low)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
+
+
 def _large(sig: np.ndarray, agree: int = AGREE) -> np.ndarray:
-    """Components of a large group: everyone against spread-out hubs and neighbours in several sketch orders."""
+    """Most of the components of a large group: everyone against spread-out hubs and neighbours in several sketch orders.
+    `unsettled` compares the rest."""
     n, pairs = len(sig), []
     for hub in range(0, n, max(1, n // 64)):
         at = np.flatnonzero(_close(sig, sig[hub], agree))
@@ -193,16 +211,7 @@ def _large(sig: np.ndarray, agree: int = AGREE) -> np.ndarray:
             a, b = order[:-d], order[d:]
             ok = _close(sig[a], sig[b], agree)
             pairs.append(np.stack([a[ok], b[ok]], 1))
-    p, label = np.concatenate(pairs), np.arange(n)
-    while True:
-        low = np.minimum(label[p[:, 0]], label[p[:, 1]])
-        new = label.copy()
-        np.minimum.at(new, p[:, 0], low)
-        np.minimum.at(new, p[:, 1], low)
-        new = new[new]
-        if (new == label).all():
-            return label
-        label = new
+    return _joined(n, np.concatenate(pairs))
 
 
 def _plausible(key: np.ndarray, rep: np.ndarray, sig: np.ndarray, row: np.ndarray, agree: int) -> np.ndarray:
@@ -225,7 +234,7 @@ def _plausible(key: np.ndarray, rep: np.ndarray, sig: np.ndarray, row: np.ndarra
         if (mark := g.tobytes()) in seen:
             continue
         seen.add(mark)
-        if len(g) <= 1024:
+        if len(g) <= MET:
             link = np.concatenate([_close(sig[g[i : i + 64], None], sig[None, g], agree) for i in range(0, len(g), 64)])
             label = _labels(link)
         else:
@@ -235,7 +244,9 @@ def _plausible(key: np.ndarray, rep: np.ndarray, sig: np.ndarray, row: np.ndarra
 
 
 def families(sets: DataFrame, buckets: int, agree: int = AGREE) -> DataFrame:
-    """Edges (a, b) between sets that share a key, such that possible links lie within the components of the edges."""
+    """Edges (a, b, null) between sets that share a key, and (null, null, key) for keys whose members did not all meet.
+
+    All pairs of the other keys that could be links lie within the components of the edges."""
 
     def send(batches):
         for t in _blocks(batches):
@@ -243,20 +254,93 @@ def families(sets: DataFrame, buckets: int, agree: int = AGREE) -> DataFrame:
             key, row, sig = _keys(full).ravel(), np.repeat(np.arange(len(rep)), HALVES * HALVES), (full & 0xFF).astype(np.uint8)
             edge = _plausible(key, rep, sig, row, agree)
             order, starts = _grouped(key)
-            place = np.arange(len(order)) - np.repeat(starts, np.diff(np.append(starts, len(order))))
-            go = order[place < SENT]
-            yield _deal(key[go], buckets, key[go], rep[row[go]], sig[row[go]]).append_column("edges", pa.nulls(len(np.unique((key[go] >> np.uint64(40)) % np.uint64(buckets))), pa.binary()))
-            if len(edge):
-                yield pa.RecordBatch.from_arrays([pa.array([int(edge[0, 0] % buckets)], pa.int32()), *(pa.array([b""], pa.binary()) for _ in range(3)), pa.array([edge.astype(np.int64).tobytes()], pa.binary())], names=["bucket", "c0", "c1", "c2", "edges"])
+            size = np.diff(np.append(starts, len(order)))
+            go = order[np.arange(len(order)) - np.repeat(starts, size) < SENT]
+            sent = _deal(key[go], buckets, key[go], rep[row[go]], sig[row[go]])
+            none = pa.nulls(sent.num_rows, pa.binary())
+            yield sent.append_column("edges", none).append_column("hot", none)
+            edges, hot = edge.astype(np.int64).tobytes(), key[order[starts[size > SENT]]].tobytes()
+            if edges or hot:
+                bucket = pa.array([int(rep[0] % buckets)], pa.int32())
+                blobs = [pa.array([x], pa.binary()) for x in (b"", b"", b"", edges, hot)]
+                yield pa.RecordBatch.from_arrays([bucket, *blobs], names=["bucket", "c0", "c1", "c2", "edges", "hot"])
 
     def meet(t: pa.Table) -> pa.Table:
         key, rep, sig = (np.frombuffer(b"".join(t.column(c).to_pylist()), k) for c, k in (("c0", np.uint64), ("c1", np.int64), ("c2", np.uint8)))
-        edge = np.frombuffer(b"".join(x for x in t.column("edges").to_pylist() if x), np.int64).reshape(-1, 2)
+        edge, hot = (np.frombuffer(b"".join(x for x in t.column(c).to_pylist() if x), np.int64) for c in ("edges", "hot"))
         who, at = np.unique(rep, return_index=True)
-        edge = np.unique(np.concatenate([edge, _plausible(key, who, sig.reshape(-1, MINHASHES)[at], np.searchsorted(who, rep), agree)]), axis=0)
+        found = _plausible(key, who, sig.reshape(-1, MINHASHES)[at], np.searchsorted(who, rep), agree)
+        edge = np.unique(np.concatenate([edge.reshape(-1, 2), found]), axis=0)
+        keys, size = np.unique(key, return_counts=True)
+        hot = np.union1d(hot, keys[size > MET].view(np.int64))
+        gap = [pa.nulls(len(hot), pa.int64())]
+        ends = [pa.chunked_array([pa.array(edge[:, i]), *gap]) for i in (0, 1)]
+        return pa.table({"a": ends[0], "b": ends[1], "hot": pa.chunked_array([pa.nulls(len(edge), pa.int64()), pa.array(hot, pa.int64())])})
+
+    dealt = sets.select("rep", "sig").mapInArrow(send, "bucket int, c0 binary, c1 binary, c2 binary, edges binary, hot binary")
+    return dealt.groupBy("bucket").applyInArrow(meet, "a long, b long, hot long").distinct()
+
+
+def unsettled(sets: DataFrame, hot: DataFrame, family: DataFrame, buckets: int, agree: int = AGREE) -> DataFrame:
+    """Edges (a, b) that join the families (rep, family) of all sets that share a key of `hot` and could be links.
+
+    Of each key, the sets outside its largest family meet all sets of the key, in tiles on both sides; pairs within a family
+    need no comparison. A key whose sets are all in one family moves nothing."""
+
+    def keys(b: pa.RecordBatch) -> pa.RecordBatch:
+        full = _sigs(b.column(1))
+        rep = np.repeat(b.column(0).to_numpy(), HALVES * HALVES)
+        return pa.RecordBatch.from_arrays([pa.array(_keys(full).ravel().view(np.int64)), pa.array(rep)], names=["key", "rep"])
+
+    def low(b: pa.RecordBatch) -> pa.RecordBatch:
+        sig = (_sigs(b.column(1)) & 0xFF).astype(np.uint8)
+        return pa.RecordBatch.from_arrays([b.column(0), pa.array([r.tobytes() for r in sig], pa.binary())], names=["rep", "sig"])
+
+    def meet(t: pa.Table) -> pa.Table:
+        key, rep, kin = (t.column(c).to_numpy() for c in ("key", "rep", "family"))
+        sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint8).reshape(-1, MINHASHES)
+        left, out = t.column("left").to_numpy(), []
+        order, starts = _grouped(key)
+        for s, e in zip(starts, np.append(starts[1:], len(order))):
+            rows = order[s:e]
+            who, at = np.unique(rep[rows], return_inverse=True)
+            x, y = np.flatnonzero(left[rows]), np.flatnonzero(~left[rows])
+            p, label = [], np.arange(len(who))
+            for i in range(0, len(x), 64):
+                some = x[i : i + 64]
+                new = kin[rows[some], None] != kin[None, rows[y]]
+                a, b = np.nonzero(new & _close(sig[rows[some], None], sig[None, rows[y]], agree))
+                p.append(np.stack([at[some[a]], at[y[b]]], 1))
+                if sum(map(len, p)) > 1 << 20:  # a forest says the same
+                    label = _joined(len(who), np.concatenate(p))
+                    p = [np.stack([label, np.arange(len(who))], 1)]
+            label = _joined(len(who), np.concatenate(p)) if p else label
+            out.append(np.stack([who[label], who], 1)[label != np.arange(len(who))])
+        edge = np.unique(np.concatenate([np.zeros((0, 2), np.int64), *out]), axis=0)
         return pa.table({"a": edge[:, 0], "b": edge[:, 1]})
 
-    return sets.select("rep", "sig").mapInArrow(send, "bucket int, c0 binary, c1 binary, c2 binary, edges binary").groupBy("bucket").applyInArrow(meet, "a long, b long").distinct()
+    each = map_batches(sets.select("rep", "sig"), keys, "key long, rep long")
+    hot = hot.distinct()
+    each = each.join(F.broadcast(hot) if small(hot, BROADCAST_IDS) else hot, "key", "left_semi").join(family, "rep", "left")
+    each = materialize(each.withColumn("family", F.coalesce("family", "rep")), "hot")
+    of_key = each.groupBy("key", "family").count().groupBy("key").agg(
+        F.sum("count").alias("n"), F.max("count").alias("most"), F.max_by("family", F.struct("count", "family")).alias("main")
+    )
+    of_key = of_key.where("most < n").select("key", "main", F.ceil((F.col("n") - F.col("most")) / SKETCHES).alias("outside"), F.ceil(F.col("n") / SKETCHES).alias("all"))
+    of_key = materialize(of_key, "open")
+    sides = each.join(F.broadcast(of_key) if small(of_key, BROADCAST_IDS) else of_key, "key")
+    tile = lambda tiles: F.pmod(F.xxhash64("rep", F.lit(13)), F.col(tiles))
+    to_all = lambda tiles: F.explode(F.sequence(F.lit(0), F.col(tiles) - 1))
+    outside = sides.where("family <> main").withColumn("left", F.lit(True)).withColumn("i", tile("outside")).withColumn("j", to_all("all"))
+    anyone = sides.withColumn("left", F.lit(False)).withColumn("j", tile("all")).withColumn("i", to_all("outside"))
+    columns = ["key", "rep", "family", "left", "i", "j", "all"]
+    dealt = outside.select(columns).unionAll(anyone.select(columns))
+    deal = F.when(F.col("all") == 1, F.pmod(F.xxhash64("key"), F.lit(buckets))).otherwise(F.col("key"))
+    sketches = map_batches(sets.select("rep", "sig"), low, "rep long, sig binary")
+    met = dealt.withColumn("deal", deal).join(sketches, "rep").groupBy("deal", "i", "j").applyInArrow(meet, "a long, b long")
+    found = materialize(met.distinct(), "more")
+    discard(each, of_key)
+    return found
 
 
 def _exact_links(ids: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -331,7 +415,14 @@ def near_duplicates(docs: DataFrame, text: str = "text", percent: int = PERCENT)
     sets = materialize(sets, "sets")
     busy = active(sets, buckets)
     near = materialize(families(sets.join(busy, "rep", "left_semi"), buckets, agreeing(percent)), "near")
-    family = components(near).select(F.col("node").alias("rep"), F.col("component").alias("family"))
+    family = components(near.where("hot is null")).select(F.col("node").alias("rep"), F.col("component").alias("family"))
+    hot = near.where("hot is not null").select(F.col("hot").alias("key"))
+    if hot.take(1):
+        more = unsettled(sets, hot, family, buckets, agreeing(percent))
+        if more.take(1):
+            family = components(family.select(F.col("rep").alias("a"), F.col("family").alias("b")).unionAll(more))
+            family = family.select(F.col("node").alias("rep"), F.col("component").alias("family"))
+        discard(more)
     members = materialize(sets.select("rep", "h1", "n_shingles").join(family, "rep"), "members")
     of_row = sketched.select("doc_id", "n_shingles", "h1", "h2").join(sets.select("h1", "h2", "n_shingles", "rep"), ["h1", "h2", "n_shingles"], "left")
     of_row = materialize(of_row.select("doc_id", "n_shingles", "rep"), "rows")

@@ -262,6 +262,36 @@ def test_close_pairs_in_a_large_group_of_template_documents(spark, monkeypatch):
     assert {(c, i) for i, c in got.items() if i != c} == near
 
 
+def test_families_hold_all_close_pairs_of_keys_of_many_sets(spark, monkeypatch):
+    """Template documents of which few are close: families equal the components of all close pairs that share a key."""
+    for name, value in {"BLOCK": 64, "SENT": 0, "MET": 8, "SKETCHES": 16}.items():
+        monkeypatch.setattr(minhash, name, value)
+    rng = random.Random(23)
+    frame = [f"w{rng.randint(0, 10**6)}" for _ in range(100)]
+    texts = [[*frame, *(f"x{rng.random()}" for _ in range(rng.randint(60, 130)))] for _ in range(700)]
+    texts += [[*t[:-3], "y", str(i)] for i, t in enumerate(texts[:90])]
+    rng.shuffle(texts)
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    sets = minhash.sketch(df).select(F.col("doc_id").alias("rep"), "sig").cache()
+    rows = sorted(sets.collect())
+    sig = np.stack([np.frombuffer(r["sig"], np.uint32) for r in rows])
+    keys = [set(k) for k in minhash._keys(sig).tolist()]
+    low = sig.astype(np.uint8)
+    pairs = [(a, b) for a in range(len(rows)) for b in np.flatnonzero((low[a] == low).sum(axis=1) >= minhash.AGREE).tolist() if a < b and keys[a] & keys[b]]
+    want = minhash._joined(len(rows), np.array(pairs))
+    near = minhash.families(sets, 4)
+    family = graph.components(near.where("hot is null")).select(F.col("node").alias("rep"), F.col("component").alias("family"))
+    hot = near.where("hot is not null").select(F.col("hot").alias("key"))
+    assert hot.count() > 20
+    more = minhash.unsettled(sets, hot, family, 4)
+    edges = family.select(F.col("rep").alias("a"), F.col("family").alias("b")).unionAll(more)
+    got = {r["node"]: r["component"] for r in graph.components(edges).collect()}
+    first = {r["rep"]: r["family"] for r in family.collect()}
+    sets.unpersist()
+    assert [got.get(i, i) for i in range(len(rows))] == want.tolist()
+    assert [first.get(i, i) for i in range(len(rows))] != want.tolist()  # without members that travel at first, links across blocks are left to `unsettled`
+
+
 def test_exact_links_count_beyond_32_bits():
     big = np.arange(20_000_000, dtype=np.uint64)
     ids, sets = np.array([1, 2]), [big[:-1_500_000], big[1_500_000:]]
