@@ -175,7 +175,8 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def reliabilities(patterns: dict[tuple[str, str], int], rounds: int = 30) -> tuple[dict[tuple[str, str], float], np.ndarray]:
     """EM for a two-class model of independent labelers that may abstain: the posterior of each (kind, votes and features),
-    which rests on the votes alone, and each labeler's chance of voting for a true and for a false span."""
+    which rests on the votes alone, and for a false and a true span each labeler's chance of voting against and for it, if it
+    votes. An abstention says nothing (its entry is 1): key words are rare for some kinds, and common for others."""
     keys = sorted(patterns)
     n = np.array([patterns[k] for k in keys], float)
     v = np.array([["-0+".index(c) for c in k[1][: len(LABELERS)]] for k in keys], int).reshape(len(keys), len(LABELERS))
@@ -186,8 +187,9 @@ def reliabilities(patterns: dict[tuple[str, str], int], rounds: int = 30) -> tup
         prior = np.array([(1 + (n * post)[kind == k].sum()) / (2 + n[kind == k].sum()) for k in range(len(ADDED))])
         for c, w in ((1, n * post), (0, n * (1 - post))):
             for j in range(len(LABELERS)):
-                hits = np.bincount(v[:, j], weights=w, minlength=3) + (np.array([0.2, 1, 1.8]) if c else np.array([1.8, 1, 0.2]))
-                table[c, j] = hits / hits.sum()
+                hits = np.bincount(v[:, j], weights=w, minlength=3) + (np.array([0.2, 0, 1.8]) if c else np.array([1.8, 0, 0.2]))
+                table[c, j] = hits / (hits[0] + hits[2])
+                table[c, j, 1] = 1
         like = [np.log(table[c, np.arange(len(LABELERS)), v]).sum(axis=1) for c in (0, 1)]
         odds = np.log(prior[kind] / (1 - prior[kind])) + like[1] - like[0]
         post = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))

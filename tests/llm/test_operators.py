@@ -244,6 +244,13 @@ def test_reliabilities_tell_good_labelers_from_bad():
     assert post["secret", "+++++"] > 0.9 and post["secret", "-000-"] < 0.1 and table[1, 0, 2] > table[0, 0, 2]
 
 
+def test_kinds_without_key_words_are_not_held_against_them():
+    patterns = {("secret", "++++0lfpp"): 71, ("secret", "++++0lapp"): 85, ("national_phone", "+00+0mass"): 2, ("ssn", "-00-0sass"): 3}
+    post, _ = pii.reliabilities(patterns)
+    chance = pii.classifier(patterns, post)
+    assert [k for k in patterns if post[k] > 0.5] == [k for k in patterns if chance[k] > 0.5] == list(patterns)[:3]
+
+
 def _sets(texts):
     out = {}
     for i, t in texts.items():
