@@ -6,7 +6,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, licenses, minhash, nearest, packing, passages, pii, quality, sentencepieces, substrings
+from . import language, licenses, minhash, nearest, packing, passages, pii, quality, quantize, sentencepieces, substrings, whitening, wrappers
 from .spark_io import table
 
 
@@ -51,9 +51,25 @@ def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.passages(table(spark, sf_dir, "documents"))
 
 
+def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract(table(spark, sf_dir, "pages"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quantize.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_language, op2_host_quality, op3_sentencepiece, op4_personal_data, op5_near_duplicates, op6_nearest, op7_substrings, op8_licenses, op9_packing, op10_passages, pipeline)}
-ORACLE_SQL: dict[str, str] = {"op6_nearest": nearest.ORACLE_SQL, "op8_licenses": licenses.oracle_sql()}
+_ALL = (
+    op1_language, op2_host_quality, op3_sentencepiece, op4_personal_data, op5_near_duplicates, op6_nearest, op7_substrings, op8_licenses, op9_packing, op10_passages,
+    op11_main_text, op12_vector_codes, op13_whitening, pipeline,
+)
+QUERIES = {f.__name__: f for f in _ALL}
+ORACLE_SQL: dict[str, str] = {"op6_nearest": nearest.ORACLE_SQL, "op8_licenses": licenses.oracle_sql(), "op12_vector_codes": quantize.oracle_sql()}
