@@ -127,8 +127,9 @@ def _known(raw: DataFrame) -> DataFrame:
     return rows.withColumns({"has_topics": topics, "has_data": data})
 
 
-def decode_all(raw: DataFrame) -> DataFrame:
-    """All events in one pass: event, contract, common fields, and the event's columns as JSON; other logs are ignored."""
+def decode_all(raw: DataFrame, ids_in_hex: bool = False) -> DataFrame:
+    """All events in one pass: event, contract, common fields, and the event's columns as JSON; other logs are ignored. Token
+    ids are decimal, or (ids_in_hex) the 64 digits that storage makes bytes of."""
 
     def value(f: Column) -> Column:
         word = F.when(f["topic"], F.lower(U.strip0x(F.get("topics", f["at"])))).otherwise(_word(f["at"]))
@@ -139,7 +140,7 @@ def decode_all(raw: DataFrame) -> DataFrame:
             k = f["kind"]
             return (
                 F.when(k == "b32", F.concat(F.lit("0x"), w)).when(k == "addr", F.concat(F.lit("0x"), F.right(w, F.lit(40)))).when(k == "i256", U.i256_dec(w))
-                .when(k == "bytes", F.concat(F.lit("0x"), F.substr(F.col("body"), start, (n * 2).cast("int")))).when((k == "u256[]") & (n == 0), "[]").when(k == "u256[]", F.to_json(items)).otherwise(U.u256_dec(w))
+                .when(k == "bytes", F.concat(F.lit("0x"), F.substr(F.col("body"), start, (n * 2).cast("int")))).when((k == "u256[]") & (n == 0), "[]").when(k == "u256[]", F.to_json(items)).when((k == "token") & ids_in_hex, w).otherwise(U.u256_dec(w))
             )
 
         return U.let(word, typed)

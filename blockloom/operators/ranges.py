@@ -18,9 +18,10 @@ SECONDS_PER_BLOCK = 2
 _BEFORE = (Window.unboundedPreceding, -1)
 
 
-def _max_before(df: DataFrame, value: Column, name: str, inclusive: bool = False) -> DataFrame:
-    """Add the greatest value of all rows before each (in the order of from_block, to_block), or up to and with it."""
-    df = df.withColumn("__v", value).withColumn("__b", F.floor(F.col("from_block") / BUCKET))
+def _max_before(df: DataFrame, value: Column, name: str, inclusive: bool = False, width: int = BUCKET) -> DataFrame:
+    """Add the greatest value of all rows before each (in the order of from_block, to_block), or up to and with it. Rows are
+    dealt out by buckets of `width` of from_block."""
+    df = df.withColumn("__v", value).withColumn("__b", F.floor(F.col("from_block") / width))
     inside = Window.partitionBy("__b").orderBy("from_block", "to_block").rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
     buckets = df.groupBy("__b").agg(F.max("__v").alias("__m"))
     carried = buckets.select("__b", F.max("__m").over(Window.orderBy("__b").rowsBetween(*_BEFORE)).alias("__c"))  # a row per bucket
@@ -42,9 +43,9 @@ def add_range(ranges: DataFrame, from_block: int, to_block: int) -> DataFrame:
     return merge_ranges(ranges.select("from_block", "to_block").unionAll(one))
 
 
-def find_gaps(ranges: DataFrame, start: int, end: int) -> DataFrame:
-    """What is missing within [start, end]."""
-    m = merge_ranges(ranges).where((F.col("to_block") >= start) & (F.col("from_block") <= end))
+def find_gaps(ranges: DataFrame, start: int, end: int, merged: bool = False) -> DataFrame:
+    """What is missing within [start, end]; `merged` ranges are not merged again."""
+    m = (ranges if merged else merge_ranges(ranges)).where((F.col("to_block") >= start) & (F.col("from_block") <= end))
     m = m.select(F.greatest("from_block", F.lit(start)).alias("from_block"), F.least("to_block", F.lit(end)).alias("to_block"))
     inner = _max_before(m, F.col("to_block"), "__to").select((F.coalesce("__to", F.lit(start - 1)) + 1).alias("from_block"), (F.col("from_block") - 1).alias("to_block"))
     tail = m.agg((F.coalesce(F.max("to_block"), F.lit(start - 1)) + 1).alias("from_block"), F.lit(end).cast("long").alias("to_block"))
@@ -76,10 +77,10 @@ def migrate_progress(progress: DataFrame, ranges: DataFrame) -> DataFrame:
     return progress.agg(F.min("last_complete_block").cast("long").alias("to_block")).where("to_block > 0").select(F.lit(0).cast("long").alias("from_block"), "to_block")
 
 
-def coverage(ranges: DataFrame, head: int) -> DataFrame:
+def coverage(ranges: DataFrame, head: int, merged: bool = False) -> DataFrame:
     """One row: covered blocks, gap blocks and gaps up to head, blocks and seconds behind it."""
-    m = merge_ranges(ranges).agg(F.coalesce(F.sum(F.col("to_block") - F.col("from_block") + 1), F.lit(0)).alias("covered_blocks"), F.coalesce(F.max("to_block"), F.lit(-1)).alias("last")).withColumn("k", F.lit(1))
-    g = find_gaps(ranges, 0, head).agg(F.coalesce(F.sum(F.col("to_block") - F.col("from_block") + 1), F.lit(0)).alias("gap_blocks"), F.count("*").alias("gaps")).withColumn("k", F.lit(1))
+    m = (ranges if merged else merge_ranges(ranges)).agg(F.coalesce(F.sum(F.col("to_block") - F.col("from_block") + 1), F.lit(0)).alias("covered_blocks"), F.coalesce(F.max("to_block"), F.lit(-1)).alias("last")).withColumn("k", F.lit(1))
+    g = find_gaps(ranges, 0, head, merged).agg(F.coalesce(F.sum(F.col("to_block") - F.col("from_block") + 1), F.lit(0)).alias("gap_blocks"), F.count("*").alias("gaps")).withColumn("k", F.lit(1))
     behind = F.greatest(F.lit(head) - F.col("last"), F.lit(0)).cast("long")
     return m.join(g, "k").select("covered_blocks", "gap_blocks", "gaps", behind.alias("blocks_behind"), (behind * SECONDS_PER_BLOCK).alias("seconds_behind"))
 

@@ -18,6 +18,7 @@ from .sources import export as X
 from .sources import scan as S
 from .sources.shared import materialize, shared_path
 from .streaming import feed as H
+from .streaming import live as L
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -441,14 +442,18 @@ _N = "(arrival_ms % 11)"
 _add("h5_parse_feed", lambda t: H.parse_feed(_messages(t)), f"SELECT arrival_ms, tx_hash, CASE WHEN {_N} = 2 THEN 'confirmed' ELSE status END AS status FROM settlements WHERE {_N} NOT IN (3, 4, 5) UNION ALL SELECT arrival_ms, tx_hash, status FROM settlements WHERE {_N} = 1")
 _add("h5_feed_errors", lambda t: H.feed_errors(_messages(t)).select("arrival_ms", "reason"), f"SELECT arrival_ms, CASE WHEN {_N} = 4 THEN 'malformed' ELSE 'error' END AS reason FROM settlements WHERE {_N} IN (4, 5)")
 _add("h6_settlement_state", lambda t: H.settlement_state(t["settlements"]), _STATE.format("settlements"))
-_add("h7_confirmed_by_block", lambda t: H.confirmed_by_block(t["confirmed"]), "SELECT block_number, count(DISTINCT tx_hash) AS trades, count(*) AS logs FROM confirmed GROUP BY 1")
+_H7 = "SELECT block_number, count(DISTINCT tx_hash) AS trades, count(*) AS logs FROM confirmed GROUP BY 1"
+_add("h7_confirmed_by_block", lambda t: H.confirmed_by_block(t["confirmed"]), _H7)
 _SEEN = "seen AS (SELECT tx_hash, min(arrival_ms) AS seen_ms FROM settlements GROUP BY 1)"
-_add("h8_block_inclusion", lambda t: H.block_inclusion(t["confirmed"], t["settlements"]), f"""WITH f AS (SELECT block_number, min(arrival_ms) AS first_ms FROM confirmed GROUP BY 1), g AS (SELECT block_number, min(first_ms) OVER (ORDER BY block_number ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS final_ms FROM f),
-    {_SEEN}, d AS (SELECT DISTINCT block_number, tx_hash FROM confirmed) SELECT block_number, count(*) AS trades, CAST(sum(CASE WHEN seen_ms IS NULL OR seen_ms >= final_ms THEN 1 ELSE 0 END) AS BIGINT) AS not_seen FROM d JOIN g USING (block_number) LEFT JOIN seen USING (tx_hash) WHERE final_ms IS NOT NULL GROUP BY 1""")
-_add("h9_in_flight", lambda t: H.in_flight(t["settlements"], t["confirmed"], t["confirmed"].agg(F.max("arrival_ms")).first()[0] or 0), "SELECT tx_hash, min(arrival_ms) AS pending_ms, (SELECT max(arrival_ms) FROM confirmed) - min(arrival_ms) > 10000 AS overdue FROM settlements WHERE status = 'pending' AND tx_hash NOT IN (SELECT tx_hash FROM confirmed) GROUP BY 1")
+_H8 = f"""WITH f AS (SELECT block_number, min(arrival_ms) AS first_ms FROM confirmed GROUP BY 1), g AS (SELECT block_number, min(first_ms) OVER (ORDER BY block_number ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS final_ms FROM f),
+    {_SEEN}, d AS (SELECT DISTINCT block_number, tx_hash FROM confirmed) SELECT block_number, count(*) AS trades, CAST(sum(CASE WHEN seen_ms IS NULL OR seen_ms >= final_ms THEN 1 ELSE 0 END) AS BIGINT) AS not_seen FROM d JOIN g USING (block_number) LEFT JOIN seen USING (tx_hash) WHERE final_ms IS NOT NULL GROUP BY 1"""
+_add("h8_block_inclusion", lambda t: H.block_inclusion(t["confirmed"], t["settlements"]), _H8)
+_H9 = "SELECT tx_hash, min(arrival_ms) AS pending_ms, (SELECT max(arrival_ms) FROM confirmed) - min(arrival_ms) > 10000 AS overdue FROM settlements WHERE status = 'pending' AND tx_hash NOT IN (SELECT tx_hash FROM confirmed) GROUP BY 1"
+_add("h9_in_flight", lambda t: H.in_flight(t["settlements"], t["confirmed"], t["confirmed"].agg(F.max("arrival_ms")).first()[0] or 0), _H9)
 _REGRESS = "SELECT arrival_seq, block_number, tx_hash, highest FROM (SELECT *, max(block_number) OVER (ORDER BY arrival_seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS highest FROM confirmed) WHERE block_number < highest"
 _add("h10_block_regressions", lambda t: H.block_regressions(t["confirmed"]), _REGRESS)
-_add("h11_current_block", lambda t: H.current_block_stats(t["confirmed"], t["settlements"]), "SELECT block_number, count(*) AS trades, CAST(sum(CASE WHEN tx_hash IN (SELECT tx_hash FROM settlements) THEN 0 ELSE 1 END) AS BIGINT) AS not_seen FROM (SELECT DISTINCT block_number, tx_hash FROM confirmed WHERE block_number = (SELECT max(block_number) FROM confirmed)) GROUP BY 1")
+_H11 = "SELECT block_number, count(*) AS trades, CAST(sum(CASE WHEN tx_hash IN (SELECT tx_hash FROM settlements) THEN 0 ELSE 1 END) AS BIGINT) AS not_seen FROM (SELECT DISTINCT block_number, tx_hash FROM confirmed WHERE block_number = (SELECT max(block_number) FROM confirmed)) GROUP BY 1"
+_add("h11_current_block", lambda t: H.current_block_stats(t["confirmed"], t["settlements"]), _H11)
 
 
 def _drained(stream: DataFrame, t: Tables, mode: str = "append") -> DataFrame:
@@ -530,25 +535,246 @@ def _lag_sql(k: int) -> str:
 _add("h4_stream_lag", _stream_lag, " UNION ALL ".join(map(_lag_sql, range(4))))
 
 
-def _stream_inclusion(t: Tables) -> DataFrame:
-    """Confirmed trades announced within 30 s before, and those that were not; a last message moves the watermark on."""
-    stamp = lambda df: df.withColumn("ts", F.timestamp_millis(F.col("arrival_ms").cast("long") + 10_000_000)).drop("arrival_ms")
-    end = t.spark.createDataFrame([(10**12, -1, "end")], "arrival_ms long, block_number long, tx_hash string")
-    confirmed = t["confirmed"].select(F.col("arrival_ms").cast("long").alias("arrival_ms"), F.col("block_number").cast("long").alias("block_number"), "tx_hash").unionAll(end)
-    settled = t["settlements"].select(F.col("arrival_ms").cast("long").alias("arrival_ms"), "tx_hash").unionAll(end.select("arrival_ms", "tx_hash"))
-    joined = _drained(H.stream_inclusion(_streamed(t, stamp(confirmed)), _streamed(t, stamp(settled))), t).where("block_number >= 0")
+def _stamped(df: DataFrame, *columns: str) -> DataFrame:
+    """A feed with the arrival as event time (all positive, as watermarks begin at zero)."""
+    at = F.col("arrival_ms").cast("long")
+    return df.select(at.alias("arrival_ms"), *columns, F.timestamp_millis(at + 10_000_000).alias("ts"))
+
+
+_END = 10**12  # the arrival of a last message that moves the clocks on, so that all that is open is closed
+
+
+def _stream_announced(t: Tables) -> DataFrame:
+    """Confirmed trades announced within 30 s before, and those that were not."""
+    end = t.spark.createDataFrame([(_END, -1, "end")], "arrival_ms long, block_number long, tx_hash string")
+    confirmed = t["confirmed"].select("arrival_ms", F.col("block_number").cast("long").alias("block_number"), "tx_hash").unionAll(end)
+    settled = t["settlements"].select("arrival_ms", "tx_hash").unionAll(end.select("arrival_ms", "tx_hash"))
+    confirmed, settled = (_stamped(df, *cols).drop("arrival_ms") for df, cols in ((confirmed, ("block_number", "tx_hash")), (settled, ("tx_hash",))))
+    joined = _drained(H.stream_announced(_streamed(t, confirmed), _streamed(t, settled)), t).where("block_number >= 0")
     return joined.groupBy("block_number").agg(F.countDistinct("tx_hash").alias("trades"), F.countDistinct(F.when(F.col("settled_at").isNotNull(), F.col("tx_hash"))).alias("announced"))
 
 
-_add("h8_stream_inclusion", _stream_inclusion, """SELECT block_number, count(DISTINCT tx_hash) AS trades, count(DISTINCT CASE WHEN a THEN tx_hash END) AS announced FROM
+_add("h8_stream_announced", _stream_announced, """SELECT block_number, count(DISTINCT tx_hash) AS trades, count(DISTINCT CASE WHEN a THEN tx_hash END) AS announced FROM
     (SELECT c.block_number, c.tx_hash, EXISTS (SELECT 1 FROM settlements s WHERE s.tx_hash = c.tx_hash AND s.arrival_ms <= c.arrival_ms AND s.arrival_ms >= c.arrival_ms - 30000) AS a FROM confirmed c) GROUP BY 1""")
 
 
+def _feed(t: Tables) -> DataFrame:
+    """Both kinds of message in one feed."""
+    logs = t["confirmed"].select(F.lit("confirmed").alias("kind"), "arrival_ms", "block_number", "tx_hash")
+    said = t["settlements"].select(F.lit("settlement").alias("kind"), "arrival_ms", F.lit(None).alias("block_number"), "tx_hash")
+    each = logs.unionAll(said)
+    return each.select("kind", F.col("arrival_ms").cast("long").alias("arrival_ms"), F.col("block_number").cast("long").alias("block_number"), "tx_hash")
+
+
+def _thirds(t: Tables, df: DataFrame, by: str) -> list[DataFrame]:
+    """A feed in three turns of its order."""
+    lo, hi = df.agg(F.min(by), F.max(by)).first()  # two numbers
+    if lo is None:
+        return [df]
+    cuts = [lo - 1, lo + (hi - lo) // 3, lo + 2 * (hi - lo) // 3, hi]
+    return [df.where((F.col(by) > a) & (F.col(by) <= b)) for a, b in zip(cuts, cuts[1:])]
+
+
+def _included(t: Tables, end: bool) -> str:
+    """Run the inclusion stream over the feed in three turns (and a last message of each kind); where its tables are."""
+    out, state, offsets = (shared_path(t.spark, n) for n in ("inclusion", "state", "offsets"))
+    parts = _thirds(t, _feed(t), "arrival_ms")
+    last = t.spark.createDataFrame([(k, _END, b, "end") for k, b in (("confirmed", -1), ("settlement", None))], L.FEED)
+    _in_turns(t, [*parts, last] if end else parts, lambda s: L.stream_inclusion(s, out, state, offsets))
+    return out
+
+
+_add("h8_stream_inclusion", lambda t: t.spark.read.parquet(f"{_included(t, True)}/closed").where("block_number >= 0").select("block_number", "trades", "not_seen"), _H8)
+
+
+def _stream_current(t: Tables) -> DataFrame:
+    """The block in progress after the last of three turns."""
+    now = t.spark.read.parquet(f"{_included(t, False)}/current")
+    return now.where(F.col("batch") == (now.agg(F.max("batch")).first()[0] or 0)).select("block_number", "trades", "not_seen")
+
+
+_add("h11_stream_current", _stream_current, _H11)
+
+
 def _stream_regressions(t: Tables) -> DataFrame:
-    """Four feeds, each an order of its own."""
-    columns = F.col("arrival_seq").cast("long").alias("arrival_seq"), F.col("block_number").cast("long").alias("block_number"), "tx_hash"
-    rows = t["confirmed"].select(F.concat(F.lit("feed"), F.col("arrival_seq") % 4).alias("feed"), *columns)
-    return _drained(H.stream_regressions(_streamed(t, rows)), t)
+    """One feed in three turns."""
+    out, state, offsets = (shared_path(t.spark, n) for n in ("regressions", "state", "offsets"))
+    rows = t["confirmed"].select(F.col("arrival_seq").cast("long").alias("arrival_seq"), F.col("block_number").cast("long").alias("block_number"), "tx_hash")
+    _in_turns(t, _thirds(t, rows, "arrival_seq"), lambda s: L.stream_regressions(s, out, state, offsets))
+    return t.spark.read.parquet(out).select("arrival_seq", "block_number", "tx_hash", "highest")
+
+
+_add("h10_stream_regressions", _stream_regressions, _REGRESS)
+
+
+def _in_order(t: Tables, df: DataFrame, end: DataFrame) -> DataFrame:
+    """A stream of a stamped feed, its rows in three files and a last message, taken file by file."""
+    path = shared_path(t.spark, "feed")
+    for part in [*_thirds(t, df, "arrival_ms"), end]:
+        part.coalesce(1).write.mode("append").parquet(path)
+    return t.spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def _stream_counts(t: Tables) -> DataFrame:
+    rows = _stamped(t["confirmed"].withColumn("block_number", F.col("block_number").cast("long")), "block_number", "tx_hash")
+    end = _stamped(t.spark.createDataFrame([(_END, -1, "end")], "arrival_ms long, block_number long, tx_hash string"), "block_number", "tx_hash")
+    return _drained(L.stream_block_counts(_in_order(t, rows, end)), t)
+
+
+_add("h7_stream_counts", _stream_counts, _H7)
+
+
+def _ended(t: Tables) -> DataFrame:
+    return _stamped(t.spark.createDataFrame([(_END, "end", "confirmed")], "arrival_ms long, tx_hash string, status string"), "tx_hash", "status")
+
+
+_add("h6_stream_settlements", lambda t: _drained(L.stream_settlement_state(_in_order(t, _stamped(t["settlements"], "tx_hash", "status"), _ended(t))), t), _STATE.format("settlements"))
+
+
+def _stream_in_flight(t: Tables) -> DataFrame:
+    """Pending trades that stayed without confirmation, those whose alarm was due when the confirmed feed ended."""
+    said = _in_order(t, _stamped(t["settlements"], "tx_hash", "status"), _ended(t))
+    logs = _in_order(t, _stamped(t["confirmed"], "tx_hash"), _ended(t).drop("status"))
+    open_ = _drained(L.stream_in_flight(said, logs), t).groupBy("tx_hash").agg(F.min("pending_ms").alias("pending_ms"))
+    now = t["confirmed"].agg(F.max("arrival_ms")).first()[0] or 0
+    return open_.where(F.lit(now) - F.col("pending_ms") > H.ALARM_MS).withColumn("overdue", F.lit(True))
+
+
+_add("h9_stream_in_flight", _stream_in_flight, f"SELECT * FROM ({_H9}) WHERE overdue")
+
+
+def _stream_store(t: Tables) -> DataFrame:
+    """All first deliveries, then all again with the replays: nothing is stored twice."""
+    root, offsets = shared_path(t.spark, "stored"), shared_path(t.spark, "offsets")
+    rows = t["order_filled_replay"].where("contract = 'CTFExchange'").drop("contract")
+    _in_turns(t, [rows.where("delivery = 0"), rows], lambda s: H.stream_store(s, "CTFExchange", _F, root, offsets, ("delivery", "transaction_hash")))
+    return S.scan_table(t.spark, root, "CTFExchange", _F).groupBy("block_number").agg(F.count("*").alias("n"), F.countDistinct("log_index").alias("n_logs"))
+
+
+_add("h2_stream_store", _stream_store, "SELECT block_number, count(DISTINCT log_index) AS n, count(DISTINCT log_index) AS n_logs FROM order_filled_replay WHERE contract = 'CTFExchange' GROUP BY 1")
+
+_TURN = "least(from_block // (SELECT max(from_block) // 5 + 1 FROM ranges), 4)"
+
+
+def _catch_up(t: Tables) -> DataFrame:
+    """Finished ranges in five turns from the lowest block up; the head is a fifth ahead of four fifths of them, and moves by
+    a block a turn. The last turn is not taken in."""
+    path, state, offsets = (shared_path(t.spark, n) for n in ("ranges", "state", "offsets"))
+    ranges = t["ranges"].select(F.col("from_block").cast("long").alias("from_block"), F.col("to_block").cast("long").alias("to_block"))
+    fifth = (ranges.agg(F.max("from_block")).first()[0] or 0) // 5 + 1
+    for k in range(5):
+        ranges.where(F.least(F.floor(F.col("from_block") / fifth), F.lit(4)) == k).coalesce(1).write.mode("append").parquet(path)
+    stream = t.spark.readStream.schema(ranges.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    H.catch_up(stream, lambda i: 4 * fifth + i, fifth // 2, state, offsets)
+    return t.spark.read.parquet(f"{state}/lag").select(F.col("step").cast("int").alias("step"), "covered_blocks", "blocks_behind", "lagging")
+
+
+def _turn_sql(k: int) -> str:
+    m = _MERGED.format(f"(SELECT * FROM ranges WHERE {_TURN} <= {k})")
+    fifth = "(SELECT max(from_block) // 5 + 1 FROM ranges)"
+    behind = f"greatest(4 * {fifth} + {k} - max(to_block), 0)"
+    return f"""SELECT * FROM (WITH {m} SELECT {k} AS step, CAST(sum(to_block - from_block + 1) AS BIGINT) AS covered_blocks,
+    CAST({behind} AS BIGINT) AS blocks_behind, {behind} > {fifth} // 2 AS lagging FROM m)"""
+
+
+_add("h4_catch_up", _catch_up, "SELECT * FROM (" + " UNION ALL ".join(map(_turn_sql, range(5))) + f") WHERE step <= (SELECT min(step) FROM ({' UNION ALL '.join(map(_turn_sql, range(5)))}) WHERE NOT lagging)")
+
+# The stored tables of all events, written in one pass over the logs
+
+
+def _all_tables(t: Tables, root: str) -> DataFrame:
+    """Every stored table as its scan gives it: where a row belongs, its common columns, and its values in stored order."""
+    out = None
+    for c, e in TABLES:
+        df = _rows(S.scan_table(t.spark, root, c, e))
+        values = F.concat_ws("|", *(F.regexp_replace(F.col(f.name).cast("string"), " ", "") for f in TABLES[c, e].fields))
+        df = df.select(F.lit(c).alias("contract"), F.lit(e).alias("event"), *COMMON, values.alias("stored_values"))
+        out = df if out is None else out.unionAll(df)
+    return out
+
+
+def _tables_sql() -> str:
+    each = []
+    for k, e in EVENTS.items():
+        values = ", ".join(f"""replace(CAST("{f.name}" AS VARCHAR), ' ', '')""" for f in e.fields)
+        each.append(f"""SELECT contract, '{e.name}' AS event, {', '.join(COMMON)}, concat_ws('|', {values}) AS stored_values
+        FROM ({_decoded_sql(k)}) WHERE block_number % 97 NOT IN (1, 2, {_spoilt(k)})""")
+    return " UNION ALL ".join(each)
+
+
+def _typed_tables(t: Tables) -> DataFrame:
+    root = shared_path(t.spark, "tables")
+    X.export_all(X.typed_rows(D.decode_all(_broken(t), ids_in_hex=True)), root)
+    return _all_tables(t, root)
+
+
+_add("c24_typed_tables", _typed_tables, _tables_sql())
+
+
+def _stream_tables(t: Tables) -> DataFrame:
+    path, root = shared_path(t.spark, "logs"), shared_path(t.spark, "tables")
+    _broken(t).write.json(path)
+    H.stream_tables(H.read_logs(t.spark, path), root, shared_path(t.spark, "offsets")).awaitTermination()
+    return _all_tables(t, root)
+
+
+_add("h1_stream_tables", _stream_tables, _tables_sql())
+
+
+def _complete(t: Tables) -> DataFrame:
+    root = _store(t)
+    return _rows(S.scan_complete(t.spark, root, _F, S.complete_1m_ranges(S.partition_inventory(t.spark, root), _F)))
+
+
+_add("a3_scan_complete_ranges", _complete, f"SELECT {_COLS}, contract FROM order_filled WHERE block_number // 1000000 * 1000000 IN {_FULL.format(_F)}")
+
+
+def _scan_moves(t: Tables) -> DataFrame:
+    """An event whose two tables have different columns."""
+    root = shared_path(t.spark, "store")
+    for key, contract in (("ct_payout_redemption", "ConditionalTokens"), ("nr_payout_redemption", "NegRiskAdapter")):
+        X.export_event(X.typed_projection(t[key], contract, "payout_redemption"), root, contract, "payout_redemption")
+    return _rows(S.scan_event(t.spark, root, "payout_redemption"))
+
+
+_MOVED = "block_number, transaction_index, transaction_hash, log_index, redeemer, condition_id, payout"
+_add("a2_scan_redemptions", _scan_moves, f"""SELECT {_MOVED}, collateral_token, parent_collection_id, index_sets, NULL AS amounts, 'ConditionalTokens' AS contract FROM ct_payout_redemption
+    UNION ALL SELECT {_MOVED}, NULL, NULL, NULL, amounts, 'NegRiskAdapter' FROM nr_payout_redemption""")
+
+
+def _manifest(t: Tables) -> DataFrame:
+    """The manifest of two events with the partitions of a third as ready ones; bytes and digest are held against the files
+    read whole."""
+    root = _store(t, events=(_F, "fee_charged"))
+    ready = X.partitioned(t["token_registered"]).select(F.col("10K").alias("partition_start")).distinct()
+    m = X.build_manifest(t.spark, root, ready).where(F.col("event").isin(_F, "fee_charged"))
+    files = t.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(root)
+    key = [F.regexp_extract("path", S.FILE, i).alias(n) for i, n in ((1, "contract"), (2, "event"), (4, "k"))]
+    again = files.select(*key, F.length("content").cast("long").alias("n"), F.sha2("content", 256).alias("sha")).withColumn("k", F.col("k").cast("long"))
+    j = m.withColumnRenamed("10K", "k").join(again, ["contract", "event", "k"], "left")
+    same = F.col("bytes").eqNullSafe(F.col("n")) & F.col("sha256").eqNullSafe(F.col("sha")) & ((F.col("files") == 1) | (F.col("row_count") == 0))
+    return j.select("contract", "event", "version", "partition", "row_count", "block_start", "block_end", "status", same.alias("as_the_files"))
+
+
+_add("b5_manifest", _manifest, f"""WITH p AS ({_PARTS}), g AS (SELECT DISTINCT block_number // 10000 * 10000 AS k FROM token_registered),
+    e AS (SELECT c.contract, v.event, g.k FROM g, (SELECT unnest(['CTFExchange', 'NegRiskCtfExchange']) AS contract) c, (SELECT unnest(['{_F}', 'fee_charged']) AS event) v
+      WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.contract = c.contract AND p.event = v.event AND p.k = g.k)),
+    a AS (SELECT contract, event, k, row_count, block_start, block_end, 'complete' AS status FROM p UNION ALL SELECT contract, event, k, 0, NULL, NULL, 'empty' FROM e)
+    SELECT contract, event, 'v2' AS version, '1M=' || (k // 1000000 * 1000000) || '/10K=' || k AS partition, row_count, block_start, block_end, status, TRUE AS as_the_files FROM a""")
+
+
+class _WithoutFees:
+    """The tables with the charged fees of every seventh partition gone."""
+
+    def __init__(self, t: Tables):
+        self.t = t
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self.t[name].where("block_number div 10000 % 7 <> 3") if name == "fee_charged" else self.t[name]
+
 
+_add("f9b_fees_of_lost_partitions", lambda t: C.fees_without_table(_WithoutFees(t)), _SQL["f9b_fees_without_table"].replace("FROM fee_charged f WHERE", "FROM fee_charged f WHERE f.block_number // 10000 % 7 <> 3 AND"))
 
-_add("h10_stream_regressions", _stream_regressions, _REGRESS.replace("OVER (ORDER BY", "OVER (PARTITION BY arrival_seq % 4 ORDER BY"))
+_ALL_TABLES = tuple(EVENTS)
+_add("e5_all_tables_with_rows", lambda t: R.tables_with_rows({n: t[n] for n in _ALL_TABLES}, 85_000_000, 85_999_999), " UNION ALL ".join(f"SELECT DISTINCT '{n}' AS table_name FROM {n} WHERE block_number BETWEEN 85000000 AND 85999999" for n in _ALL_TABLES))
+_add("e9_all_event_counts", lambda t: R.event_counts({n: t[n] for n in _ALL_TABLES}), "SELECT * FROM (" + " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS n FROM {n}" for n in _ALL_TABLES) + ") WHERE n > 0")

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import hashlib
 from functools import reduce
+from urllib.parse import unquote, urlsplit
 
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import u256 as U
 from ..operators.ranges import complete_10k
-from ..plans.catalog import COMMON, CONTRACTS, TABLES
+from ..plans.catalog import COMMON, CONTRACTS, EVENTS, TABLES
+from .scan import FILE, exists, partition_inventory, scan_table, table_path
 from .shared import materialize, shared_path
-from .scan import exists, partition_inventory, scan_table, table_path
 
 ORDER = ("block_number", "transaction_index", "log_index")
 
@@ -37,10 +41,41 @@ def partitioned(df: DataFrame) -> DataFrame:
     return df.withColumn("1M", b - b % 1_000_000).withColumn("10K", b - b % 10_000)
 
 
-def export_event(df: DataFrame, root: str, contract: str, event: str) -> None:
-    """B1: one sorted zstd file per 10K partition."""
+def export_event(df: DataFrame, root: str, contract: str, event: str, replace: bool = False) -> None:
+    """B1: one sorted zstd file per 10K partition, beside what a partition holds already or (replace) instead of it."""
     out = partitioned(df).repartition("1M", "10K").sortWithinPartitions("1M", "10K", *ORDER)
-    out.write.mode("append").partitionBy("1M", "10K").option("compression", "zstd").parquet(table_path(root, contract, event))
+    how = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") if replace else out.write.mode("append")
+    how.partitionBy("1M", "10K").option("compression", "zstd").parquet(table_path(root, contract, event))
+
+
+def typed_rows(decoded: DataFrame) -> DataFrame:
+    """Rows of all stored tables in one typed projection over decoded logs (`decode_all` with ids in hex): contract,
+    event (as stored), the common columns, and each stored column under its name, null where an event has none."""
+    kinds: dict[str, dict[str, list[str]]] = {}
+    for e in EVENTS.values():
+        for f in e.fields:
+            kinds.setdefault(f.name, {}).setdefault(f.kind, []).append(e.key)
+    stored = F.element_at(F.create_map(*[F.lit(x) for e in EVENTS.values() for x in (e.key, e.name)]), F.col("event"))
+    # a generator keeps the optimizer from parsing the fields anew for each column
+    rows = decoded.select(F.inline(F.array(F.struct("*", F.from_json("fields", "map<string,string>").alias("v"), stored.alias("stored")))))
+    rows = rows.where(F.struct("contract", "stored").isin([F.struct(F.lit(c), F.lit(e)) for c, e in TABLES]))
+    common = [U.hex_to_binary(F.col(c), 32).alias(c) if c == "transaction_hash" else F.col(c).cast("long").alias(c) for c in COMMON]
+
+    def column(name: str) -> Column:
+        each = [(keys, _stored(kind, F.try_element_at(F.col("v"), F.lit(name)))) for kind, keys in kinds[name].items()]
+        return each[0][1] if len(each) == 1 else F.coalesce(*(F.when(F.col("event").isin(keys), c) for keys, c in each))
+
+    return rows.select("contract", F.col("stored").alias("event"), *common, *(column(n).alias(n) for n in kinds))
+
+
+PLACES = ("contract", "event", "1M", "10K")
+
+
+def export_all(rows: DataFrame, root: str) -> None:
+    """Write the rows of all stored tables (`typed_rows`) in one pass, one sorted file a partition; scans read them with the
+    declared schema of each table."""
+    out = partitioned(rows).repartition(*PLACES).sortWithinPartitions(*PLACES, *ORDER)
+    out.write.mode("append").partitionBy(*PLACES).option("compression", "zstd").parquet(root)
 
 
 def split_by_contract(df: DataFrame, event: str) -> dict[str, DataFrame]:
@@ -62,14 +97,53 @@ def insert_or_ignore(existing: DataFrame, incoming: DataFrame, order: tuple[str,
     return existing.unionByName(first.join(existing.select(*key), key, "left_anti").select(*existing.columns))
 
 
-def build_manifest(spark: SparkSession, root: str) -> DataFrame:
-    """A row per stored partition: rows, first and last block, bytes, files and the digest of its files."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(root)
-    part = lambda i: F.regexp_extract("path", r"/([^/]+)/([^/]+)/1M=(\d+)/10K=(\d+)/[^/]*$", i)
-    by_file = files.select(part(1).alias("contract"), part(2).alias("event"), part(4).cast("long").alias("10K"), "length", F.sha2("content", 256).alias("sha"))
-    sizes = by_file.groupBy("contract", "event", "10K").agg(F.sum("length").alias("bytes"), F.sha2(F.concat_ws(",", F.sort_array(F.collect_list("sha"))), 256).alias("sha256"))
-    counts = reduce(DataFrame.unionAll, (scan_table(spark, root, c, e).groupBy("10K").agg(F.count("*").alias("row_count"), F.min("block_number").alias("block_start"), F.max("block_number").alias("block_end")).select(F.lit(c).alias("contract"), F.lit(e).alias("event"), "10K", "row_count", "block_start", "block_end") for c, e in TABLES))
-    return counts.join(sizes, ["contract", "event", "10K"], "left").withColumn("status", F.lit("complete"))
+VERSION = "v2"
+_CHUNK = 1 << 20
+
+
+def digest(path: str) -> str:
+    """SHA-256 of a file, read in chunks where the task runs (any file system that pyarrow knows by its URI)."""
+    at = urlsplit(path)
+    fs, name = (pafs.LocalFileSystem(), unquote(at.path)) if at.scheme in ("", "file") else pafs.FileSystem.from_uri(path)
+    sha = hashlib.sha256()
+    with fs.open_input_stream(name) as f:
+        while chunk := f.read(_CHUNK):
+            sha.update(chunk)
+    return sha.hexdigest()
+
+
+def file_digests(spark: SparkSession, root: str) -> DataFrame:
+    """path, length and sha256 of the stored files. Only paths are rows; each task reads its files bit by bit."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(root).select("path", "length")
+
+    def run(batches):
+        for b in batches:
+            shas = [digest(p) for p in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(shas, pa.string())], names=["path", "length", "sha256"])
+
+    return files.mapInArrow(run, "path string, length long, sha256 string")
+
+
+def build_manifest(spark: SparkSession, root: str, ready: DataFrame | None = None) -> DataFrame:
+    """A row per stored partition: version, partition (as its path says it), rows, first and last block, bytes, files and
+    sha256 (of the file; of several, of their sorted digests joined by commas). Partitions of `ready` (partition_start) that a
+    table has no rows of are `empty`, the others `complete`."""
+    part = lambda i: F.regexp_extract("path", FILE, i)
+    key = ["contract", "event", "10K"]
+    by_file = file_digests(spark, root).select(part(1).alias("contract"), part(2).alias("event"), part(4).cast("long").alias("10K"), "length", "sha256")
+    shas = F.sort_array(F.collect_list("sha256"))
+    whole = F.when(F.size(shas) == 1, shas[0]).otherwise(F.sha2(F.concat_ws(",", shas), 256))
+    sizes = by_file.groupBy(*key).agg(F.sum("length").alias("bytes"), F.count("*").alias("files"), whole.alias("sha256"))
+    counted = F.count("*").alias("row_count"), F.min("block_number").alias("block_start"), F.max("block_number").alias("block_end")
+    each = (scan_table(spark, root, c, e).groupBy("10K").agg(*counted).select(F.lit(c).alias("contract"), F.lit(e).alias("event"), "10K", *("row_count", "block_start", "block_end")) for c, e in TABLES)
+    counts = reduce(DataFrame.unionAll, each)
+    if ready is not None:
+        targets = spark.createDataFrame(list(TABLES), "contract string, event string")
+        none = empty_partitions(ready, targets, counts.select(*key, "row_count")).where("status = 'empty'")
+        counts = counts.unionByName(none.select(*key, "row_count"), allowMissingColumns=True)
+    name = F.concat(F.lit("1M="), F.col("10K") - F.col("10K") % 1_000_000, F.lit("/10K="), F.col("10K"))
+    rows = counts.join(sizes, key, "left").withColumns({"version": F.lit(VERSION), "partition": name})
+    return rows.withColumn("status", F.when(F.col("row_count") == 0, "empty").otherwise("complete"))
 
 
 def verify_partitions(written: DataFrame, reread: DataFrame) -> DataFrame:
@@ -95,16 +169,25 @@ def _per_partition(df: DataFrame, contract: str, event: str) -> DataFrame:
     return rows.select(F.lit(contract).alias("contract"), F.lit(event).alias("event"), "10K", "row_count")
 
 
-def seal_ready(staged: dict[tuple[str, str], DataFrame], ranges: DataFrame, root: str, read_back=scan_table) -> dict[str, DataFrame]:
+SEALED = "contract string, event string, `10K` long"
+
+
+def sealed_partitions(spark: SparkSession, root: str) -> DataFrame:
+    """The partitions (SEALED) that are stored now."""
+    return partition_inventory(spark, root).select("contract", "event", "10K") if exists(spark, root) else spark.createDataFrame([], SEALED)
+
+
+def seal_ready(staged: dict[tuple[str, str], DataFrame], ranges: DataFrame, root: str, read_back=scan_table, sealed: DataFrame | None = None) -> dict[str, DataFrame]:
     """Release the rows of complete, unsealed partitions, and say what stays staged and what came late.
 
     Rows are written beside the root first and read back; only partitions whose count is what was written move to the root.
-    The others are returned as mismatches, and their rows stay staged with those of partitions that are not complete."""
+    The others are returned as mismatches, and their rows stay staged with those of partitions that are not complete.
+    `sealed` are the partitions (SEALED) that were stored before, of which further rows are late: what is stored now, or a
+    record of an earlier start of the same run, so that what it released already is written again in its place."""
     spark = ranges.sparkSession
     key = ["contract", "event", "10K"]
     ready = materialize(complete_10k(ranges).select(F.col("partition_start").alias("10K")), "ready")
-    none = spark.createDataFrame([], "contract string, event string, `1M` long, `10K` long, files long, bytes long")
-    inventory = materialize((partition_inventory(spark, root) if exists(spark, root) else none).select(*key), "inventory")  # as it was before this run
+    inventory = materialize(sealed_partitions(spark, root), "inventory") if sealed is None else sealed
     area, kept, late, wrote, mismatches = shared_path(spark, "unverified"), {}, [], [], []
     for (contract, event), df in staged.items():
         tagged = df.withColumns({"contract": F.lit(contract), "event": F.lit(event)})
@@ -114,7 +197,7 @@ def seal_ready(staged: dict[tuple[str, str], DataFrame], ranges: DataFrame, root
         written = materialize(_per_partition(go, contract, event), "written")
         again = read_back(spark, area, contract, event)
         differs = materialize(verify_partitions(written, _per_partition(again, contract, event)), "mismatches")
-        export_event(again.join(differs.select("10K"), "10K", "left_anti").drop("1M", "10K"), root, contract, event)
+        export_event(again.join(differs.select("10K"), "10K", "left_anti").drop("1M", "10K"), root, contract, event, replace=True)
         held = ready.join(differs.select("10K"), "10K", "left_anti")
         kept[contract, event] = partitioned(fresh).join(held, "10K", "left_anti").select(*df.columns)
         late.append(partitioned(old).select(*key, "block_number", "transaction_hash", "log_index"))

@@ -15,40 +15,67 @@ FULL = 100
 _LONG = T.LongType()
 
 
+#: File paths of the stored layout; tables written in one pass name their levels (contract=../event=..).
+FILE = r"/(?:contract=)?([^/=]+)/(?:event=)?([^/=]+)/1M=(\d+)/10K=(\d+)/[^/]*$"
+
+
 def table_path(root: str, contract: str, event: str) -> str:
     return f"{root}/{contract}/{event}"
 
 
+def located(spark: SparkSession, root: str, contract: str, event: str) -> str | None:
+    """Where a stored table is, if it was ever written."""
+    return next((p for p in (table_path(root, contract, event), f"{root}/contract={contract}/event={event}") if exists(spark, p)), None)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def scan_table(spark: SparkSession, root: str, contract: str, event: str) -> DataFrame:
     """A1: all partitions of one stored table with its declared schema; empty if it was never written."""
     schema = T.StructType([*stored_schema(contract, event).fields, T.StructField("1M", _LONG), T.StructField("10K", _LONG)])
-    path = table_path(root, contract, event)
-    if not exists(spark, path):
+    path = located(spark, root, contract, event)
+    if path is None:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).option("pathGlobFilter", "*.parquet").parquet(path)  # metadata files lie beside the data
 
 
-def scan_event(spark: SparkSession, root: str, event: str) -> DataFrame:
-    """A2: a logical event over all contracts that store it, with the contract as a column."""
-    each = [scan_table(spark, root, c, e).withColumn("contract", F.lit(c)) for c, e in TABLES if e == event]
+def _each(spark: SparkSession, root: str, event: str, f=lambda df: df) -> DataFrame:
+    each = [f(scan_table(spark, root, c, e)).withColumn("contract", F.lit(c)) for c, e in TABLES if e == event]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), each)
 
 
+def scan_event(spark: SparkSession, root: str, event: str) -> DataFrame:
+    """A2: a logical event over all contracts that store it, with the contract as a column; columns that a contract's table
+    lacks are null."""
+    return _each(spark, root, event)
+
+
+#: Ranges (of a million blocks each) up to which they are broadcast, so that each table's scan prunes by them at run time.
+MOST_RANGES = 100_000
+
+
 def scan_complete(spark: SparkSession, root: str, event: str, ranges) -> DataFrame:
-    """A3: the event in given 1M partitions (a list, pruned statically, or a DataFrame of `1M`, pruned at run time)."""
-    df = scan_event(spark, root, event)
-    return df.join(ranges.select("1M"), "1M", "left_semi") if isinstance(ranges, DataFrame) else df.where(F.col("1M").isin(list(ranges)))
+    """A3: the event in given 1M partitions: a list, pruned when the query is planned, or a DataFrame of `1M`, pruned at run
+    time, table by table."""
+    if not isinstance(ranges, DataFrame):
+        return _each(spark, root, event).where(F.col("1M").isin(list(ranges)))
+    wanted = ranges.select("1M").distinct().where("`1M` is not null and `1M` >= 0")
+    few = wanted.limit(MOST_RANGES + 1).count() <= MOST_RANGES
+    return _each(spark, root, event, lambda df: df.join(F.broadcast(wanted) if few else wanted, "1M", "left_semi"))
 
 
 def partition_inventory(spark: SparkSession, root: str) -> DataFrame:
     """Contract, event, partition values, files and bytes of what is stored."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(root).select("path", "length")
-    part = lambda i: F.regexp_extract("path", r"/([^/]+)/([^/]+)/1M=(\d+)/10K=(\d+)/[^/]*$", i)
+    part = lambda i: F.regexp_extract("path", FILE, i)
     rows = files.select(part(1).alias("contract"), part(2).alias("event"), part(3).alias("m"), part(4).alias("k"), "length").where("m <> ''")
     return rows.groupBy("contract", "event", F.col("m").cast("long").alias("1M"), F.col("k").cast("long").alias("10K")).agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
 

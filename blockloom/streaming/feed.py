@@ -4,19 +4,17 @@ Settlements: arrival_ms, tx_hash, status. Confirmed logs: arrival_seq, arrival_m
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from threading import Event
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ..operators import decode as D
 from ..operators.ranges import _max_before, coverage, merge_ranges
 from ..plans.catalog import RAW
-from ..sources.export import seal_ready
-from ..sources.scan import exists
+from ..sources.export import PLACES, SEALED, export_event, partitioned, seal_ready, sealed_partitions, typed_projection, typed_rows
+from ..sources.scan import delete, exists, scan_block_range
 from ..sources.shared import materialize
 
 ALARM_MS = 10_000
@@ -100,74 +98,128 @@ def stream_decode(raw: DataFrame) -> DataFrame:
     return D.decode_all(raw)
 
 
+def stream_tables(raw: DataFrame, root: str, checkpoint: str):
+    """H1, typed: arriving logs into all stored tables below root, in one pass and one write a micro-batch."""
+    rows = partitioned(typed_rows(D.decode_all(raw, ids_in_hex=True)))
+    out = rows.writeStream.format("parquet").partitionBy(*PLACES).option("path", root).option("checkpointLocation", checkpoint)
+    return out.trigger(availableNow=True).start()
+
+
 def stream_dedup(events: DataFrame, time: str, delay: str = "10 minutes") -> DataFrame:
     """H2: replays of a log within the watermark are dropped."""
     return events.withWatermark(time, delay).dropDuplicatesWithinWatermark(["block_number", "log_index"])
 
 
+def stream_store(events: DataFrame, contract: str, event: str, root: str, checkpoint: str, order: tuple[str, ...] = ("transaction_hash",)):
+    """H2 without a bound: of each (block_number, log_index) the first row is stored, however late a replay comes. A batch
+    meets the stored rows of the partitions between its lowest and highest block only; of rows that a batch repeats the
+    first in `order` counts. A batch that is run again finds what it stored, and adds the rest."""
+
+    def store(batch: DataFrame, i: int) -> None:
+        spark = batch.sparkSession
+        rows = materialize(batch, "batch")
+        span = rows.agg(F.min("block_number").alias("lo"), F.max("block_number").alias("hi")).first()  # two numbers
+        if span["lo"] is None:
+            return
+        key = ["block_number", "log_index"]
+        stored = scan_block_range(spark, root, contract, event, span["lo"], span["hi"]).select(*key)
+        first = rows.withColumn("__n", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).where("__n = 1").drop("__n")
+        new = materialize(first.join(stored, key, "left_anti"), "new")  # read before the table it is added to changes
+        export_event(typed_projection(new, contract, event), root, contract, event)
+
+    return events.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def _kept(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     return spark.read.schema(like.schema).parquet(path) if exists(spark, path) else like.limit(0)
 
 
-def stream_seal(events: DataFrame, contract: str, event: str, ranges_of, root: str, state: str, checkpoint: str):
+def stream_seal(events: DataFrame, contract: str, event: str, ranges_of, root: str, state: str, checkpoint: str, after=lambda step, batch: None):
     """H3: continuous sealing. Each micro-batch is joined by what stayed staged, and what ranges_of(batch id) completes is
     released; the rest stays staged for the batches to come. Below `state` each batch leaves its late and staged rows.
 
-    A batch that is run again after it was finished is left alone; one that broke off after its release finds its
-    partitions sealed and reports their rows as late, so nothing is written twice."""
+    Exactly once: before a batch releases anything it records the rows it works on, the ranges, and the partitions sealed
+    until then. If it breaks off it is run again from its record: partitions it released are written again in their place,
+    and only rows of partitions in the record are late. `after` is told of each step that is done (planned, released, late,
+    staged)."""
 
     def seal(batch: DataFrame, i: int) -> None:
-        spark = batch.sparkSession
-        if exists(spark, f"{state}/{i}/staged/_SUCCESS"):
+        spark, at = batch.sparkSession, f"{state}/{i}"
+        if exists(spark, f"{at}/staged/_SUCCESS"):
             return
-        pending = materialize(batch.unionByName(_kept(spark, f"{state}/{i - 1}/staged", batch)), "pending")
-        done = seal_ready({(contract, event): pending}, ranges_of(i), root)
-        done["late"].write.mode("overwrite").parquet(f"{state}/{i}/late")
-        done["staged"][contract, event].write.mode("overwrite").parquet(f"{state}/{i}/staged")
+        if not exists(spark, f"{at}/sealed/_SUCCESS"):  # written last, so the record is whole
+            batch.unionByName(_kept(spark, f"{state}/{i - 1}/staged", batch)).write.mode("overwrite").parquet(f"{at}/rows")
+            ranges_of(i).select("from_block", "to_block").write.mode("overwrite").parquet(f"{at}/ranges")
+            sealed_partitions(spark, root).write.mode("overwrite").parquet(f"{at}/sealed")
+        after("planned", i)
+        rows, ranges = (spark.read.schema(k).parquet(f"{at}/{n}") for n, k in (("rows", batch.schema), ("ranges", "from_block long, to_block long")))
+        done = seal_ready({(contract, event): rows}, ranges, root, sealed=spark.read.schema(SEALED).parquet(f"{at}/sealed"))
+        after("released", i)
+        done["late"].write.mode("overwrite").parquet(f"{at}/late")
+        after("late", i)
+        done["staged"][contract, event].write.mode("overwrite").parquet(f"{at}/staged")
+        after("staged", i)
+        for n in ("rows", "ranges", "sealed"):
+            delete(spark, f"{at}/{n}")
 
     return events.writeStream.foreachBatch(seal).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def lag(ranges: DataFrame, head: int, tolerance: int) -> DataFrame:
+def lag(ranges: DataFrame, head: int, tolerance: int, merged: bool = False) -> DataFrame:
     """Coverage of ranges, and whether it lags behind the head by more than the tolerance."""
-    return coverage(merge_ranges(ranges), head).withColumn("lagging", F.col("blocks_behind") > tolerance)
+    return coverage(ranges, head, merged).withColumn("lagging", F.col("blocks_behind") > tolerance)
 
 
-def stream_lag(ranges: DataFrame, head: int, tolerance: int, state: str, checkpoint: str):
-    """H4: the lag after each micro-batch of finished ranges, below `state` by batch, until it is within the tolerance."""
+def _lag_step(head_of, tolerance: int, state: str):
+    """A step of a stream of finished ranges: merges them with those before, and writes the lag behind head_of(batch id)
+    below `state`; says whether it is within the tolerance."""
 
-    def step(batch: DataFrame, i: int) -> None:
+    def step(batch: DataFrame, i: int) -> bool:
         spark = batch.sparkSession
         merged = merge_ranges(batch.unionByName(_kept(spark, f"{state}/ranges/{i - 1}", batch)))
         merged.write.mode("overwrite").parquet(f"{state}/ranges/{i}")
-        now = lag(spark.read.schema(merged.schema).parquet(f"{state}/ranges/{i}"), head, tolerance)
+        now = lag(spark.read.schema(merged.schema).parquet(f"{state}/ranges/{i}"), head_of(i), tolerance, merged=True)
         now.write.mode("overwrite").parquet(f"{state}/lag/step={i}")
+        delete(spark, f"{state}/ranges/{i - 2}")
+        return not spark.read.parquet(f"{state}/lag/step={i}").first()["lagging"]  # one row
 
-    return ranges.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return step
 
 
-def stream_inclusion(confirmed: DataFrame, settlements: DataFrame, wait: str = "30 seconds") -> DataFrame:
-    """H8/H9 as a stream-stream left outer join: confirmed trades with the settlement that announced them up to `wait`
+def stream_lag(ranges: DataFrame, head: int, tolerance: int, state: str, checkpoint: str):
+    """The lag after each micro-batch of the finished ranges that are there, below `state` by batch."""
+    step = _lag_step(lambda i: head, tolerance, state)
+    return ranges.writeStream.foreachBatch(lambda batch, i: step(batch, i) and None).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def catch_up(ranges: DataFrame, head_of, tolerance: int, state: str, checkpoint: str, every: str = "0 seconds") -> int:
+    """H4: take in finished ranges, micro-batch by micro-batch, until the gap to the head is within the tolerance; then the
+    query is stopped. head_of(batch id) gives the head, which moves meanwhile. Returns the batch that reached it; an error of
+    a batch is raised. Without new ranges it waits. Batches after the one that reached the tolerance do nothing."""
+    step, reached = _lag_step(head_of, tolerance, state), Event()
+    last: list[int] = []
+
+    def take(batch: DataFrame, i: int) -> None:
+        if not reached.is_set() and step(batch, i):
+            last.append(i)
+            reached.set()
+
+    query = ranges.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(processingTime=every).start()
+    try:
+        while not reached.wait(0.1) and query.isActive:
+            pass
+    finally:
+        query.stop()
+    if not reached.is_set():
+        query.awaitTermination()  # raises what ended the query
+        raise RuntimeError("the stream of ranges ended before the tolerance was reached")
+    return last[0]
+
+
+def stream_announced(confirmed: DataFrame, settlements: DataFrame, wait: str = "30 seconds") -> DataFrame:
+    """Announcements as a stream-stream left outer join: confirmed trades with the settlement that announced them up to `wait`
     before, or null once the watermark has passed. Both sides have a timestamp `ts`."""
     c = confirmed.select("block_number", "tx_hash", F.col("ts").alias("confirmed_at")).withWatermark("confirmed_at", "0 seconds")
     s = settlements.select(F.col("tx_hash").alias("settled_tx"), F.col("ts").alias("settled_at")).withWatermark("settled_at", "0 seconds")
     near = F.expr(f"tx_hash = settled_tx AND settled_at <= confirmed_at AND settled_at >= confirmed_at - INTERVAL {wait}")
     return c.join(s, near, "left_outer").select("block_number", "tx_hash", "confirmed_at", "settled_at")
-
-
-REGRESSION = T.StructType([T.StructField(n, T.StringType() if n == "tx_hash" else T.LongType()) for n in ("arrival_seq", "block_number", "tx_hash", "highest")])
-
-
-def _regressed(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    """State: the highest block so far of one feed."""
-    rows = pd.concat(list(frames)).sort_values("arrival_seq", ignore_index=True)
-    blocks = rows["block_number"].to_numpy("int64")
-    top = np.maximum.accumulate(np.concatenate([[state.get[0] if state.exists else np.iinfo(np.int64).min], blocks]))
-    state.update((int(top[-1]),))
-    found = rows[["arrival_seq", "block_number", "tx_hash"]].assign(highest=top[:-1])
-    yield found[blocks < top[:-1]]
-
-
-def stream_regressions(confirmed: DataFrame, feed: str = "feed") -> DataFrame:
-    """H10 as keyed state: one state per feed, each batch sorted by arrival; a feed is one order, so one task at a time."""
-    return confirmed.groupBy(feed).applyInPandasWithState(_regressed, REGRESSION, T.StructType([T.StructField("top", T.LongType())]), "append", "NoTimeout")
