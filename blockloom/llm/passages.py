@@ -3,11 +3,14 @@
 Seeds are all five-word shingles. A block of documents sends each of its shingles once, with the places in the block's
 smallest document that has it; what other documents of the block have is linked to that one at once. Shingles that meet
 are linked to the smallest document of all. The links of a document and another one are chained with a Fenwick tree under
-linear gap costs; a single seed is a chain too. Chains are then aligned word by word where their seeds leave words open,
+linear gap costs; a single seed is a chain too. Where neighbouring seeds have different sources, as those of a passage do
+whose parts stand in smaller documents, the pair of sources is a seed of a further round. Chains are then aligned word by word where their seeds leave words open,
 and stretches of MIN_WORDS or more that agree in at least 80 % are passages that repeat an earlier document."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,6 +26,9 @@ PENALTY = 4
 #: Cost of a skipped word in a chain (both texts), longest gap that is aligned, words looked at beyond a chain's ends.
 GAP_COST, MAX_GAP, REACH = 0.04, 64, 128
 BLOCK_DOCS, BLOCK_BYTES, BROADCAST_IDS = 8192, 8 << 20, 500_000
+#: Links to one source that follow each other within NEAR words, with shifts of up to SLACK words, are a part; parts of JOINT
+#: links or more, each with another source, meet where MAX_GAP words or less lie between them.
+NEAR, SLACK, JOINT = 16, 8, 3
 #: Documents that are the source of more than one chain in HOT_SHARE (at most so many) are dealt out to several tasks.
 HOT_SHARE = 500
 _CODEC = pa.Codec("zstd", 3)
@@ -321,16 +327,49 @@ def _wide(d: np.ndarray, p: np.ndarray, a: np.ndarray, q: np.ndarray, key: np.nd
     return d[go], p[go], total >> np.uint64(16)
 
 
+def _parts(d: np.ndarray, p: np.ndarray, a: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and sizes of parts: links of a document, in the order of places, to one source along both texts."""
+    shift = np.diff(q - p)
+    new = np.concatenate([[True], (d[1:] != d[:-1]) | (a[1:] != a[:-1]) | (np.abs(shift) > SLACK) | (np.diff(p) > NEAR)]) if len(d) else np.zeros(0, bool)
+    starts = np.flatnonzero(new)
+    return starts, np.diff(np.append(starts, len(d)))
+
+
+def _joints(d: np.ndarray, p: np.ndarray, a: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(document, place, key) of links in parts next to a part of another source; the key is the link's place in its source
+    and the other source.
+
+    A passage whose parts stand in smaller documents has its links there, where none is long enough. Documents that have
+    the same two parts side by side meet on these keys, however the words between and around them differ. A document's own
+    places send none, so the source of a place grows from round to round, and the rounds come to an end."""
+    starts, size = _parts(d, p, a, q)
+    kept = np.repeat(size > 1, size)  # lone links are mostly chance, and must not cut a part in two
+    d, p, a, q = d[kept], p[kept], a[kept], q[kept]
+    starts, size = _parts(d, p, a, q)
+    starts, size = starts[size >= JOINT], size[size >= JOINT]
+    ends = starts + size - 1
+    here, there = starts[:-1], starts[1:]
+    meet = np.flatnonzero((d[here] == d[there]) & (a[here] != a[there]) & (p[there] - p[ends[:-1]] <= MAX_GAP) & (a[here] != d[here]) & (a[there] != d[here]))
+    out = []
+    for own, other, side in ((meet, meet + 1, 1), (meet + 1, meet, 2)):
+        n = size[own]
+        at = np.repeat(starts[own], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        key = K.mix(a[at].astype(np.uint64) * np.uint64(4) + np.uint64(side))
+        key = K.mix(key * np.uint64(31) + q[at].astype(np.uint64))
+        out.append((d[at], p[at], K.mix(key * np.uint64(31) + np.repeat(a[starts[other]], n).astype(np.uint64)) >> np.uint64(16)))
+    return tuple(np.concatenate(c) for c in zip(*out))
+
+
 _MADE = f"{_SENT}, {_CHAINS.replace('pos binary, apos binary', 'cpos binary, capos binary')}"
 _MADE_TYPES = pa.schema([*_SENT_TYPES, *((c, pa.int64()) for c in _CHAIN), ("cpos", pa.binary()), ("capos", pa.binary())])
 
 
-def chained(linked: DataFrame, buckets: int) -> DataFrame:
+def chained(linked: DataFrame, buckets: int, first: bool = True) -> DataFrame:
     """Side 2: chains of the links; side 3: links that are chains of their own, as compressed columns; sides 0 and 1: what
-    wide windows of the links send.
+    joints of the links, and in the first round wide windows, send.
 
     Where a chain settles a stretch of a document, further chains deep within it (MIN_WORDS from its ends) are left out:
-    that stretch repeats an earlier document already. Nor do windows within it ask for another source."""
+    that stretch repeats an earlier document already. Nor do windows and joints within it ask for another source."""
 
     def run(t: pa.Table) -> pa.Table:
         cols = [t.column(c).to_pylist() for c in _LINKS]
@@ -338,10 +377,12 @@ def chained(linked: DataFrame, buckets: int) -> DataFrame:
         p, a, q, key = (np.concatenate([grow(x, k) for x in c]) for c, k in zip(cols[1:], ("i4", "i8", "i4", "u2")))
         order = np.lexsort((q, a, p, d))
         d, p, a, q, key = d[order], p[order].astype(np.int64), a[order], q[order].astype(np.int64), key[order].astype(np.uint64)
-        one = np.ones(len(d), bool)
-        one[1:] = (d[1:] != d[:-1]) | (p[1:] != p[:-1])  # rows that repeat an id share its places
-        d, p, a, q, key = d[one], p[one], a[one], q[one], key[one]
-        found, lone = _chain_rows(d, p, a, q)
+        place = np.ones(len(d), bool)
+        place[1:] = (d[1:] != d[:-1]) | (p[1:] != p[:-1])
+        one = place.copy()  # rows that repeat an id share its places; in later rounds a place can have several sources
+        one[1:] |= ((a[1:] != a[:-1]) | (q[1:] != q[:-1])) & (not first)
+        found, lone = _chain_rows(d[one], p[one], a[one], q[one])
+        d, p, a, q, key = d[place], p[place], a[place], q[place], key[place]
         covered = _Covered(found, d)
 
         def inner(d: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -354,8 +395,12 @@ def chained(linked: DataFrame, buckets: int) -> DataFrame:
         if len(lone[0]):
             cols = (_delta(lone[0]), lone[1].astype(np.int32), lone[2], lone[3].astype(np.int32))
             rows.append({"bucket": t.column("bucket")[0].as_py(), "side": 3, **{c: shrink(x) for c, x in zip(_LINKS, cols)}})
-        doc, place, window = _wide(d, p, a, q, key)
-        return _rows(rows + _sent(doc, place, window, buckets, ~covered(doc, place, place + MIN_WORDS)), _MADE_TYPES)
+        more = [_joints(d, p, a, q)]
+        asks = [~inner(more[0][0], more[0][1], more[0][1])]
+        if first:
+            more.append(_wide(d, p, a, q, key))
+            asks.append(~covered(more[1][0], more[1][1], more[1][1] + MIN_WORDS))
+        return _rows(rows + _sent(*(np.concatenate(c) for c in zip(*more)), buckets, np.concatenate(asks)), _MADE_TYPES)
 
     return linked.groupBy("bucket").applyInArrow(run, _MADE)
 
@@ -644,14 +689,14 @@ def passages(docs: DataFrame, text: str = "text") -> DataFrame:
     any length are taken whole; rows that repeat an id count as one document for seeds and are aligned on the longest of
     them; an empty table gives an empty result; further columns are not looked at."""
     buckets = max(16, 4 * docs.rdd.getNumPartitions())
-    made = materialize(chained(links(send(docs, text, buckets), buckets), buckets), "chains")
-    wide = chained(links(made.where("side < 2").select("bucket", "side", *_LINKS), buckets), buckets)
-    wide = materialize(wide.where("side > 1"), "wide")
-    both = made.unionAll(wide)
-    found = both.where("side = 2").select(*_CHAIN, F.col("cpos").alias("pos"), F.col("capos").alias("apos"))
-    alone = promising(both.where("side = 3").select("bucket", *_LINKS), docs, text, buckets)
+    rounds = [materialize(chained(links(send(docs, text, buckets), buckets), buckets), "chains")]
+    while (sent := rounds[-1].where("side < 2").select("bucket", "side", *_LINKS)).take(1):
+        rounds.append(materialize(chained(links(sent, buckets), buckets, first=False), "chains"))
+    made = reduce(DataFrame.unionAll, rounds)
+    found = made.where("side = 2").select(*_CHAIN, F.col("cpos").alias("pos"), F.col("capos").alias("apos"))
+    alone = promising(made.where("side = 3").select("bucket", *_LINKS), docs, text, buckets)
     out = materialize(_aligned(docs, found.unionAll(alone), text, buckets), "passages")
-    discard(made, wide, alone)
+    discard(*rounds, alone)
     return out
 
 
