@@ -3,12 +3,11 @@ centroids per language, cosine, and rejection of texts that are far from every c
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +19,7 @@ CENTROIDS = 4
 #: Expected number of labelled texts per language that the centroids are clustered from.
 SAMPLE_PER_LANGUAGE = 400
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")  # letters alone: ½, ² and Ⅳ are numbers
 _FOLD = np.full(256, 32, np.uint8)
 _FOLD[97:123] = np.arange(97, 123)
 _FOLD[65:91] = np.arange(97, 123)
