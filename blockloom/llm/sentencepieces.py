@@ -18,10 +18,10 @@ from .spark_io import map_batches
 
 MARK = "▁"
 CUT = "\x01"
-#: Distinct words whose ids a task keeps; beyond that it starts afresh.
-MEMO_WORDS = 800_000
-#: Words up to this length keep their agenda in a list.
+#: Words up to this length keep their agenda in a list, and a task remembers their ids.
 SHORT = 64
+#: Bytes of words and ids (with what a Python entry takes besides) that a task keeps; beyond that it starts afresh.
+MEMO_BYTES, ENTRY_BYTES = 192 << 20, 200
 NEVER = float("inf")
 
 
@@ -34,6 +34,7 @@ class Agenda(dict):
 
     def __init__(self, processor):
         super().__init__()
+        self.held = 0
         n = processor.get_piece_size()
         self.ids, self.costs, self.bytes = {}, {}, {}
         for i in range(n):
@@ -89,9 +90,12 @@ class Agenda(dict):
 
     def __missing__(self, word: str) -> bytes:
         ids = b"".join([self.ids[p] if p in self.ids else self._unknown(p) for p in self.merge(word)])
-        if len(self) >= MEMO_WORDS:
-            self.clear()
-        self[word] = ids
+        if len(word) <= SHORT:
+            if self.held > MEMO_BYTES:
+                self.clear()
+                self.held = 0
+            self.held += ENTRY_BYTES + 4 * len(word) + len(ids)
+            self[word] = ids
         return ids
 
     def _unknown(self, piece: str) -> bytes:
