@@ -29,6 +29,8 @@ BLOCK_DOCS, BLOCK_BYTES, BROADCAST_IDS = 8192, 8 << 20, 500_000
 #: Links to one source that follow each other within NEAR words, with shifts of up to SLACK words, are a part; parts of JOINT
 #: links or more, each with another source, meet where MAX_GAP words or less lie between them.
 NEAR, SLACK, JOINT = 16, 8, 3
+#: Of a part only the links up to so many words from the joint are sent: one that both documents have is enough.
+BESIDE = 32
 #: Documents that are the source of more than one chain in HOT_SHARE (at most so many) are dealt out to several tasks.
 HOT_SHARE = 500
 _CODEC = pa.Codec("zstd", 3)
@@ -354,6 +356,8 @@ def _joints(d: np.ndarray, p: np.ndarray, a: np.ndarray, q: np.ndarray) -> tuple
     for own, other, side in ((meet, meet + 1, 1), (meet + 1, meet, 2)):
         n = size[own]
         at = np.repeat(starts[own], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        near = p[at] >= np.repeat(p[ends[own]], n) - BESIDE if side == 1 else p[at] <= np.repeat(p[starts[own]], n) + BESIDE
+        at, n = at[near], np.add.reduceat(near, np.cumsum(n) - n) if len(n) else n
         key = K.mix(a[at].astype(np.uint64) * np.uint64(4) + np.uint64(side))
         key = K.mix(key * np.uint64(31) + q[at].astype(np.uint64))
         out.append((d[at], p[at], K.mix(key * np.uint64(31) + np.repeat(a[starts[other]], n).astype(np.uint64)) >> np.uint64(16)))
