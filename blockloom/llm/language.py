@@ -133,6 +133,11 @@ def predict(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
 
 
 def identify(docs: DataFrame) -> DataFrame:
-    """Learn from the rows whose crc32(doc_id) mod 4 is not 2 and predict all; held_out marks the others (null id: false)."""
+    """doc_id, held_out, lang_pred, score, rejected: one row per row of docs (doc_id, text, lang). Learns from the rows whose
+    crc32(doc_id) mod 4 is not 2 and predicts all; held_out marks the others (null id: false).
+
+    Null texts and texts without letters are `und` with score 0; without labelled rows all are. Texts of any length are read
+    whole; of equally near languages the first in order counts; repeated rows are predicted alike; further columns are not
+    looked at; an empty table gives an empty result."""
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
     return predict(docs, train(docs.where(~held))).withColumn("held_out", held).select("doc_id", "held_out", "lang_pred", "score", "rejected")

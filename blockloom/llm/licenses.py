@@ -99,7 +99,8 @@ def known_digests(spark: SparkSession, known=KNOWN) -> DataFrame:
 def scan(docs: DataFrame, text: str = "text", known=KNOWN) -> DataFrame:
     """doc_id, unit ('text' or 'line'), line (0 for whole texts, else counted from 1), license, digest: one row per unit that
     is a known licence. Null and empty texts have no findings; repeated rows give repeated findings. Lines are looked at if
-    they speak of a licence; every text is looked at as a whole."""
+    they speak of a licence; every text of any length is looked at as a whole; a text that is known under two names gives a row
+    for each; rows without id have findings too; further columns are not looked at; an empty table gives an empty result."""
     lines = F.transform(F.split(F.col(text), "\n", -1), lambda x, i: F.struct((i + 1).cast("int").alias("line"), x.alias("body")))
     speaks = F.filter(lines, lambda x: F.lower(x["body"]).contains("licen"))
     whole = F.array(F.struct(F.lit(0).alias("line"), F.col(text).alias("body")))
@@ -117,8 +118,10 @@ def _sql_normal(c: str) -> str:
 
 
 def oracle_sql() -> str:
-    rows = ", ".join("('{}', '{}')".format(a, b.replace("'", "''")) for a, b in KNOWN)
-    return f"""WITH known AS (SELECT DISTINCT license, sha256({_sql_normal("body")}) AS digest FROM (VALUES {rows}) AS t(license, body)),
+    """DuckDB SQL of scan over documents, with all that known_digests knows."""
+    rows = ", ".join("('{}', '{}')".format(a, b.replace("'", "''")) for a, b in (*KNOWN, *SPDX_LINES))
+    full = ", ".join(f"('{a}', '{b}')" for a, b in DIGESTS)
+    return f"""WITH known AS (SELECT license, sha256({_sql_normal("body")}) AS digest FROM (VALUES {rows}) AS t(license, body) UNION SELECT * FROM (VALUES {full}) AS d(license, digest)),
 parts AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
 lines AS (SELECT doc_id, unnest(range(1, len(ls) + 1)) AS line, unnest(ls) AS body FROM parts),
 units AS (SELECT doc_id, 0 AS line, text AS body FROM parts UNION ALL SELECT doc_id, line, body FROM lines WHERE contains(lower(body), 'licen'))

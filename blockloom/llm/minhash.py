@@ -408,7 +408,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", percent: int = PERCENT)
     """doc_id, n_shingles, component_id, kept: one row per row of docs.
 
     Null, empty or blank texts have no shingles and stand alone; rows without id have neither component nor verdict
-    (null component, kept). Rows that repeat an id are one node of the graph."""
+    (null component, kept). Rows that repeat an id are one node of the graph. Texts of any length count whole, equal sets have
+    their smallest id as component at least; further columns are not looked at; an empty table gives an empty result."""
     buckets = max(16, 4 * docs.rdd.getNumPartitions())
     sketched = materialize(sketch(docs, text), "sketches")
     sets = sketched.where("sig is not null and doc_id is not null").groupBy("h1", "h2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.any_value("sig").alias("sig"))

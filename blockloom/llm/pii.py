@@ -224,7 +224,11 @@ def decide(scanned: DataFrame, threshold: float = 0.5) -> dict[str, float]:
 
 
 def spans(docs: DataFrame, text: str = "text") -> DataFrame:
-    """doc_id, counts, base_sha256, spans (base, then added kinds, each by start): one row per row of docs."""
+    """doc_id, counts, base_sha256, spans (base, then added kinds, each by start): one row per row of docs.
+
+    Null texts are empty and have no spans; texts of any length are searched whole, in linear time; rows that repeat an id or a
+    text are rows of their own, each with its spans; a span is accepted above the threshold; further columns are not
+    looked at; an empty table gives an empty result."""
     scanned = materialize(scan(docs, text), "pii")
     accepted = decide(scanned)
 

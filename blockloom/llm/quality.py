@@ -159,7 +159,8 @@ def judge(df: DataFrame, host: str = "source") -> DataFrame:
 def quality(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
     """doc_id, the counts, base_failed, host_rate, host_rejected, kept: one row per row of docs.
 
-    Null or empty texts have no words and fail; repeated rows are judged one by one."""
+    Null or empty texts have no words and fail; repeated rows are judged one by one; rows without host are judged by themselves alone;
+    texts of any length are counted whole; further columns are not looked at; an empty table gives an empty result."""
     counted = docs.select("doc_id", F.col(host).alias("__source"), F.col(text).alias("__t"))
     rows = materialize(features(counted, "__t", ("doc_id", "__source")), "quality")  # read twice: by host and by document
     return judge(rows, "__source").drop("__source")

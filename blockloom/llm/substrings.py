@@ -493,7 +493,8 @@ def deduplicate(docs: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256: one row per row of docs.
 
     Null texts are empty. Rows without id lose nothing and take nothing from others; rows that repeat an id keep their own
-    text and take nothing from one another."""
+    text and take nothing from one another. Texts of any length count whole; of documents with the same string the smallest id
+    keeps it; further columns are not looked at; an empty table gives an empty result."""
     lean(docs.sparkSession)
     buckets = max(16, 4 * docs.rdd.getNumPartitions())
     rows = docs.select("doc_id", F.coalesce(F.col(text), F.lit("")).alias("t"))

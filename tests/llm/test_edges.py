@@ -1,10 +1,13 @@
 """Cases at the edges of contracts: numbers that look like letters, ids near the end of longs, long words."""
 
+from pathlib import Path
+
+import duckdb
 import public_tokenizers
 import pytest
 
 import corpus_pipeline
-from blockloom.llm import language, sentencepieces
+from blockloom.llm import language, licenses, sentencepieces
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars int"
 
@@ -44,3 +47,16 @@ def test_memory_is_bounded_by_bytes(monkeypatch):
         text = f"word{i} other{i * 7}"
         assert agenda.encode(text) == b"".join(x.to_bytes(4, "little") for x in processor.encode(text))
         assert agenda.held <= 21_000 and len(agenda) <= 100
+
+
+def test_the_sql_knows_the_licenses_that_the_scan_knows(spark):
+    texts = [b for _, b in licenses.KNOWN] + [f"code\n# {b}\nmore" for _, b in licenses.SPDX_LINES] + ["SPDX-License-Identifier: None", "", None]
+    texts += [p.read_text(errors="replace") for p in sorted(Path("/usr/share/common-licenses").glob("*")) if p.is_file()]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    con = duckdb.connect()
+    con.register("documents", df.toArrow())
+    want = con.execute(licenses.oracle_sql())
+    names = [c[0] for c in want.description]
+    rows = sorted(want.fetchall())
+    assert sorted(map(tuple, licenses.scan(df).select(*names).collect())) == rows
+    assert len(rows) >= len(texts) - 6 and {r[names.index("unit")] for r in rows} == {"text", "line"}
