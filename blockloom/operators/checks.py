@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.catalog import EVENTS
+from ..sources.shared import materialize
 
 ZERO = "0" * 64
 LATE_BLOCKS = 100
@@ -43,6 +44,31 @@ def registered(t) -> DataFrame:
     return r.select(F.col("token0").alias("token_id")).unionAll(r.select("token1")).distinct()
 
 
+WEIGHT = "__n"
+
+
+def _orders(t) -> DataFrame:
+    """The fills, or for a report their sums by order and transaction with the number of fills as WEIGHT."""
+    return t.orders if isinstance(t, _Shared) else t["order_filled"]
+
+
+def _count(df: DataFrame) -> Column:
+    return F.sum(WEIGHT) if WEIGHT in df.columns else F.count("*")
+
+
+def _have(df: DataFrame, *columns: str) -> DataFrame:
+    """These columns, as far as sums have them, and the weight."""
+    return df.select(*(c for c in (*columns, WEIGHT) if c in df.columns))
+
+
+def _tokens(t, contract: str | None = None) -> DataFrame:
+    """Distinct token ids that fills (of a contract) trade."""
+    if isinstance(t, _Shared):
+        return (t.tokens.where(F.col("contract") == contract) if contract else t.tokens).select("token_id").distinct()
+    f = t["order_filled"]
+    return traded(f.where(F.col("contract") == contract) if contract else f)
+
+
 def traded(df: DataFrame) -> DataFrame:
     """Distinct token ids on either side, without collateral (filtered before the shuffle: it is on every row)."""
     sides = df.select(F.explode(F.array("maker_asset_id", "taker_asset_id")).alias("token_id"))
@@ -57,13 +83,19 @@ BLOBS = {
 }
 
 
-def blob_lengths(t) -> DataFrame:
-    """addresses that are not 20 bytes and hashes that are not 32."""
+def _bytes(c: str) -> Column:
+    return F.floor(F.length(c) / 2)
+
+
+def blob_lengths(t, ranges: DataFrame | None = None) -> DataFrame:
+    """addresses that are not 20 bytes and hashes that are not 32, in all blocks or in the 1M ranges of a sample (a few
+    rows of `1M`, as sample_ranges gives)."""
+    inside = lambda df: df if ranges is None else df.withColumn("1M", F.col("block_number") - F.col("block_number") % 1_000_000).join(F.broadcast(ranges), "1M", "left_semi")
     out = []
     for event, columns in BLOBS.items():
-        sizes = F.array(*(F.struct(F.lit(c).alias("column_name"), F.lit(n).alias("want"), F.floor(F.length(c) / 2).alias("n_bytes")) for c, n in columns.items()))
+        sizes = F.array(*(F.struct(F.lit(c).alias("column_name"), F.lit(n).alias("want"), _bytes(c).alias("n_bytes")) for c, n in columns.items()))
         bad = F.filter(sizes, lambda x: x["n_bytes"] != x["want"])
-        rows = t[event].select(F.lit(event).alias("event"), "transaction_hash", "log_index", F.explode(bad).alias("x"))
+        rows = inside(t[event]).select(F.lit(event).alias("event"), "transaction_hash", "log_index", F.explode(bad).alias("x"))
         out.append(rows.select("event", "transaction_hash", "log_index", "x.column_name", "x.n_bytes"))
     return _union(out)
 
@@ -74,19 +106,25 @@ AMOUNTS = {
 }
 
 
-def amounts_parse(t) -> DataFrame:
-    """amounts that are no whole number from 0 to 2**127-1, by value with their count.
+def _no_amount(c: str) -> Column:
+    """Whether a text is no whole number from 0 to 2**127-1: decimal(38) ends below that, so 39 digits are compared as text."""
+    d = F.expr(f"try_cast({c} as decimal(38,0))")
+    digits = F.ltrim(F.trim(c), F.lit("0"))
+    wide = digits.rlike("^[0-9]{39}$") & (digits <= str(2**127 - 1))
+    return F.coalesce(d < 0, ~F.coalesce(wide, F.lit(False)))
+
+
+def _logical(t, event: str) -> DataFrame:
+    return both(t, event) if event in ("position_split", "positions_merge", "payout_redemption") else t[event]
 
-    decimal(38) ends below 2**127, so 39-digit values are compared as text."""
+
+def amounts_parse(t) -> DataFrame:
+    """amounts that are no whole number from 0 to 2**127-1, by value with their count."""
     out = []
     for event, columns in AMOUNTS.items():
-        df = both(t, event) if event in ("position_split", "positions_merge", "payout_redemption") else t[event]
+        df = _logical(t, event)
         for c in columns:
-            d = F.expr(f"try_cast({c} as decimal(38,0))")
-            digits = F.ltrim(F.trim(c), F.lit("0"))
-            wide = digits.rlike("^[0-9]{39}$") & (digits <= str(2**127 - 1))
-            bad = F.coalesce(d < 0, ~F.coalesce(wide, F.lit(False)))
-            out.append(df.where(bad).groupBy(F.lit(event).alias("event"), F.lit(c).alias("column_name"), F.col(c).alias("value")).agg(F.count("*").alias("n")))
+            out.append(df.where(_no_amount(c)).groupBy(F.lit(event).alias("event"), F.lit(c).alias("column_name"), F.col(c).alias("value")).agg(F.count("*").alias("n")))
     return _union(out)
 
 
@@ -100,12 +138,15 @@ def resolution_prepared(t) -> DataFrame:
     return _missing(t["condition_resolution"], "condition_id", t["condition_preparation"], "condition_id")
 
 
-def payout_sums(t) -> DataFrame:
-    """two-outcome resolutions whose payouts sum to nothing or hold a negative."""
+def _bad_payouts() -> Column:
     c = "payout_numerators"
     a, b = (F.get_json_object(c, f"$[{i}]").cast("decimal(38,0)") for i in (0, 1))
-    rows = t["condition_resolution"].where(F.json_array_length(c) == 2).where((a + b <= 0) | (a < 0) | (b < 0))
-    return rows.select("condition_id", "block_number", c)
+    return F.when(F.json_array_length(c) == 2, (a + b <= 0) | (a < 0) | (b < 0)).otherwise(F.lit(False))
+
+
+def payout_sums(t) -> DataFrame:
+    """two-outcome resolutions whose payouts sum to nothing or hold a negative."""
+    return t["condition_resolution"].where(_bad_payouts()).select("condition_id", "block_number", "payout_numerators")
 
 
 def converted_has_questions(t) -> DataFrame:
@@ -120,8 +161,7 @@ def reachable_has_condition(t) -> DataFrame:
 
 def exchanges_disjoint(t) -> DataFrame:
     """token ids that trade on both exchanges."""
-    f = t["order_filled"]
-    return traded(f.where("contract = 'CTFExchange'")).join(traded(f.where("contract = 'NegRiskCtfExchange'")), "token_id", "left_semi")
+    return _tokens(t, "CTFExchange").join(_tokens(t, "NegRiskCtfExchange"), "token_id", "left_semi")
 
 
 def fee_tokens_registered(t) -> DataFrame:
@@ -130,7 +170,7 @@ def fee_tokens_registered(t) -> DataFrame:
 
 def fee_reconciliation(t) -> DataFrame:
     """transactions whose fills' fees differ from the fees charged (none charged counts as 0)."""
-    paid = t["order_filled"].groupBy("transaction_hash").agg(F.sum(_dec("fee")).alias("fill_fee"))
+    paid = _orders(t).groupBy("transaction_hash").agg(F.sum(_dec("fee")).alias("fill_fee"))
     charged = t["fee_charged"].groupBy("transaction_hash").agg(F.sum(_dec("amount")).alias("charged"))
     both_sides = paid.join(charged, "transaction_hash", "left").withColumn("charged", F.coalesce("charged", F.lit(0)))
     return both_sides.where("fill_fee <> charged").select("transaction_hash", _text(F.col("fill_fee")).alias("fill_fee"), _text(F.col("charged")).alias("charged_fee"))
@@ -139,7 +179,7 @@ def fee_reconciliation(t) -> DataFrame:
 def fees_without_table(t) -> DataFrame:
     """Where no fee was charged at all in a partition of 10,000 blocks, transactions with fees."""
     part = lambda df: df.withColumn("p", F.col("block_number") - F.col("block_number") % 10000)
-    alone = part(t["order_filled"]).join(part(t["fee_charged"]).select("contract", "p").distinct(), ["contract", "p"], "left_anti")
+    alone = part(_orders(t)).join(part(t["fee_charged"]).select("contract", "p").distinct(), ["contract", "p"], "left_anti")
     return alone.groupBy("contract", "transaction_hash").agg(F.sum(_dec("fee")).alias("s")).where("s <> 0").select("contract", "transaction_hash", _text(F.col("s")).alias("fill_fee"))
 
 
@@ -153,8 +193,8 @@ def refund_identity(t) -> DataFrame:
     key = ["transaction_hash", "order_hash"]
     refunds = t["fee_refunded"]
     mine = refunds.groupBy(*key).agg(F.sum(_dec("refund") + _dec("fee_charged")).alias("net"), F.count("*").alias("n_refunds"))
-    fills = t["order_filled"].join(refunds.select("transaction_hash").distinct(), "transaction_hash", "left_semi")
-    gross = fills.groupBy(*key).agg(F.sum(_dec("fee")).alias("gross"), F.count("*").alias("n_fills"))
+    fills = _orders(t).join(refunds.select("transaction_hash").distinct(), "transaction_hash", "left_semi")
+    gross = fills.groupBy(*key).agg(F.sum(_dec("fee")).alias("gross"), _count(fills).alias("n_fills"))
     j = gross.join(mine, key, "full_outer")
     return j.where(~F.col("gross").eqNullSafe(F.col("net")) | ~F.col("n_fills").eqNullSafe(F.col("n_refunds"))).select(*key, _text(F.col("gross")).alias("gross"), _text(F.col("net")).alias("net"), "n_fills", "n_refunds")
 
@@ -165,7 +205,7 @@ def questions_have_market(t) -> DataFrame:
 
 def fill_after_cancel(t) -> DataFrame:
     c = t["order_cancelled"].select("order_hash", F.col("block_number").alias("cancel_block"))
-    f = t["order_filled"].select("order_hash", F.col("block_number").alias("fill_block"), "transaction_hash", "log_index")
+    f = _have(_orders(t), "order_hash", "block_number", "transaction_hash", "log_index").withColumnRenamed("block_number", "fill_block")
     return f.join(c, "order_hash").where("fill_block > cancel_block")
 
 
@@ -179,15 +219,25 @@ def trading_after_resolution(t) -> DataFrame:
     return late.select("transaction_hash", "fill_block", "resolution_block", "token_id").distinct()
 
 
+def _zero_amount() -> Column:
+    return (_dec("maker_amount_filled") == 0) | (_dec("taker_amount_filled") == 0)
+
+
 def amounts_positive(t) -> DataFrame:
-    return t["order_filled"].where((_dec("maker_amount_filled") == 0) | (_dec("taker_amount_filled") == 0)).select("transaction_hash", "log_index", "maker_amount_filled", "taker_amount_filled")
+    return t["order_filled"].where(_zero_amount()).select("transaction_hash", "log_index", "maker_amount_filled", "taker_amount_filled")
 
 
-def _priced(t) -> DataFrame:
-    maker, taker = F.col("maker_asset_id") == ZERO, F.col("taker_asset_id") == ZERO
+def _one_side() -> Column:
+    return (F.col("maker_asset_id") == ZERO) != (F.col("taker_asset_id") == ZERO)
+
+
+def _price() -> Column:
     m, k = (F.col(f"{s}_amount_filled").cast("double") for s in ("maker", "taker"))
-    price = F.when(maker, m / F.nullif(k, F.lit(0.0))).otherwise(k / F.nullif(m, F.lit(0.0)))
-    return t["order_filled"].where(maker != taker).select("transaction_hash", "log_index", price.alias("price"))
+    return F.when(F.col("maker_asset_id") == ZERO, m / F.nullif(k, F.lit(0.0))).otherwise(k / F.nullif(m, F.lit(0.0)))
+
+
+def _priced(t) -> DataFrame:
+    return t["order_filled"].where(_one_side()).select("transaction_hash", "log_index", _price().alias("price"))
 
 
 def price_in_range(t) -> DataFrame:
@@ -200,28 +250,29 @@ def price_warning(t) -> DataFrame:
 
 
 def one_collateral_side(t) -> DataFrame:
-    return t["order_filled"].where((F.col("maker_asset_id") == ZERO) == (F.col("taker_asset_id") == ZERO)).select("transaction_hash", "log_index", "maker_asset_id", "taker_asset_id")
+    return t["order_filled"].where(~_one_side()).select("transaction_hash", "log_index", "maker_asset_id", "taker_asset_id")
 
 
 def taker_matches_summary(t) -> DataFrame:
     """the taker's fill must carry the summary's amounts (compared as text), per contract and 1M partition."""
     m = t["orders_matched"].select("contract", F.floor(F.col("block_number") / 1000000).alias("m"), "transaction_hash", F.col("taker_order_hash").alias("order_hash"), F.col("maker_amount_filled").alias("a"), F.col("taker_amount_filled").alias("b"))
-    f = t["order_filled"].withColumn("m", F.floor(F.col("block_number") / 1000000))
-    j = f.join(m, ["contract", "m", "transaction_hash", "order_hash"])
-    return j.where("maker_amount_filled <> a or taker_amount_filled <> b").select("transaction_hash", "order_hash", "maker_amount_filled", "taker_amount_filled", F.col("a").alias("summary_maker"), F.col("b").alias("summary_taker"))
+    f = _orders(t).withColumn("m", F.floor(F.col("block_number") / 1000000))
+    j = f.join(m, ["contract", "m", "transaction_hash", "order_hash"]).where("maker_amount_filled <> a or taker_amount_filled <> b")
+    j = j.withColumnsRenamed({"a": "summary_maker", "b": "summary_taker"})
+    return _have(j, "transaction_hash", "order_hash", "maker_amount_filled", "taker_amount_filled", "summary_maker", "summary_taker")
 
 
 def fill_tokens_registered(t) -> DataFrame:
-    return traded(t["order_filled"]).join(registered(t), "token_id", "left_anti")
+    return _tokens(t).join(registered(t), "token_id", "left_anti")
 
 
 def maker_filled_once(t) -> DataFrame:
     """in a transaction, orders other than the taker's that are filled more than once (a second summary row multiplies)."""
     part = F.floor(F.col("block_number") / 1000000)
     m = t["orders_matched"].select("contract", part.alias("m"), "transaction_hash", "taker_order_hash")
-    f = t["order_filled"].select("contract", part.alias("m"), "transaction_hash", "order_hash")
+    f = _have(_orders(t).withColumn("m", part), "contract", "m", "transaction_hash", "order_hash")
     j = f.join(m, ["contract", "m", "transaction_hash"]).where("order_hash <> taker_order_hash")
-    return j.groupBy("contract", "transaction_hash", "order_hash").agg(F.count("*").alias("n")).where("n > 1")
+    return j.groupBy("contract", "transaction_hash", "order_hash").agg(_count(j).alias("n")).where("n > 1")
 
 
 def matched_tokens_registered(t) -> DataFrame:
@@ -249,8 +300,8 @@ def token_in_one_condition(t) -> DataFrame:
 
 def registered_before_trade(t) -> DataFrame:
     """first fill of a token (each side on its own) not after its first registration (each arm on its own), or none."""
-    f, r = t["order_filled"], t["token_registered"]
-    fills = _union(f.where(F.col(c) != ZERO).groupBy(F.col(c).alias("token_id")).agg(F.min("block_number").alias("first_fill")) for c in ("maker_asset_id", "taker_asset_id"))
+    f, r = None if isinstance(t, _Shared) else t["order_filled"], t["token_registered"]
+    fills = t.tokens.groupBy("side", "token_id").agg(F.min("first_fill").alias("first_fill")).drop("side") if f is None else _union(f.where(F.col(c) != ZERO).groupBy(F.col(c).alias("token_id")).agg(F.min("block_number").alias("first_fill")) for c in ("maker_asset_id", "taker_asset_id"))
     regs = _union(r.groupBy(F.col(c).alias("token_id")).agg(F.min("block_number").alias("first_registration")) for c in ("token0", "token1"))
     j = fills.join(regs, "token_id", "left")
     return j.where("first_registration is null or first_fill <= first_registration").select("token_id", "first_fill", F.coalesce("first_registration", F.lit(-1)).alias("first_registration"))
@@ -260,9 +311,13 @@ def registered_prepared(t) -> DataFrame:
     return _missing(t["token_registered"], "condition_id", t["condition_preparation"], "condition_id")
 
 
-def registration_valid(t) -> DataFrame:
+def _bad_registration() -> Column:
     c = F.col("condition_id")
-    return t["token_registered"].where(c.isNull() | (F.length(c) != 64) | (c == ZERO)).select("transaction_hash", "log_index", "condition_id")
+    return c.isNull() | (F.length(c) != 64) | (c == ZERO)
+
+
+def registration_valid(t) -> DataFrame:
+    return t["token_registered"].where(_bad_registration()).select("transaction_hash", "log_index", "condition_id")
 
 
 KEYED = tuple(EVENTS)
@@ -294,27 +349,104 @@ CHECKS: dict[str, tuple[Callable[..., DataFrame], str, int]] = {
 }
 
 
+#: Checks of single rows: by table, what makes a row (or one of its columns) a violation, and for checks that report values
+#: the value that counts once.
+_Local = tuple[str, Callable[[], Column], Column | None]
+
+
+def _local(name: str) -> list[_Local]:
+    none = None
+    return {
+        "f1_blob_lengths": [(e, (lambda c=c, n=n: _bytes(c) != n), none) for e, cols in BLOBS.items() for c, n in cols.items()],
+        "f2_amounts_parse": [(e, (lambda c=c: _no_amount(c)), F.struct(F.lit(e), F.lit(c), F.col(c))) for e, cols in AMOUNTS.items() for c in cols],
+        "f5_payout_sums": [("condition_resolution", _bad_payouts, none)],
+        "f15_amounts_positive": [("order_filled", _zero_amount, none)],
+        "f16_price_in_range": [("order_filled", lambda: _one_side() & (_price().isNull() | (_price() <= 0)), none)],
+        "f16w_price_warning": [("order_filled", lambda: _one_side() & (_price() >= 1), none)],
+        "f17_one_collateral_side": [("order_filled", lambda: ~_one_side(), none)],
+        "f23_outcome_is_bool": [("outcome_reported", lambda: ~F.col("outcome").isin(0, 1), none)],
+        "f28_registration_valid": [("token_registered", _bad_registration, none)],
+    }.get(name, [])
+
+
+class _Shared:
+    """Tables of a report with what several checks of the fills read in common, each made in one pass over them."""
+
+    def __init__(self, t):
+        self.t, self.made = t, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self.t[name]
+
+    @property
+    def orders(self) -> DataFrame:
+        if "orders" not in self.made:
+            key = ("contract", "block_number", "transaction_hash", "order_hash", "maker_amount_filled", "taker_amount_filled")
+            sums = self.t["order_filled"].groupBy(*key).agg(F.sum(_dec("fee")).alias("fee"), F.count("*").alias(WEIGHT))
+            self.made["orders"] = materialize(sums, "orders")
+        return self.made["orders"]
+
+    @property
+    def tokens(self) -> DataFrame:
+        if "tokens" not in self.made:
+            sides = F.array(*(F.struct(F.lit(s).alias("side"), F.col(f"{s}_asset_id").alias("token_id")) for s in ("maker", "taker")))
+            each = self.t["order_filled"].select("contract", "block_number", F.inline(sides)).where(F.col("token_id") != ZERO)
+            self.made["tokens"] = materialize(each.groupBy("contract", "side", "token_id").agg(F.min("block_number").alias("first_fill")), "tokens")
+        return self.made["tokens"]
+
+
+def _row_local(of: dict[str, object]) -> DataFrame:
+    """(check_name, violations) of checks of single rows with the tables each reads: one pass over a table for all of them.
+    Only violations leave the scan."""
+    passes: dict[tuple[int, str], tuple[object, list]] = {}
+    for name, t in of.items():
+        for event, bad, value in _local(name):
+            passes.setdefault((id(t), event), (t, []))[1].append((name, bad, value))
+    found = []
+    for (_, event), (t, tests) in passes.items():
+        key = lambda v: F.to_json(v, {"ignoreNullFields": "false"}) if v is not None else F.lit(None).cast("string")
+        each = F.array(*(F.when(bad(), F.struct(F.lit(n).alias("check_name"), key(v).alias("value"))) for n, bad, v in tests))
+        found.append(_logical(t, event).select(F.explode(F.filter(each, lambda x: x.isNotNull())).alias("x")).select("x.check_name", "x.value"))
+    groups = _union(found).groupBy("check_name", "value").agg(F.count("*").alias("n"))
+    once = F.when(F.col("value").isNull(), F.col("n")).otherwise(1)
+    return groups.groupBy("check_name").agg(F.sum(once).alias("violations"))
+
+
 def report(t, names=tuple(CHECKS), limit: int = 0, instead: dict | None = None) -> DataFrame:
     """per check its violations, expectation, tolerance and status, and with a limit some violation rows as JSON.
 
     Status is pass or fail, expected failure or unexpected pass where a failure is expected, and skip where a table that the
-    check reads is missing (a KeyError of t). `instead` names other tables for single checks."""
-    out = []
+    check reads is missing (a KeyError of t). `instead` names other tables for single checks.
+
+    Without samples a table is read once for all checks of its single rows, and the fills once for all checks of tokens,
+    once for those of orders and transactions, and by each of the others (after a resolution, repeated keys)."""
+    out, shared, local = [], _Shared(t), {}
     for name in names:
         check, expectation, tolerance = CHECKS[name]
         fine, bad = ("unexpected pass", "expected failure") if expectation == "expected" else ("pass", "fail")
         head = F.lit(name).alias("check_name")
         about = F.lit(expectation).alias("expectation"), F.lit(tolerance).alias("tolerance")
+        status = F.when(F.col("violations") <= tolerance, fine).otherwise(bad).alias("status")
+        mine = (instead or {}).get(name)
         try:
-            found = check((instead or {}).get(name, t))
+            if not limit and _local(name):
+                for event, _, _ in _local(name):
+                    _logical(mine or t, event)
+                local[name] = (mine or t, (head, "violations", *about, status))
+                continue
+            found = check(mine or (t if limit else shared))
         except KeyError:
             skipped = t.spark.range(1).select(head, F.lit(None).cast("long").alias("violations"), *about, F.lit("skip").alias("status"))
             out.append(skipped.withColumn("sample", F.lit(None).cast("string")) if limit else skipped)
             continue
-        row = found.agg(F.count("*").alias("violations"))
-        row = row.select(head, "violations", *about, F.when(F.col("violations") <= tolerance, fine).otherwise(bad).alias("status"))
+        row = found.agg(F.coalesce(_count(found), F.lit(0)).alias("violations")).select(head, "violations", *about, status)
         if limit:
             sample = found.select(F.to_json(F.struct("*")).alias("j")).limit(limit).agg(F.to_json(F.collect_list("j")).alias("sample"))
             row = row.join(sample.select(head, "sample"), "check_name")
         out.append(row)
+    if local:
+        counts = materialize(_row_local({n: tables for n, (tables, _) in local.items()}), "violations")
+        for name, (_, columns) in local.items():
+            one = counts.where(F.col("check_name") == name).agg(F.coalesce(F.sum("violations"), F.lit(0)).alias("violations"))
+            out.append(one.select(*columns))
     return _union(out)

@@ -778,3 +778,35 @@ _add("f9b_fees_of_lost_partitions", lambda t: C.fees_without_table(_WithoutFees(
 _ALL_TABLES = tuple(EVENTS)
 _add("e5_all_tables_with_rows", lambda t: R.tables_with_rows({n: t[n] for n in _ALL_TABLES}, 85_000_000, 85_999_999), " UNION ALL ".join(f"SELECT DISTINCT '{n}' AS table_name FROM {n} WHERE block_number BETWEEN 85000000 AND 85999999" for n in _ALL_TABLES))
 _add("e9_all_event_counts", lambda t: R.event_counts({n: t[n] for n in _ALL_TABLES}), "SELECT * FROM (" + " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS n FROM {n}" for n in _ALL_TABLES) + ") WHERE n > 0")
+
+
+def _sampled(t: Tables) -> DataFrame:
+    """F1 on the first and the last range of the fills."""
+    m = F.col("block_number") - F.col("block_number") % 1_000_000
+    return C.blob_lengths(_Replay(t), S.sample_ranges(t[_F].select(m.alias("1M")), 1))
+
+
+_M_RANGE = "block_number // 1000000"
+_add("f1_sampled_ranges", _sampled, "SELECT * FROM (" + " UNION ALL ".join(
+    f"""SELECT '{e}' AS event, transaction_hash, log_index, '{c}' AS column_name, length({c}) // 2 AS n_bytes FROM {'order_filled_replay' if e == 'order_filled' else e}
+    WHERE length({c}) // 2 <> {n} AND {_M_RANGE} IN ((SELECT min({_M_RANGE}) FROM order_filled), (SELECT max({_M_RANGE}) FROM order_filled))"""
+    for e, cols in C.BLOBS.items() for c, n in cols.items()
+) + ")")
+_add(
+    "e7_migrate_with_ranges",
+    lambda t: R.migrate_progress(t["order_filled"].groupBy("contract").agg(F.max("block_number").alias("last_complete_block")), t["ranges"]),
+    _M + " SELECT * FROM m",
+)
+
+
+def _split_mixed(t: Tables) -> DataFrame:
+    """The logs of the six events that two contracts emit, each row where it belongs."""
+    out = None
+    for key in (k for k, e in EVENTS.items() if len(e.contracts) > 1):
+        for c, df in X.split_by_contract(D.encode(_source(t, key), key), key).items():
+            df = df.select(F.lit(key).alias("event"), F.lit(c).alias("contract"), U.strip0x(F.col("transactionHash")).alias("transaction_hash"), U.parse_hex(F.col("logIndex")).alias("log_index"))
+            out = df if out is None else out.unionAll(df)
+    return out
+
+
+_add("b2_split_mixed_events", _split_mixed, " UNION ALL ".join(f"SELECT '{k}' AS event, contract, transaction_hash, log_index FROM ({_decoded_sql(k)})" for k, e in EVENTS.items() if len(e.contracts) > 1))

@@ -1,5 +1,6 @@
 """Conversions, decoding, ranges, storage and checks against plain Python and on clean and spoilt tables."""
 
+import hashlib
 import random
 
 import pytest
@@ -160,6 +161,60 @@ def test_report_skips_and_unexpected_passes(spark):
     assert got == {names[0]: (True, "skip"), names[1]: (False, "unexpected pass"), names[2]: (False, "fail")}
 
 
+def test_report_reads_the_fills_five_times(spark, tmp_path, monkeypatch):
+    """The shared passes count what the checks count one by one, on stored tables whose scans are counted in the plans."""
+    t, stored, reads = Tables(spark, SF), {}, []
+
+    class Stored:
+        def __init__(self):
+            self.spark = spark
+
+        def __getitem__(self, name):
+            if name not in stored:
+                t[name].write.parquet(str(tmp_path / name))
+                stored[name] = spark.read.parquet(str(tmp_path / name))
+            return stored[name]
+
+    def scans(df):
+        relations = [x for x in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Relation [" in x]
+        return sum("maker_asset_id#" in x and "maker#" in x for x in relations)  # only the fills have both
+
+    keep = checks.materialize
+    monkeypatch.setattr(checks, "materialize", lambda df, name: reads.append((name, scans(df))) or keep(df, name))
+    s = Stored()
+    got = checks.report(s)
+    reads.append(("report", scans(got)))
+    assert dict(reads) == {"orders": 1, "tokens": 1, "violations": 1, "report": 2}
+    alone = {n: check(s).count() for n, (check, _, _) in checks.CHECKS.items()}
+    assert {r["check_name"]: r["violations"] for r in got.collect()} == alone and sum(alone.values()) > 0
+
+
+def test_ranges_prune_at_run_time(spark, tmp_path):
+    root, t = str(tmp_path / "cold"), Tables(spark, SF)
+    for c in ("CTFExchange", "NegRiskCtfExchange"):
+        export.export_event(export.typed_projection(t["order_filled"].where(F.col("contract") == c), c, "order_filled"), root, c, "order_filled")
+    ranges_of = scan.complete_1m_ranges(scan.partition_inventory(spark, root), "order_filled", full=2)
+    df = scan.scan_complete(spark, root, "order_filled", ranges_of)
+    assert df._jdf.queryExecution().sparkPlan().toString().count("dynamicpruning") >= 2  # one a table
+    wanted = {r["1M"] for r in ranges_of.collect()}
+    assert df.count() == t["order_filled"].where((F.col("block_number") - F.col("block_number") % 1_000_000).isin(wanted)).count() > 0
+
+
+def test_digests_are_those_of_the_files(spark, tmp_path):
+    root, t = str(tmp_path / "cold"), Tables(spark, SF)
+    c = "CTFExchange"
+    rows = export.typed_projection(t["fee_charged"].where(F.col("contract") == c), c, "fee_charged")
+    export.export_event(rows, root, c, "fee_charged")
+    export.export_event(rows.limit(1), root, c, "fee_charged")  # a second file in one partition
+    got = {r["path"].removeprefix("file:"): (r["length"], r["sha256"]) for r in export.file_digests(spark, root).collect()}
+    files = list((tmp_path / "cold").rglob("*.parquet"))
+    assert got == {str(f): (f.stat().st_size, hashlib.sha256(f.read_bytes()).hexdigest()) for f in files}
+    m = {r["partition"]: r for r in export.build_manifest(spark, root).collect()}
+    many = [r for r in m.values() if r["files"] == 2]
+    assert len(many) == 1 and len(many[0]["sha256"]) == 64 and len(m) == len(files) - 1
+    assert {r["version"] for r in m.values()} == {"v2"} and all(f"{p}/" in str(files) for p in m)
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "from_block long, to_block long")
     assert ranges.merge_ranges(none).count() == 0 and ranges.complete_10k(none).count() == 0
