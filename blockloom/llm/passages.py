@@ -33,7 +33,7 @@ NEAR, SLACK, JOINT = 16, 8, 3
 BESIDE = 32
 #: Documents that are the source of more than one chain in HOT_SHARE (at most so many) are dealt out to several tasks.
 HOT_SHARE = 500
-_CODEC = pa.Codec("zstd", 3)
+_CODEC = pa.Codec("zstd", 1)
 _LINKS = ("doc", "pos", "adoc", "apos", "key")
 _SENT = "bucket int, side int, " + ", ".join(f"{c} binary" for c in _LINKS)
 _SENT_TYPES = pa.schema([("bucket", pa.int32()), ("side", pa.int32()), *((c, pa.binary()) for c in _LINKS)])
@@ -195,7 +195,8 @@ def chain(pos: np.ndarray, apos: np.ndarray) -> list[np.ndarray]:
     prefix maximum over apos: a Fenwick tree keeps it while matches come in the order of pos. Chains are cut where a gap
     is longer than MAX_GAP, which is more than is aligned."""
     n = len(pos)
-    if n and (np.diff(pos) > 0).all() and (np.diff(apos) > 0).all() and (np.diff(pos) <= MAX_GAP).all() and (np.diff(apos) <= MAX_GAP).all():
+    steps = np.concatenate([pos[1:] - pos[:-1], apos[1:] - apos[:-1]])
+    if n and (n == 1 or (steps.min() > 0 and steps.max() <= MAX_GAP)):
         return [np.arange(n)]  # one run: no choice to make
     score, before = chain_scores(pos, apos)
     p, a = pos.tolist(), apos.tolist()
@@ -247,6 +248,8 @@ def chain_scores(pos: np.ndarray, apos: np.ndarray) -> tuple[list[float], list[i
 def _single(pos: np.ndarray, apos: np.ndarray, lone: list[int]) -> list[np.ndarray]:
     """Chains of one seed. Text that repeats itself has many seeds with the anchor's first position, which are no collinear
     run; there one in MAX_GAP words is enough, as aligning extends each by REACH words."""
+    if not lone:
+        return []
     values, count = np.unique(apos, return_counts=True)
     again = set(values[count > 3].tolist())
     out: list[np.ndarray] = []
