@@ -144,7 +144,11 @@ def shared(sent: DataFrame, buckets: int) -> DataFrame:
 
 def hot_fingerprints(marks: DataFrame) -> np.ndarray:
     """The at most HOT_SHARE fingerprints that hold more than one in HOT_SHARE of all places (and HOT_ROWS)."""
-    total = sum(int(grow(r["flag"], "i8")[0]) for r in marks.where("side = 3").select("flag").collect())  # a number per bucket
+    def sums(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([sum(int(grow(f, "i8").sum()) for f in b.column(0).to_pylist())], pa.int64())], names=["n"])
+
+    total = marks.where("side = 3").select("flag").mapInArrow(sums, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     least = max(HOT_ROWS, total // HOT_SHARE)
 
     def run(batches):
@@ -188,25 +192,53 @@ def _table(rows: list[dict]) -> pa.Table:
     return pa.table({f.name: pa.array([r.get(f.name) for r in rows], f.type) for f in _SCHEMA}, _SCHEMA)
 
 
-def _window_rows(h: np.ndarray, doc: np.ndarray, rid: np.ndarray, place: np.ndarray, buckets: int) -> list[dict]:
-    """Kind 3: of each window its smallest document's places, by hash; kind 1: the other documents' places."""
+def _alike(h: np.ndarray, bodies: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A number for each window bodies[at : at + LENGTH], equal for equal bytes and for no others; hashes only lead to them."""
+    out, n = np.zeros(len(h), np.int64), 0
+    left, step = np.arange(len(h)), np.arange(LENGTH)
+    while len(left):
+        _, first, group = np.unique(h[left], return_index=True, return_inverse=True)
+        same = np.zeros(len(left), bool)
+        for lo in range(0, len(left), 1 << 16):
+            part = slice(lo, lo + (1 << 16))
+            same[part] = (bodies[at[left[part], None] + step] == bodies[at[left[first[group[part]]], None] + step]).all(axis=1)
+        out[left[same]] = n + group[same]
+        n += len(first)
+        left = left[~same]
+    return out
+
+
+def _window_rows(h: np.ndarray, bodies: np.ndarray, at: np.ndarray, doc: np.ndarray, rid: np.ndarray, place: np.ndarray, buckets: int) -> list[dict]:
+    """Kind 3: of each window its bytes and its smallest document's places, by hash; kind 1: the other documents' places."""
     if not len(h):
         return []
-    order = np.lexsort((doc, h))
-    h, doc, rid, place = h[order], doc[order], rid[order], place[order]
-    starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+    alike = _alike(h, bodies, at)
+    order = np.lexsort((place, doc, alike))
+    h, at, doc, rid, place, alike = h[order], at[order], doc[order], rid[order], place[order], alike[order]
+    starts = np.flatnonzero(np.concatenate([[True], alike[1:] != alike[:-1]]))
     first = doc == np.repeat(doc[starts], np.diff(np.append(starts, len(h))))
     rows = _span_rows(doc[~first], rid[~first], place[~first], place[~first] + LENGTH, buckets) if not first.all() else []
-    h, doc, rid, place = h[first], doc[first], rid[first], place[first]
+    h, at, doc, rid, place, alike = h[first], at[first], doc[first], rid[first], place[first], alike[first]
     bucket = ((h >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
+    order = np.lexsort((alike, bucket))
     cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
     for s, e in zip(cuts, np.append(cuts[1:], len(order))):
         o = order[s:e]
-        rows.append({"kind": 3, "bucket": int(bucket[o[0]]), "c0": shrink(h[o]), "c1": shrink(doc[o]), "c2": shrink(rid[o]), "c3": shrink(place[o])})
+        new = np.flatnonzero(np.concatenate([[True], alike[o][1:] != alike[o][:-1]]))
+        body = bodies[at[o[new], None] + np.arange(LENGTH)].tobytes()
+        cols = [shrink(h[o[new]]), shrink(doc[o]), shrink(rid[o]), shrink(place[o]), shrink(np.diff(np.append(new, len(o)))), _pack(body)]
+        rows.append({"kind": 3, "bucket": int(bucket[o[0]]), **dict(zip(_BLOBS, cols)), "n_bytes": len(body)})
     return rows
 
 
+def _met_windows(t: pa.Table, buckets: int) -> list[dict]:
+    """Kind 1 of the windows that meet at their hash: all places in other documents than the smallest one with these bytes."""
+    h, doc, rid, place, count = (np.concatenate([grow(x, k) for x in t.column(c).to_pylist()]) for c, k in zip(_BLOBS, ("u8", "i8", "i8", "i8", "i8")))
+    bodies = np.frombuffer(b"".join(_unpack(x, n) for x, n in zip(t.column("c5").to_pylist(), t.column("n_bytes").to_pylist())), np.uint8)
+    which = np.repeat(np.arange(len(h)), count)
+    return [r for r in _window_rows(h[which], bodies, which * LENGTH, doc, rid, place, buckets) if r["kind"] == 1]
+
+
 def packed(docs: DataFrame, buckets: int) -> DataFrame:
     """Documents by bucket of their id, compressed: (part, ids, whether there is one, byte lengths, bytes)."""
 
@@ -216,7 +248,7 @@ def packed(docs: DataFrame, buckets: int) -> DataFrame:
         def flush():
             ids, has, n = (np.concatenate([h[i] for h in held]) for i in range(3))
             offs, raw = np.concatenate([[0], np.cumsum(n)]), b"".join(h[3] for h in held)
-            part = np.where(has, _bucket_of(ids, buckets), 0)
+            part = np.where(has, _bucket_of(ids, buckets), (np.arange(len(ids)) + len(raw)) % buckets)  # rows without id meet no others
             order = np.lexsort((ids, part))
             cuts = np.flatnonzero(np.diff(part[order], prepend=-1))
             for s, e in zip(cuts, np.append(cuts[1:], len(order))):
@@ -264,7 +296,7 @@ def _opened(left: pa.Table) -> tuple[np.ndarray, ...]:
 
 def contexts(docs: DataFrame, marks: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
     """Kind 1: spans that are settled within a bucket of documents; 2: the marked runs' bytes, by fingerprint; 3: windows of
-    the runs of hot fingerprints, by hash."""
+    the runs of hot fingerprints with their bytes, by hash."""
 
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
         if left.num_rows and right.num_rows:
@@ -305,7 +337,7 @@ def contexts(docs: DataFrame, marks: DataFrame, hot: np.ndarray, buckets: int) -
             n = end[mine] - start[mine] - LENGTH + 1
             of = np.repeat(mine, n)
             at = start[of] + np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
-            out += _window_rows(K.Hasher(buf)(at, at + LENGTH) if len(at) else np.zeros(0, np.uint64), doc[of], rid[row[of]], at - offs[row[of]], buckets)
+            out += _window_rows(K.Hasher(buf)(at, at + LENGTH) if len(at) else np.zeros(0, np.uint64), buf, at, doc[of], rid[row[of]], at - offs[row[of]], buckets)
         bucket = (key >> np.uint64(40)) % np.uint64(buckets)
         order = np.flatnonzero(warm)
         order = order[np.lexsort((start[order], doc[order], bucket[order]))]
@@ -415,9 +447,7 @@ def settle(mixed: DataFrame, buckets: int) -> DataFrame:
         kind = t.column("kind").to_numpy()
         rest = t.filter(pa.array(kind == 1)).cast(_SCHEMA)
         if (kind == 3).any():
-            w = t.filter(pa.array(kind == 3))
-            h, doc, rid, place = (np.concatenate([grow(x, k) for x in w.column(c).to_pylist()]) for c, k in zip(_BLOBS, ("u8", "i8", "i8", "i8")))
-            rest = pa.concat_tables([rest, _table([r for r in _window_rows(h, doc, rid, place, buckets) if r["kind"] == 1])])
+            rest = pa.concat_tables([rest, _table(_met_windows(t.filter(pa.array(kind == 3)), buckets))])
         t = t.filter(pa.array(kind == 2))
         if not t.num_rows:
             return rest

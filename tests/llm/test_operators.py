@@ -461,6 +461,32 @@ def test_substrings_of_hot_fingerprints(monkeypatch, docs, texts):
     assert {r[0]: tuple(r)[1:] for r in substrings.deduplicate(docs).collect()} == _removed(texts)
 
 
+def test_windows_whose_hashes_clash_are_told_apart_by_bytes():
+    rng = np.random.default_rng(3)
+    texts = [rng.integers(0, 2, 50).astype(np.uint8).tobytes() for _ in range(40)]
+    pick, doc = rng.integers(0, 40, 600), np.sort(rng.integers(0, 90, 600))
+    for h in (np.zeros(600, np.uint64), (pick % 7).astype(np.uint64) << np.uint64(40)):
+        # two blocks settle their own windows, then the windows they send meet
+        rows = []
+        for part in (slice(0, 250), slice(250, 600)):
+            buf = np.frombuffer(b"".join(texts[i] for i in pick[part]), np.uint8)
+            n = len(buf) // 50
+            rows += substrings._window_rows(h[part], buf, np.arange(n) * 50, doc[part], np.zeros(n, np.int64), np.arange(600)[part], 5)
+        met = [r for b in range(5) if (t := [r for r in rows if r["kind"] == 3 and r["bucket"] == b]) for r in substrings._met_windows(substrings._table(t), 5)]
+        gone = np.concatenate([substrings.grow(r["c2"], "i8") for r in [*rows, *met] if r["kind"] == 1])
+        least = {i: doc[pick == i].min() for i in set(pick.tolist())}
+        assert sorted(gone.tolist()) == [k for k in range(600) if doc[k] > least[pick[k]]]
+
+
+def test_substrings_of_many_rows_without_id(spark, monkeypatch, texts):
+    monkeypatch.setattr(substrings, "HOT_ROWS", 2)
+    rows = [(i, t) for i, t in sorted(texts.items())[:60]] + [(None, t) for t in list(texts.values())[:60]]
+    got = substrings.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = _removed(dict(rows[:60]))
+    assert {r[0]: tuple(r)[1:] for r in got if r[0] is not None} == want
+    assert sorted(r["kept_sha256"] for r in got if r[0] is None) == sorted(hashlib.sha256((t or "").encode()).hexdigest() for _, t in rows[60:])
+
+
 def test_licenses(spark, docs, odd, none):
     mit = licenses.KNOWN[0][1]
     rows = [(1, "Copyright (c) 2020 Jane\n" + mit.upper().replace("license", "licence")), (2, mit + " and more"), (3, "text\nReleased under the MIT Licence\nend"), (4, None)]
