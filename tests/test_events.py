@@ -236,3 +236,16 @@ def test_feed_messages(spark):
     rows = [(1, '{"type":"snapshot","events":[{"tx_hash":"a","status":"pending"},{"tx_hash":"b","status":"confirmed"}]}'), (2, '{"type":"status_update","data":{"tx_hash":"a"}}'), (3, "{broken"), (4, '{"type":"pong"}')]
     got = {(r["tx_hash"], r["status"]) for r in feed.parse_feed(spark.createDataFrame(rows, "arrival_ms long, body string")).collect()}
     assert got == {("a", "pending"), ("b", "confirmed"), ("a", "confirmed")}
+
+
+def test_what_is_no_number_of_256_bits_is_null(spark):
+    """Long texts that are no numbers, or too large, gave digits of their own before."""
+    bad = ["x" * 30, "1" * 19 + "x", str(2**256), "9" * 90, "-" + "1" * 20]
+    df = spark.createDataFrame([(x,) for x in bad], "d string")
+    assert [r[0] for r in df.select(U.u256_hex(F.col("d"))).collect()] == [None] * len(bad)
+    words = ["zz" + "1" * 62, "1_" + "1" * 62, "f" * 65]
+    df = spark.createDataFrame([(x,) for x in words], "w string")
+    assert [tuple(r) for r in df.select(U.u256_dec(F.col("w")), U.i256_dec(F.col("w"))).collect()] == [(None, None)] * len(words)
+    edges = [str(2**255 - 1), str(-(2**255)), str(2**255), "-1"]
+    got = spark.createDataFrame([(x,) for x in edges], "d string").select(U.i256_dec(U.i256_hex(F.col("d")))).collect()
+    assert [r[0] for r in got] == [edges[0], edges[1], None, "-1"]
