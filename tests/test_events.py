@@ -249,3 +249,32 @@ def test_what_is_no_number_of_256_bits_is_null(spark):
     edges = [str(2**255 - 1), str(-(2**255)), str(2**255), "-1"]
     got = spark.createDataFrame([(x,) for x in edges], "d string").select(U.i256_dec(U.i256_hex(F.col("d")))).collect()
     assert [r[0] for r in got] == [edges[0], edges[1], None, "-1"]
+
+
+@pytest.mark.parametrize("how", ["", "dealt", "kept"])
+def test_fills_are_those_of_the_recipe(spark, how):
+    import duckdb
+
+    from blockloom.plans.fixtures import duck
+
+    con = duckdb.connect()
+    for n in ("orders", "lineitem"):
+        con.execute(f"CREATE VIEW {n} AS SELECT * FROM '{SF}/{n}.parquet'")
+    got = Tables(spark, SF, how)["fills"]
+    want = con.execute(duck(f"SELECT {', '.join(got.columns)} FROM fills")).fetchall()
+    assert sorted(map(tuple, got.collect())) == sorted(want) and want
+
+
+def test_dealt_tables_are_written_in_one_pass_with_one_exchange(spark, tmp_path):
+    """Ids are made after the only exchange of rows, and each partition is one file."""
+    t, root = Tables(spark, SF).dealt(), str(tmp_path / "cold")
+    tables = {(c, e): t[e].where(F.col("contract") == c) for c in ("CTFExchange", "NegRiskCtfExchange") for e in ("order_filled", "fee_charged")}
+    export.export_dealt(tables, root)
+    inventory = scan.partition_inventory(spark, root)
+    assert inventory.agg(F.max("files")).first()[0] == 1
+    for (c, e), df in tables.items():
+        assert scan.scan_table(spark, root, c, e).count() == df.count() > 0
+    both = tables["CTFExchange", "order_filled"].select("transaction_hash").unionAll(tables["CTFExchange", "fee_charged"].select("transaction_hash"))
+    both.collect()
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan
