@@ -127,6 +127,27 @@ def test_replays_beyond_any_watermark_are_dropped(spark, tmp_path):
     assert stored(spark, root).count() == rows.select("block_number", "log_index").distinct().count()
 
 
+@pytest.mark.parametrize("few", [0, 500_000])
+def test_replays_move_no_rows(spark, tmp_path, monkeypatch, few):
+    """What a batch repeats is found by the numbers of its keys; new rows among replays are stored, the first in the order."""
+    monkeypatch.setattr(feed, "FEW_NEW", few)
+    written, real = [], feed.materialize
+    monkeypatch.setattr(feed, "materialize", lambda df, name: written.append(df.columns) or real(df, name))
+    t = Tables(spark, SF)
+    rows = t["order_filled"].where("contract = 'CTFExchange'").drop("contract").dropDuplicates(["block_number", "log_index"]).withColumn("delivery", F.lit(1))
+    old, new = rows.where("log_index < 2"), rows.where("log_index >= 2")
+    again = [old.withColumns({"delivery": F.lit(0), "fee": F.lit("7")}), new.withColumn("fee", F.lit("8")), new.withColumns({"delivery": F.lit(0), "fee": F.lit("9")})]
+    root, offsets = str(tmp_path / "root"), str(tmp_path / "offsets")
+    nulls = new.limit(1).withColumn("log_index", F.lit(None).cast("int"))  # a key like any other
+    _in_turns(t, [old, again[0].unionAll(again[1]).unionAll(again[2]).unionAll(nulls), nulls], lambda s: feed.stream_store(s, "CTFExchange", "order_filled", root, offsets, ("delivery", "transaction_hash")))
+    got = stored(spark, root)
+    assert got.where("log_index is null").count() == 1
+    assert got.where("log_index is not null").count() == rows.count()
+    assert got.where("log_index >= 2 and fee <> '9'").count() == got.where("log_index < 2 and fee = '7'").count() == 0
+    assert got.where("log_index >= 2").count() == new.count() > 0
+    assert written and all(columns == ["block_number", "log_index"] for columns in written)
+
+
 def test_the_watermark_evicts(spark, tmp_path):
     """With a bounded memory a replay within the delay is dropped, and one after it comes through again."""
     def rows(*each):
