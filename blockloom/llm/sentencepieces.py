@@ -1,7 +1,9 @@
 """SentencePiece BPE encoding and decoding with a score-ordered agenda of adjacent symbol pairs.
 
 Merges never join a piece to a following word mark (checked when the model is read), so the agenda of a text
-falls apart into the agendas of its words; those are solved once per distinct word and task, and reused."""
+falls apart into the agendas of its words; those are solved once per distinct word and task, and reused. Nor do they join
+two characters that stand side by side in no piece, so letters and the stops behind them are
+solved apart."""
 
 from __future__ import annotations
 
@@ -45,6 +47,7 @@ class Agenda(dict):
                 self.ids[piece], self.costs[piece] = _code(i), -processor.get_score(i)
         self.unk = processor.unk_id()
         self.split = not any(MARK in p.lstrip(MARK) for p in self.ids)
+        self.pairs = {a + b for p in self.ids for a, b in zip(p, p[1:])}
         # characters that no piece joins to another: words are cut around a line break as well
         self.lines = not any("\n" in p and len(p) > 1 for p in self.ids)
 
@@ -88,8 +91,14 @@ class Agenda(dict):
                 heapq.heappush(agenda, (cost[q], h, q))
         return [s for s in sym if s is not None]
 
+    _letters = re.compile(rf"({MARK}*[^\W\d_]+)(.+)", re.S).fullmatch
+
     def __missing__(self, word: str) -> bytes:
-        ids = b"".join([self.ids[p] if p in self.ids else self._unknown(p) for p in self.merge(word)])
+        m = self._letters(word)
+        if m and word[m.end(1) - 1] + word[m.end(1)] not in self.pairs:
+            ids = self[m[1]] + self[m[2]]
+        else:
+            ids = b"".join([self.ids[p] if p in self.ids else self._unknown(p) for p in self.merge(word)])
         if len(word) <= SHORT:
             if self.held > MEMO_BYTES:
                 self.clear()

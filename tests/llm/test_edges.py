@@ -3,6 +3,7 @@
 from pathlib import Path
 
 import duckdb
+import numpy as np
 import public_tokenizers
 import pytest
 
@@ -60,3 +61,16 @@ def test_the_sql_knows_the_licenses_that_the_scan_knows(spark):
     rows = sorted(want.fetchall())
     assert sorted(map(tuple, licenses.scan(df).select(*names).collect())) == rows
     assert len(rows) >= len(texts) - 6 and {r[names.index("unit")] for r in rows} == {"text", "line"}
+
+
+def test_letters_are_solved_once_whatever_stops_follow(monkeypatch):
+    """No piece joins a letter to a stop; where two characters stand side by side in a piece, words are solved whole."""
+    processor, _ = sentencepieces.load(public_tokenizers.path("piece_bpe_32k.model"))
+    agenda, solved, merge = sentencepieces.Agenda(processor), [], sentencepieces.Agenda.merge
+    monkeypatch.setattr(sentencepieces.Agenda, "merge", lambda self, word: solved.append(word) or merge(self, word))
+    text = "unheard unheard. unheard, unheard*** unheard... (unheard) x2.y2; \u00b2. a\u00b2. 漢字. \u0301a\u0301. a_b" + "z" * 100 + ".!"
+    assert np.frombuffer(agenda.encode(text), "<u4").tolist() == processor.encode(text)
+    assert solved.count("▁unheard") == 1 and not [w for w in solved if "unheard" in w and w not in ("▁unheard", "▁(unheard)")]
+    agenda.pairs.add("d.")
+    solved.clear()
+    assert np.frombuffer(agenda.encode("unheard.. "), "<u4").tolist() == processor.encode("unheard.. ") and "▁unheard.." in solved
