@@ -204,6 +204,20 @@ def test_a_batch_broken_at_any_step_seals_exactly_once(spark, tmp_path):
     assert spark.read.parquet(f"{state}/1/staged").count() == df.where(F.col("block_number") >= mid + 100_000).count()
 
 
+def test_a_record_holds_the_rows_of_its_batch_only(spark, tmp_path):
+    """Rows that stay staged are not copied into the record of the next batch, which still releases them."""
+    t = Tables(spark, SF)
+    df = t["order_filled"].where("contract = 'CTFExchange'").drop("contract")
+    lo, hi = (b // 10000 * 10000 for b in df.agg(F.min("block_number"), F.max("block_number")).first())
+    root, state, offsets = (str(tmp_path / n) for n in ("root", "state", "offsets"))
+    reach = lambda i: spark.createDataFrame([(lo, hi + 9999 if i else lo - 1)], "from_block long, to_block long")
+    parts, records = [df.where("log_index > 0"), df.where("log_index = 0")], []
+    after = lambda step, i: step == "planned" and records.append(spark.read.parquet(f"{state}/{i}/rows").count())
+    _in_turns(t, parts, lambda s: feed.stream_seal(s, "CTFExchange", "order_filled", reach, root, state, offsets, after))
+    assert records == [p.count() for p in parts]
+    assert stored(spark, root).count() == df.count() and spark.read.parquet(f"{state}/1/staged").count() == 0
+
+
 def test_catching_up_ends_at_the_tolerance(spark, tmp_path):
     path = str(tmp_path / "ranges")
     for k in range(6):
