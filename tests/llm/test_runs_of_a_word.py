@@ -34,7 +34,7 @@ def test_tiles_try_each_pair_once(monkeypatch, tile):
 
 
 def test_runs_are_sent_once():
-    """2000 documents with a run of 30 seeds each: only the first of a run is sent to all tiles (before, all were: 59 times each)."""
+    """2000 documents with a run of 30 seeds each: only the first of a run is sent to all tiles (before, all were)."""
     d, place = np.repeat(np.arange(2000), 30), np.tile(np.arange(30), 2000)
     e, (deal, sent) = entries(d * 0 + 5, d, place, np.where(place, 5, 100 + d), np.ones(len(d), int))
     assert len(e) == 60_000 and (sent["role"] & 4 > 0).sum() == 2 * 58_000 and len(sent) < 5 * len(e)
