@@ -38,3 +38,13 @@ def test_runs_are_sent_once():
     d, place = np.repeat(np.arange(2000), 30), np.tile(np.arange(30), 2000)
     e, (deal, sent) = entries(d * 0 + 5, d, place, np.where(place, 5, 100 + d), np.ones(len(d), int))
     assert len(e) == 60_000 and (sent["role"] & 4 > 0).sum() == 2 * 58_000 and len(sent) < 5 * len(e)
+
+
+def test_sum_and_reach_of_the_best_stretches():
+    """A run of 44 words around a seed is a stretch with six more words on either side: both count."""
+    flags = np.zeros(2 * passages.REACH + passages.SEED_WORDS, bool)
+    flags[passages.REACH - 20 : passages.REACH + 24] = True
+    x = np.zeros((1, len(flags)), np.uint8)
+    there = np.ones(x.shape, bool)
+    (room, a), (_, b) = passages._planes(x, there), passages._planes(np.where(flags, x, 15).astype(np.uint8), there)
+    assert [int(v[0]) for v in passages._gain(a, b, room)] == [44 - 6 * passages.PENALTY, 26, 25]
