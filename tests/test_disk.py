@@ -1,5 +1,6 @@
 """Stored fills are made without passing through Python, in tasks of a bounded number of rows, and leave no shuffle files."""
 
+import os
 from contextlib import contextmanager
 
 from blockloom import queries
@@ -38,3 +39,16 @@ def test_exports_leave_no_shuffle_files(spark, monkeypatch):
     monkeypatch.setattr(export, "freeing", freeing)
     assert queries.QUERIES["a2_scan_event"](spark, SF).count() == spark.read.parquet(f"{SF}/lineitem.parquet").count()
     assert freed
+
+
+def test_sealing_keeps_one_copy(spark, monkeypatch, tmp_path):
+    """What was verified and moved below the root is not kept beside it, nor what a batch before left staged."""
+    areas, real = [], export.shared_path
+    monkeypatch.setattr(export, "shared_path", lambda s, name: areas.append(real(s, name)) or areas[-1])
+    states, path = [], queries.shared_path
+    monkeypatch.setattr(queries, "shared_path", lambda s, name: states.append((name, path(s, name))) or states[-1][1])
+    queries.QUERIES["h3_stream_seal"](spark, SF).count()
+    at = lambda p: p.removeprefix("file:")
+    assert len(areas) == 3 and not any(os.path.exists(at(p)) for p in areas)
+    state = at(dict(states)["state"])
+    assert [i for i in range(3) if os.path.exists(f"{state}/{i}/staged")] == [2]
