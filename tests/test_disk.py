@@ -4,6 +4,7 @@ import os
 from contextlib import contextmanager
 
 from blockloom import queries
+from blockloom.operators import checks
 from blockloom.plans import fixtures
 from blockloom.sources import export
 
@@ -52,3 +53,14 @@ def test_sealing_keeps_one_copy(spark, monkeypatch, tmp_path):
     assert len(areas) == 3 and not any(os.path.exists(at(p)) for p in areas)
     state = at(dict(states)["state"])
     assert [i for i in range(3) if os.path.exists(f"{state}/{i}/staged")] == [2]
+
+
+def test_checks_of_the_report_are_run_apart(spark, monkeypatch):
+    """Each check leaves one row in a table of its own; the report itself shuffles nothing but these."""
+    made, real = [], checks.materialize
+    monkeypatch.setattr(checks, "materialize", lambda df, name: made.append(name) or real(df, name))
+    got = queries.QUERIES["f0_report"](spark, SF)
+    assert made.count("check") == sum(not checks._local(n) for n in checks.CHECKS) > 15
+    relations = [x for x in got._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Relation [" in x]
+    assert len(relations) == len(checks.CHECKS) and all("violations" in x for x in relations)
+    assert {r["check_name"] for r in got.collect()} == set(checks.CHECKS)
