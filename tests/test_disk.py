@@ -64,3 +64,22 @@ def test_checks_of_the_report_are_run_apart(spark, monkeypatch):
     relations = [x for x in got._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Relation [" in x]
     assert len(relations) == len(checks.CHECKS) and all("violations" in x for x in relations)
     assert {r["check_name"] for r in got.collect()} == set(checks.CHECKS)
+
+
+def test_landed_logs_are_deleted_as_they_are_decoded(spark, monkeypatch):
+    paths, real = [], queries.shared_path
+    monkeypatch.setattr(queries, "shared_path", lambda s, name: paths.append((name, real(s, name))) or paths[-1][1])
+    n = queries.QUERIES["h1_stream_decode"](spark, SF).count()
+    at = dict(paths)["logs"].removeprefix("file:")
+    landed = len([f for f in os.listdir(at) if f.endswith(".json.gz")])
+    assert n and landed <= queries.FILES  # those of the last batch may stay
+
+
+def test_typed_tables_deal_out_numbers(spark, monkeypatch):
+    """The rows of all stored tables stay where the numbers they are made of were dealt out to."""
+    taken = []
+    monkeypatch.setattr(queries.X, "export_all", lambda rows, root, dealt=False: taken.append((rows, dealt)))
+    monkeypatch.setattr(queries, "_all_tables", lambda t, root: None)
+    queries.QUERIES["c24_typed_tables"](spark, SF)
+    (rows, dealt), = taken
+    assert dealt and "RepartitionByExpression [nr" in rows._jdf.queryExecution().optimizedPlan().toString()
